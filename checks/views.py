@@ -15,7 +15,14 @@ def _month(day: Column) -> Column:
 
 
 def _with_commas(value: Column) -> Column:
-    return F.format_number(F.floor(value).cast("bigint"), 0)
+    """Whole number with thousands commas; the general formatter is slow, few values need it."""
+    whole = F.floor(value).cast("bigint")
+    thousands = F.concat((whole / 1000).cast("bigint").cast("string"), F.lit(","), F.lpad((whole % 1000).cast("string"), 3, "0"))
+    return (
+        F.when(whole.between(0, 999), whole.cast("string"))
+        .when(whole.between(1000, 999_999), thousands)
+        .otherwise(F.format_number(whole, 0))
+    )
 
 
 def _code(nation: Column) -> Column:

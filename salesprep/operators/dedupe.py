@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALES_KEY = ("region", "year_month", "city", "store_code", "brand", "product_sku_code", "value_sales", "vol_sales")
+# The month comes first, so what a task writes is ordered by month and a later read of few
+# months skips most row groups. The most selective number follows, to keep the sort cheap.
+SALES_KEY = ("year_month", "value_sales", "vol_sales", "product_sku_code", "store_code", "brand", "city", "region")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

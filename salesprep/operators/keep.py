@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from salesprep import markets
 from salesprep.functions import text
 from salesprep.operators.lookup import LIMITS, Limits, join_lookup
+from salesprep.staging import Size
 
 
 def listed_distributors(df: DataFrame, distributors: DataFrame, limits: Limits = LIMITS) -> DataFrame:
@@ -22,11 +23,13 @@ def route_stores(df: DataFrame, route: DataFrame, limits: Limits = LIMITS) -> Da
     return join_lookup(df, stores, ["store_code"], "left_semi", limits=limits)
 
 
-def without_counters(df: DataFrame, counters: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def without_counters(
+    df: DataFrame, counters: DataFrame, size: Size | None = None, limits: Limits = LIMITS
+) -> DataFrame:
     """Drop rows whose outlet is a counter."""
     keyed = df.withColumn("_outlet", text.outlet_key(F.col("store_code")))
     listed = counters.select(F.col("pos_code").alias("_outlet")).distinct()
-    return join_lookup(keyed, listed, ["_outlet"], "left_anti", limits=limits).drop("_outlet")
+    return join_lookup(keyed, listed, ["_outlet"], "left_anti", size=size, limits=limits).drop("_outlet")
 
 
 def without_restricted(df: DataFrame, restricted: DataFrame, limits: Limits = LIMITS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesprep.functions.months import month_to_date
 from salesprep.operators.lookup import LIMITS, Limits, join_lookup
-from salesprep.staging import stage
+from salesprep.staging import stage, stage_measured
 
 
 def months_present(df: DataFrame) -> DataFrame:
@@ -31,8 +31,8 @@ def last_months(df: DataFrame, count: int) -> DataFrame:
 
 def keep_last_months(df: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
     """Rows of the last ``count`` months of their region."""
-    wanted = stage(last_months(df, count), "last-months")
-    return join_lookup(df, wanted, ["region", "year_month"], "left_semi", limits=limits)
+    wanted, size = stage_measured(last_months(df, count), "last-months")
+    return join_lookup(df, wanted, ["region", "year_month"], "left_semi", size=size, limits=limits)
 
 
 def latest_class(sales: DataFrame) -> DataFrame:
@@ -57,13 +57,14 @@ def latest_class(sales: DataFrame) -> DataFrame:
 
 def apply_latest_class(sales: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Give all rows of a store the category and bucket of its last month."""
-    classes = stage(latest_class(sales), "latest-class")
+    classes, size = stage_measured(latest_class(sales), "latest-class")
     keys = ["region", "store_code"]
     joined = join_lookup(
         sales,
         classes.drop("_rows"),
         keys,
         null_safe=keys,
+        size=size,
         counts=classes.select(*keys, "_rows"),
         limits=limits,
     )
@@ -77,11 +78,11 @@ def monthly_volume(sales: DataFrame) -> DataFrame:
     return sales.groupBy("region", "store_code", "year_month").agg(F.max("vol_sales").alias("vol_sales"))
 
 
-def active_stores(monthly: DataFrame, count: int) -> DataFrame:
+def active_stores(monthly: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
     """Stores with volume in the last ``count`` months of their region."""
-    wanted = stage(last_months(monthly, count), "active-months")
     sold = monthly.where(F.col("vol_sales") > 0)
-    return join_lookup(sold, wanted, ["region", "year_month"], "left_semi").select("region", "store_code").distinct()
+    recent = join_lookup(sold, last_months(monthly, count), ["region", "year_month"], "left_semi", limits=limits)
+    return recent.select("region", "store_code").distinct()
 
 
 def keep_active_stores(
@@ -89,6 +90,6 @@ def keep_active_stores(
 ) -> DataFrame:
     """Rows of ``df`` whose store is active in ``cleaned`` (``df`` itself when not given)."""
     monthly = stage(monthly_volume(df if cleaned is None else cleaned), "monthly-volume")
-    stores = stage(active_stores(monthly, count), "active-stores")
+    stores, size = stage_measured(active_stores(monthly, count, limits), "active-stores")
     keys = ["region", "store_code"]
-    return join_lookup(df, stores, keys, "left_semi", null_safe=keys, limits=limits)
+    return join_lookup(df, stores, keys, "left_semi", null_safe=keys, size=size, limits=limits)

@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesprep.staging import Size, measure
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -33,13 +35,9 @@ class Limits:
 LIMITS = Limits()
 
 
-def fits_broadcast(lookup: DataFrame, limits: Limits = LIMITS) -> bool:
-    """Measure rows and bytes of a lookup; one row comes back."""
-    width = reduce(add, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in lookup.columns])
-    size = lookup.agg(
-        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(width), F.lit(0)).alias("byte_count")
-    ).first()
-    return size.row_count <= limits.broadcast_rows and size.byte_count <= limits.broadcast_bytes
+def fits(size: Size, limits: Limits = LIMITS) -> bool:
+    """Whether a side of this size may be broadcast."""
+    return size.rows <= limits.broadcast_rows and size.bytes <= limits.broadcast_bytes
 
 
 def join_on(
@@ -110,10 +108,14 @@ def join_lookup(
     keys: Sequence[str],
     how: str = "left",
     null_safe: Sequence[str] = (),
+    size: Size | None = None,
     counts: DataFrame | None = None,
     limits: Limits = LIMITS,
 ) -> DataFrame:
-    """Join a lookup by broadcast when it was measured to be small, else with hot keys spread."""
-    if fits_broadcast(lookup, limits):
+    """Join a lookup by broadcast when it was measured to be small, else with hot keys spread.
+
+    ``size`` saves measuring a lookup whose size, or an upper bound of it, is known.
+    """
+    if fits(measure(lookup) if size is None else size, limits):
         return join_on(fact, F.broadcast(lookup), keys, how, null_safe)
     return spread_join(fact, lookup, keys, how, null_safe, counts, limits)

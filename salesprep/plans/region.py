@@ -19,8 +19,8 @@ from salesprep.functions import numbers, text
 from salesprep.markets import MarketProfile
 from salesprep.operators import filters, keep, latest, remap, shape
 from salesprep.operators.dedupe import dedupe_sales
-from salesprep.operators.lookup import LIMITS, Limits, fits_broadcast, join_lookup, join_on, spread_join
-from salesprep.staging import stage
+from salesprep.operators.lookup import LIMITS, Limits, fits, join_lookup, join_on, spread_join
+from salesprep.staging import Size, measure, stage, stage_measured
 
 STORE = ["region", "store_code"]
 
@@ -53,43 +53,51 @@ def clean_sales(sales: DataFrame) -> DataFrame:
     )
 
 
-def deduped_sales(sales: DataFrame, profile: MarketProfile, limits: Limits = LIMITS) -> DataFrame:
-    """Cleaned sales without duplicates, staged, the focus months in a partition of their own."""
-    cleaned = clean_sales(sales)
-    unique = dedupe_sales(cleaned)
-    if profile.focus_months is None:
-        return stage(unique.withColumn("_in_focus", F.lit(False)), "sales")
-    focus = stage(latest.last_months(cleaned, profile.focus_months).withColumn("_focus", F.lit(True)), "focus-months")
-    marked = join_lookup(unique, focus, ["region", "year_month"], limits=limits)
-    return stage(
-        marked.withColumn("_in_focus", F.coalesce("_focus", F.lit(False))).drop("_focus"), "sales", ["_in_focus"]
-    )
+def deduped_sales(sales: DataFrame) -> DataFrame:
+    """Cleaned sales without duplicates, staged in order of month within each file."""
+    return stage(dedupe_sales(clean_sales(sales)), "sales")
+
+
+def mark_focus(sales: DataFrame, count: int, limits: Limits = LIMITS) -> tuple[DataFrame, str | None]:
+    """Flag the rows of the focus months (``_in_focus``); also the oldest such month.
+
+    That month goes into the extract as a plain filter, which lets the scan skip
+    the row groups of older months.
+    """
+    focus, size = stage_measured(latest.last_months(sales, count).withColumn("_focus", F.lit(True)), "focus-months")
+    oldest = focus.agg(F.min("year_month")).first()[0]
+    marked = join_lookup(sales, focus, ["region", "year_month"], size=size, limits=limits)
+    return marked.withColumn("_in_focus", F.coalesce("_focus", F.lit(False))).drop("_focus"), oldest
 
 
 def store_table(
     sales: DataFrame,
-    classes: DataFrame,
     lookups: Lookups,
     profile: MarketProfile,
     unmatched: str = "literal_na",
     limits: Limits = LIMITS,
-) -> DataFrame:
+) -> tuple[DataFrame, Size]:
     """What to do with the rows of each store; stores to be dropped are absent.
 
     One row per store and partner: the class of its last month, its new code,
-    and whether other stores end up with the same code (``_merged``).
+    its rows in ``sales``, and whether other stores get the same code (``_merged``).
     """
     active = filters.active_pos(lookups.pos)
-    pairs = remap.partner_pairs(active).withColumnRenamed("pos_code", "_outlet")
+    # Pairs and counters are projections of the active rows, so this bounds both.
+    active_size = measure(active)
+    bound = active_size if fits(active_size, limits) else None
+    classes = latest.latest_class(sales)
+    if bound is None:
+        classes = stage(classes, "classes")
     stores = (
         join_lookup(
-            classes.drop("_rows").withColumn("_outlet", text.outlet_key(F.col("store_code"))),
-            pairs,
+            classes.withColumn("_outlet", text.outlet_key(F.col("store_code"))),
+            remap.partner_pairs(active).withColumnRenamed("pos_code", "_outlet"),
             ["_outlet"],
+            size=bound,
             limits=limits,
         )
-        .withColumn("_old_code", F.col("store_code"))
-        .withColumn("store_code", remap.rebuilt_store_code(unmatched))
+        .withColumns({"_old_code": F.col("store_code"), "store_code": remap.rebuilt_store_code(unmatched)})
         .drop("_outlet", "partner_code")
     )
     if profile.route_stores:
@@ -98,19 +106,19 @@ def store_table(
         stores = keep.route_stores(stores, lookups.route, limits)
     if profile.active_months is not None:
         stores = active_only(stage(stores, "stores"), sales, profile.active_months, limits)
-    stores = stage(keep.without_counters(stores, filters.counter_outlets(active), limits), "stores")
+    stores = stage(keep.without_counters(stores, filters.counter_outlets(active), bound, limits), "stores")
 
-    shared = stage(stores.groupBy(*STORE).agg(F.count(F.lit(1)).alias("_rows")), "store-codes")
-    merged = shared.select(*STORE, (F.col("_rows") > 1).alias("_merged"))
-    stores = spread_join(stores, merged, STORE, "inner", counts=shared, limits=limits)
-    return stage(
+    shared = stores.groupBy(*STORE).agg(F.count(F.lit(1)).alias("_stores")).where(F.col("_stores") > 1)
+    stores = join_lookup(stores, shared, STORE, limits=limits)
+    return stage_measured(
         stores.select(
             "region",
             F.col("_old_code").alias("store_code"),
             F.col("store_code").alias("_new_code"),
             "latest_category",
             "latest_bucket",
-            "_merged",
+            F.col("_stores").isNotNull().alias("_merged"),
+            "_rows",
         ),
         "stores",
     )
@@ -130,18 +138,19 @@ def active_only(stores: DataFrame, sales: DataFrame, months: int, limits: Limits
     return latest.keep_active_stores(stores, filters.without_adjustments(sold), months, limits)
 
 
-def sales_by_store(sales: DataFrame, classes: DataFrame, stores: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def sales_by_store(sales: DataFrame, stores: DataFrame, size: Size, limits: Limits = LIMITS) -> DataFrame:
     """The fact with everything its store decides.
 
     A small store table is broadcast and nothing is moved. A large one costs a
     shuffle, so the result is staged and both outputs read it.
     """
-    small = fits_broadcast(stores, limits)
+    small = fits(size, limits)
+    wanted = stores.drop("_rows")
     if small:
-        joined = join_on(sales, F.broadcast(stores), STORE, "inner", null_safe=STORE)
+        joined = join_on(sales, F.broadcast(wanted), STORE, "inner", null_safe=STORE)
     else:
-        counts = classes.select(*STORE, "_rows")
-        joined = spread_join(sales, stores, STORE, "inner", null_safe=STORE, counts=counts, limits=limits)
+        counts = stores.select(*STORE, "_rows").distinct()
+        joined = spread_join(sales, wanted, STORE, "inner", null_safe=STORE, counts=counts, limits=limits)
     joined = joined.withColumns(
         {
             "store_code": F.col("_new_code"),
@@ -175,10 +184,13 @@ def prepare_sales(
     """
     contracts.check_contract(filters.typed_sales(sales), contracts.SALES)
     names = contracts.SALES.names
-    unique = deduped_sales(sales.select(*names), profile, limits)
-    classes = stage(latest.latest_class(unique), "classes")
-    stores = store_table(unique, classes, lookups, profile, unmatched, limits)
-    joined = sales_by_store(unique, classes, stores, limits)
+    unique = deduped_sales(sales.select(*names))
+    stores = store_table(unique, lookups, profile, unmatched, limits)
+    if profile.focus_months is None:
+        marked, oldest = unique.withColumn("_in_focus", F.lit(False)), None
+    else:
+        marked, oldest = mark_focus(unique, profile.focus_months, limits)
+    joined = sales_by_store(marked, *stores, limits)
     if profile.restricted_skus:
         if lookups.restricted is None:
             raise ValueError(f"{profile.name} needs the restricted products")
@@ -197,7 +209,7 @@ def prepare_sales(
     if profile.focus_months is None:
         return Prepared(history, None)
     extract = (
-        joined.where("_in_focus")
+        joined.where(F.col("_in_focus") & (F.col("year_month") >= F.lit(oldest)))
         .select(*names, "_merged")
         .transform(distinct_sales)
         .transform(shape.rename_positional, contracts.EXTRACT_NAMES)

@@ -9,8 +9,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -39,3 +43,28 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    bytes: int
+
+
+def size_columns(columns: Sequence[str]) -> list[Column]:
+    """Aggregates: rows, and bytes of all values as text."""
+    width = reduce(add, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in columns])
+    return [F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(width), F.lit(0)).alias("byte_count")]
+
+
+def measure(df: DataFrame) -> Size:
+    """Size of ``df``; one row comes back."""
+    size = df.agg(*size_columns(df.columns)).first()
+    return Size(size.row_count, size.byte_count)
+
+
+def stage_measured(df: DataFrame, name: str) -> tuple[DataFrame, Size]:
+    """Stage ``df`` and measure it while it is written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *size_columns(df.columns)), name)
+    return staged, Size(seen.get["row_count"], seen.get["byte_count"])
