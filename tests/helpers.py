@@ -16,3 +16,9 @@ def column(spark, make, values, kind="string"):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def details_of(df):
+    """The plan with the arguments of each operator in full."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
