@@ -2,9 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesprep.staging import stage
+
+View = Callable[[SparkSession, str], DataFrame]
+
+VIEWS: dict[str, View] = {}
+_landed: dict[tuple[str, str], DataFrame] = {}
+
+
+def _view(derive: View) -> View:
+    """Derive the view from the given tables, or read it where ``land`` has written it."""
+
+    @wraps(derive)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        landed = _landed.get((sf_dir, derive.__name__))
+        return derive(spark, sf_dir) if landed is None else landed
+
+    VIEWS[derive.__name__] = read
+    return read
+
+
+def land(spark: SparkSession, sf_dir: str) -> None:
+    """Write all views to tables of as many files as there are cores, as a market's inputs would lie."""
+    for name, derive in VIEWS.items():
+        df = derive(spark, sf_dir)
+        _landed[sf_dir, name] = stage(df.repartition(spark.sparkContext.defaultParallelism), name)
+
 
 def _text(value: Column) -> Column:
     return value.cast("string")
@@ -33,6 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_view
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     joined = (
@@ -78,6 +108,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     own = _code(F.when(k % 9 == 0, (n + 1) % 25).otherwise(n))
@@ -97,6 +128,7 @@ def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def area_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
     area = (
@@ -111,6 +143,7 @@ def area_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = F.col("c_custkey"), F.col("n_nationkey")
     channel = F.when(k % 4 == 0, "Distributor").when(k % 4 == 1, "DISTRIBUTOR").when(k % 4 == 3, "Modern")
@@ -161,17 +194,20 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark, sf_dir).toDF(*RAW_HEADERS)
 
 
+@_view
 def dist_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
     return table(spark, sf_dir, "nation").where(n % 5 != 0).select(_code(n).alias("distributor_code"))
 
 
+@_view
 def restricted_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part").where(F.col("p_partkey") % 40 == 0).select(_text(F.col("p_partkey")).alias("material"))
     )
 
 
+@_view
 def route_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return (
@@ -184,6 +220,7 @@ def route_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_view
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order day once, as the run date."""
     return table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("as_of")).distinct()
