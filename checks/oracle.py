@@ -319,6 +319,7 @@ QUERIES = {
     "sales_history": _history("remapped", NOT_RESTRICTED),
     "sales_history_active_stores": _history("remapped", ACTIVE_STORE),
     "sales_history_route_stores": _history("routed"),
+    "published_history": _history("remapped", NOT_RESTRICTED),
     "focus_extract": _extract("remapped", 6, NOT_RESTRICTED),
     "focus_extract_five_months": _extract("remapped", 5),
     "focus_extract_active_stores": _extract("remapped", 6, ACTIVE_STORE),

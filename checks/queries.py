@@ -48,7 +48,7 @@ def scan_csv_pipe(spark, d):
 def scan_csv_lookup(spark, d):
     path = new_path(spark, "area-map")
     files.write_csv(views.area_map(spark, d).toDF(*contracts.AREA_FILE.names), path)
-    return files.read_csv(spark, path, contracts.AREA_FILE).toDF(*contracts.AREA_NAMES)
+    return files.read_lookup(spark, path, contracts.AREA_FILE, contracts.AREA_NAMES)
 
 
 def scan_csv_strings(spark, d):
@@ -480,6 +480,14 @@ def focus_extract(spark, d):
     return _prepared(spark, d, profile("INDIA_HEALTH")).focus_extract
 
 
+def published_history(spark, d):
+    database = _database(spark)
+    tables = f"{database}.history", f"{database}.focus_extract"
+    lookups = region.Lookups(pos=views.pos(spark, d), restricted=views.restricted_skus(spark, d))
+    publish.run_region(profile("INDIA_HEALTH"), views.sales(spark, d), lookups, *tables)
+    return spark.table(tables[0]).select(*contracts.HISTORY_NAMES)
+
+
 def focus_extract_five_months(spark, d):
     return _prepared(spark, d, profile("MY_HEALTH")).focus_extract
 
@@ -560,6 +568,7 @@ QUERIES = {
         sales_history,
         sales_history_active_stores,
         sales_history_route_stores,
+        published_history,
         focus_extract,
         focus_extract_five_months,
         focus_extract_active_stores,

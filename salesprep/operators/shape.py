@@ -6,6 +6,11 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from salesprep.contracts import SALES
+from salesprep.functions.numbers import parse_number
 
 
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -36,3 +41,17 @@ def take_leading(df: DataFrame, count: int) -> DataFrame:
 def restore_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exactly ``columns``, in that order."""
     return df.select(*columns)
+
+
+def as_sales(df: DataFrame) -> DataFrame:
+    """A table of the 17 sales columns, named by position and brought to the contract's types."""
+    named = rename_positional(df, SALES.names)
+
+    def typed(field: T.StructField):
+        if isinstance(field.dataType, T.DoubleType):
+            return parse_number(F.col(field.name))
+        if isinstance(field.dataType, T.IntegerType):
+            return F.col(field.name).try_cast("int")
+        return F.col(field.name).cast(field.dataType)
+
+    return named.select(*[typed(field).alias(field.name) for field in SALES])

@@ -1,12 +1,16 @@
-"""Write the results to catalog tables."""
+"""From inputs to catalog tables."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from salesprep.markets import MarketProfile
-from salesprep.plans.country import build_area_map
-from salesprep.plans.region import Prepared
+from salesprep.operators.lookup import LIMITS, Limits
+from salesprep.operators.shape import as_sales
+from salesprep.plans.country import build_area_map, correct_partners, extract_sales
+from salesprep.plans.region import Lookups, Prepared, prepare_sales
 from salesprep.sources import catalog
 
 
@@ -33,3 +37,40 @@ def publish_region(prepared: Prepared, history_table: str, extract_table: str) -
     catalog.save_by_region(prepared.history, history_table, "Region")
     if prepared.focus_extract is not None:
         catalog.save_by_region(prepared.focus_extract, extract_table, "V10")
+
+
+def run_country(
+    spark: SparkSession,
+    profile: MarketProfile,
+    as_of: datetime.date,
+    raw: DataFrame,
+    sales_table: str,
+    area_table: str,
+    pos: DataFrame | None = None,
+    area_map: DataFrame | None = None,
+    distributors: DataFrame | None = None,
+    months: tuple[str, str] | None = None,
+    limits: Limits = LIMITS,
+) -> None:
+    """Extract, correct and publish a market. A market without partner correction has sales only."""
+    sales = extract_sales(raw, profile, as_of, months, distributors, limits)
+    if not profile.correct_partners:
+        catalog.save_table(sales, sales_table)
+        return
+    if pos is None or area_map is None:
+        raise ValueError(f"{profile.name} needs the POS map and the area map")
+    corrected = correct_partners(sales, pos, area_map, profile, limits)
+    publish_country(spark, corrected, area_map, profile, sales_table, area_table)
+
+
+def run_region(
+    profile: MarketProfile,
+    sales: DataFrame,
+    lookups: Lookups,
+    history_table: str,
+    extract_table: str,
+    unmatched: str = "literal_na",
+    limits: Limits = LIMITS,
+) -> None:
+    """Prepare and publish the regions found in ``sales`` (the 17 columns, by position)."""
+    publish_region(prepare_sales(as_sales(sales), lookups, profile, unmatched, limits), history_table, extract_table)

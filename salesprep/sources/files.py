@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesprep.contracts import POS_FILE, POS_NAMES, check_contract
 from salesprep.functions.months import snapshot_tag
 
 
@@ -22,6 +25,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.csv(path)
 
 
+def read_lookup(
+    spark: SparkSession, path: str, contract: T.StructType, names: Sequence[str], sep: str = ","
+) -> DataFrame:
+    """The contract's columns of a lookup file, found by header name, under the library's names.
+
+    Other columns of the file are not parsed further; all codes stay strings.
+    """
+    return check_contract(read_csv(spark, path, sep=sep), contract).select(*contract.names).toDF(*names)
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write delimited files with a header, keeping the spaces around values."""
     (
@@ -83,3 +96,9 @@ def read_dated(
     if view is not None:
         df.createOrReplaceTempView(view)
     return df
+
+
+def read_pos(spark: SparkSession, folder: str, prefix: str, as_of: Column, view: str | None = None) -> DataFrame:
+    """The POS map of the run date under the library's names; also a view of the file when named."""
+    dated = read_dated(spark, folder, prefix, as_of, view=view)
+    return check_contract(dated, POS_FILE).select(*POS_FILE.names).toDF(*POS_NAMES)

@@ -119,6 +119,22 @@ def test_publishing(spark):
         assert spark.catalog.tableExists(f"{tables[0]}_raw_data") == copied
 
 
+def test_country_run(spark):
+    database = f"t_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, staging.new_path(spark, "database"))
+    tables = (f"{database}.sales", f"{database}.areas")
+    pos, areas = lookups(spark)
+    raw = raw_frame(spark, [row(), row(distributor="D2", outlet="SFO2"), row()])
+    publish.run_country(spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables, pos=pos, area_map=areas)
+    assert bag(spark.table(tables[0]).select("distributor_code", "asm", "outlet_unique_code")) == {
+        ("P1", "ASM_HP JKCHD", "O1"): 1, ("P2", "A", "O1"): 1, ("D2", "X", "O2"): 1}
+    with pytest.raises(ValueError, match="POS"):
+        publish.run_country(spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables)
+    listed = spark.createDataFrame([("D2",)], "distributor_code string")
+    publish.run_country(spark, profile("PAKISTAN_HOME"), AS_OF, raw, *tables, distributors=listed)
+    assert bag(spark.table(tables[0]).select("store_code")) == {("D2_s",): 1}
+
+
 def test_month_window_reaches_the_scan(spark):
     path = staging.new_path(spark, "raw")
     raw_frame(spark, [row()]).write.parquet(path)

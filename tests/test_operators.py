@@ -48,6 +48,15 @@ def test_contract(spark):
         contracts.check_contract(good.withColumn("num_invoices", F.lit("1")), contracts.SALES)
 
 
+def test_sales_by_position(spark):
+    row = ["2020/01", "c", "D_1", "b", "S_1", "k", None, "a", "m", "N", "x", "1,2", "9", "1,234.5", "bad", "3", "4"]
+    typed = shape.as_sales(spark.createDataFrame([row], ", ".join(f"x{i} string" for i in range(17))))
+    assert typed.schema.simpleString() == contracts.SALES.simpleString()
+    assert list(typed.first()) == row[:13] + [1234.5, None, "3", 4]
+    with pytest.raises(ValueError):
+        shape.as_sales(typed.withColumn("more", F.lit(1)))
+
+
 # -- filters ----------------------------------------------------------------------
 
 

@@ -1,15 +1,17 @@
 import dataclasses
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from brute_force import NAMES, all_regions
 from helpers import bag, details_of, plan_of
-from salesprep import contracts
+from salesprep import contracts, staging
 from salesprep.markets import profile
 from salesprep.operators.lookup import LIMITS, Limits
-from salesprep.plans import region
+from salesprep.plans import publish, region
+from salesprep.sources import catalog
 
 TINY = Limits(broadcast_rows=0, rows_per_task=15, hot_keys=3)
 POS_FIELDS = contracts.POS_NAMES
@@ -109,6 +111,24 @@ def test_unmatched_outlets_may_keep_their_store(spark):
     check(spark, make_rows(3), MARKETS["INDIA_HEALTH"], unmatched="keep")
 
 
+def test_rerun_of_one_region_keeps_the_others(spark):
+    database = f"t_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, staging.new_path(spark, "database"))
+    tables = (f"{database}.previous_data", f"{database}.`6m_extract`")
+    rows = make_rows(9)
+    lookups = region.Lookups(frame(spark, make_pos(), POS_FIELDS), frame(spark, RESTRICTED, ["material"]))
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], contracts.SALES)
+    market = MARKETS["INDIA_HEALTH"]
+    publish.run_region(market, sales, lookups, *tables)
+    again = [r for r in rows if r["region"] == "N" and r["brand"] == "b1"]
+    publish.run_region(market, sales.where("region = 'N' and brand = 'b1'"), lookups, *tables)
+    others = all_regions([r for r in rows if r["region"] != "N"], make_pos(), RESTRICTED, ROUTE, market)
+    redone = all_regions(again, make_pos(), RESTRICTED, ROUTE, market)
+    names = (contracts.HISTORY_NAMES, contracts.EXTRACT_NAMES)
+    for table, columns, kept, new in zip(tables, names, others, redone, strict=True):
+        assert bag(spark.table(table).select(*columns)) == dict.fromkeys(kept | new, 1)
+
+
 def test_market_without_focus_months(spark):
     prepared = check(spark, make_rows(4), profile("PAKISTAN_HOME"))
     assert prepared.focus_extract is None

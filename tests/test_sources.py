@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import bag, plan_of
-from salesprep import staging
+from salesprep import contracts, staging
 from salesprep.sources import catalog, files, jdbc
 
 
@@ -61,6 +61,19 @@ def test_dated_snapshot(spark, tmp_path):
         files.read_dated(spark, str(tmp_path), "POS_", F.lit(datetime.date(2020, 2, 28)))
 
 
+def test_lookup_and_pos_columns_are_found_by_name(spark, tmp_path):
+    write_file(tmp_path / "areas.csv", "more,CUSTOM_ATTR14,RB_CUST_CODE\nx,Area,0010\n")
+    areas = files.read_lookup(spark, str(tmp_path / "areas.csv"), contracts.AREA_FILE, contracts.AREA_NAMES)
+    assert bag(areas) == {("0010", "Area"): 1}
+    with pytest.raises(ValueError, match="Material"):
+        files.read_lookup(spark, str(tmp_path / "areas.csv"), contracts.RESTRICTED_FILE, contracts.RESTRICTED_NAMES)
+    text = "SalesRepName|SalesRepCode|POSStatus|PartnerCode|POSDesc|POSCode|more\nn|r|1|P|d|007|x\n"
+    write_file(tmp_path / "pos" / "POS_20200228.csv", text)
+    pos = files.read_pos(spark, str(tmp_path / "pos"), "POS_", F.lit(datetime.date(2020, 2, 28)))
+    assert pos.columns == list(contracts.POS_NAMES)
+    assert bag(pos) == {("007", "d", "P", "1", "r", "n"): 1}
+
+
 def test_month_predicates():
     assert jdbc.month_predicates("year_month", "201911", "202002") == [
         "year_month = '2019/11'",
