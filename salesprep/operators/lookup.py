@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesprep.staging import Size, measure
+from salesprep.staging import Size, measure, stage_measured
 
 
 @dataclass(frozen=True)
@@ -83,11 +83,14 @@ def spread_join(
 
     ``counts`` (keys and ``_rows``) saves a counting pass over the fact. The salt
     mixes in the input partition, so equal rows do not meet again in one task;
-    it is the same when a task is run again.
+    it is the same when a task is run again. Without hot keys it is a plain join.
     """
     if counts is None:
         counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(hot_keys(counts, keys, limits))
+    hot, size = stage_measured(hot_keys(counts, keys, limits), "hot-keys")
+    if size.rows == 0:
+        return join_on(fact, lookup, keys, how, null_safe)
+    hot = F.broadcast(hot)
     mixed = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns], F.spark_partition_id())
     left = (
         join_on(fact, hot, keys, "left", null_safe=keys)

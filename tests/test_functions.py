@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import column
 from salesprep.functions import months, numbers, text
 from salesprep.markets import PROFILES, WindowRule, profile
+from salesprep.session import MIB, settings_for
 
 DAY = datetime.date
 
@@ -105,3 +106,9 @@ def test_profiles():
     assert {name for name, p in PROFILES.items() if p.route_stores} == {"INDO_HOME", "INDO_HEALTH"}
     with pytest.raises(ValueError):
         profile("ELSEWHERE")
+
+
+def test_session_settings():
+    small, large = settings_for(10 * MIB, 8), settings_for(100 * MIB**2, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert large["spark.sql.shuffle.partitions"] == "40000"
