@@ -39,9 +39,9 @@ def typed_sales(df: DataFrame) -> DataFrame:
     """Value and volume as doubles, also when they arrive as text with commas."""
     return df.withColumns(
         {
-            name: numbers.parse_number(F.col(name))
-            for name in ("value_sales", "vol_sales")
-            if isinstance(df.schema[name].dataType, T.StringType)
+            field.name: numbers.parse_number(F.col(field.name))
+            for field in df.schema
+            if field.name in ("value_sales", "vol_sales") and isinstance(field.dataType, T.StringType)
         }
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,12 @@ def restore_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def as_sales(df: DataFrame) -> DataFrame:
     """A table of the 17 sales columns, named by position and brought to the contract's types."""
     named = rename_positional(df, SALES.names)
+    textual = {field.name for field in named.schema if isinstance(field.dataType, T.StringType)}
 
-    def typed(field: T.StructField):
-        if isinstance(field.dataType, T.DoubleType):
-            return parse_number(F.col(field.name))
-        if isinstance(field.dataType, T.IntegerType):
-            return F.col(field.name).try_cast("int")
-        return F.col(field.name).cast(field.dataType)
+    def typed(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.StringType) or field.name not in textual:
+            return value.cast(field.dataType)
+        return parse_number(value).try_cast(field.dataType)
 
     return named.select(*[typed(field).alias(field.name) for field in SALES])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesprep import markets
@@ -15,7 +15,9 @@ from salesprep.operators import filters, keep, remap, shape
 from salesprep.operators.lookup import LIMITS, Limits
 
 
-def month_bounds(profile: MarketProfile, as_of: datetime.date, months: tuple[str, str] | None = None):
+def month_bounds(
+    profile: MarketProfile, as_of: datetime.date, months: tuple[str, str] | None = None
+) -> tuple[Column, Column]:
     """First and last month (``yyyyMM`` columns): the caller's, or the market's rule."""
     rule = profile.window
     if months is not None and not (rule is not None and rule.always):
@@ -26,6 +28,13 @@ def month_bounds(profile: MarketProfile, as_of: datetime.date, months: tuple[str
     return month_functions.window_start(day, rule), month_functions.window_end(day, rule)
 
 
+def month_values(
+    spark: SparkSession, profile: MarketProfile, as_of: datetime.date, months: tuple[str, str] | None = None
+) -> tuple[str, str]:
+    """The bounds as text, for readers that need it, such as one JDBC predicate per month."""
+    return tuple(spark.range(1).select(*month_bounds(profile, as_of, months)).first())
+
+
 def extract_sales(
     raw: DataFrame,
     profile: MarketProfile,

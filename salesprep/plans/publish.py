@@ -34,9 +34,9 @@ def publish_country(
 
 def publish_region(prepared: Prepared, history_table: str, extract_table: str) -> None:
     """History and extract, one partition per region; other regions stay as they are."""
-    catalog.save_by_region(prepared.history, history_table, "Region")
+    catalog.save_by_region(prepared.history, history_table, "Region", gather=False)
     if prepared.focus_extract is not None:
-        catalog.save_by_region(prepared.focus_extract, extract_table, "V10")
+        catalog.save_by_region(prepared.focus_extract, extract_table, "V10", gather=False)
 
 
 def run_country(

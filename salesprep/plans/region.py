@@ -39,9 +39,9 @@ class Prepared:
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:
-    """Measured, positive sales of some region, with trimmed texts. Narrow."""
+    """Measured, positive sales with trimmed texts; rows without a region belong to none. Narrow."""
     return (
-        sales.where(F.col("region").isNotNull())
+        sales.where(F.col("region") != "")
         .withColumns(
             {
                 "bucket": text.trim_whitespace(F.col("bucket")),
@@ -54,8 +54,12 @@ def clean_sales(sales: DataFrame) -> DataFrame:
 
 
 def deduped_sales(sales: DataFrame) -> DataFrame:
-    """Cleaned sales without duplicates, staged in order of month within each file."""
-    return stage(dedupe_sales(clean_sales(sales)), "sales")
+    """Cleaned sales without duplicates, staged by region and in order of month within each file.
+
+    The files of one region later make tasks that write to one region, so the
+    outputs need no shuffle of their own to be laid out by region.
+    """
+    return stage(dedupe_sales(clean_sales(sales)), "sales", ["region"])
 
 
 def mark_focus(sales: DataFrame, count: int, limits: Limits = LIMITS) -> tuple[DataFrame, str | None]:
@@ -158,7 +162,7 @@ def sales_by_store(sales: DataFrame, stores: DataFrame, size: Size, limits: Limi
             "bucket": F.col("latest_bucket"),
         }
     ).drop("_new_code", "latest_category", "latest_bucket")
-    return joined if small else stage(joined, "sales-by-store", ["_in_focus", "_merged"])
+    return joined if small else stage(joined, "sales-by-store", ["region", "_in_focus", "_merged"])
 
 
 def distinct_sales(df: DataFrame) -> DataFrame:

@@ -33,21 +33,22 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
     spark.sql(f"CREATE TABLE {target} USING parquet AS SELECT * FROM {source}")
 
 
-def save_by_region(df: DataFrame, table: str, column: str = "region") -> None:
+def save_by_region(df: DataFrame, table: str, column: str = "region", gather: bool = True) -> None:
     """Write one partition per region, replacing only the regions present in ``df``.
 
-    The rebalance hint lets AQE gather each region into few files and still
-    split a region that holds most of the rows.
+    With ``gather`` the rows are shuffled first: AQE packs each region into few
+    files and still splits a region that holds most of the rows. Without, each
+    task writes the regions it has, which suits rows already read by region.
     """
     spark = df.sparkSession
-    balanced = df.hint("rebalance", column)
+    rows = df.hint("rebalance", column) if gather else df
     if not spark.catalog.tableExists(table):
-        balanced.write.partitionBy(column).saveAsTable(table)
+        rows.write.partitionBy(column).saveAsTable(table)
         return
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        balanced.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(setting, before)

@@ -108,7 +108,7 @@ def one_region(rows, pos, restricted, route, profile, unmatched):
 
 def all_regions(rows, pos, restricted, route, profile, unmatched="literal_na"):
     history, extract = set(), set()
-    for region in sorted({r["region"] for r in rows if r["region"] is not None}):
+    for region in sorted({r["region"] for r in rows if r["region"]}):
         part = one_region([r for r in rows if r["region"] == region], pos, restricted, route, profile, unmatched)
         history |= part[0]
         extract |= part[1]

@@ -77,6 +77,12 @@ def test_markets_without_rules_raise(spark):
         country.correct_partners(raw, raw, raw, profile("PAKISTAN_HOME"))
 
 
+def test_month_values(spark):
+    assert country.month_values(spark, profile("INDIA_HEALTH"), AS_OF, ("201001", "201002")) == ("201801", "202001")
+    assert country.month_values(spark, profile("INDO_HOME"), AS_OF) == ("201612", "202002")
+    assert country.month_values(spark, profile("INDO_HOME"), AS_OF, ("201001", "201002")) == ("201001", "201002")
+
+
 def lookups(spark):
     pos = spark.createDataFrame(
         [("O1", "d", "P1", "1", "r", "n"), ("O1", "d", "P2", "1", "r", "n"), ("O2", "d", "P3", "0", "r", "n")],

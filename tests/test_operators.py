@@ -53,6 +53,7 @@ def test_sales_by_position(spark):
     typed = shape.as_sales(spark.createDataFrame([row], ", ".join(f"x{i} string" for i in range(17))))
     assert typed.schema.simpleString() == contracts.SALES.simpleString()
     assert list(typed.first()) == row[:13] + [1234.5, None, "3", 4]
+    assert bag(shape.as_sales(typed)) == bag(typed)
     with pytest.raises(ValueError):
         shape.as_sales(typed.withColumn("more", F.lit(1)))
 

@@ -41,7 +41,7 @@ def make_rows(seed, count=400):
                 category_desc=pick(["d", None]),
                 address=pick(["a1", "a2", None]),
                 metro=pick(["m", None]),
-                region=pick(["N", "N", "S", "S-W 1", None]),
+                region=pick(["N", "N", "01", "S-W 1/é", None, ""]),
                 bucket=pick([" Pharmacy ", "WSPharmacy\r\n", "Retail", "Based on last", None]),
                 yago=pick(["1,234", "abc", None, "5"]),
                 beat_code=pick(["1", None]),
@@ -138,7 +138,7 @@ def test_all_regions_equal_one_by_one(spark):
     rows = make_rows(5)
     market = MARKETS["PAKISTAN_HOME"]
     together = prepare(spark, rows, market)
-    parts = [prepare(spark, [r for r in rows if r["region"] == one], market) for one in ("N", "S", "S-W 1")]
+    parts = [prepare(spark, [r for r in rows if r["region"] == one], market) for one in ("N", "01", "S-W 1/é")]
     for output in ("history", "focus_extract"):
         alone = sum((bag(getattr(part, output)) for part in parts), bag(getattr(together, output).limit(0)))
         assert bag(getattr(together, output)) == alone
