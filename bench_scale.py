@@ -7,6 +7,7 @@ of the sales rows.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 import sys
@@ -97,8 +98,6 @@ def main() -> None:
 
 def _all_outlets():
     """The file market's rules without its outlet filter, so that all rows are written."""
-    import dataclasses
-
     return dataclasses.replace(HEALTH, outlet_rules=False)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # -- the views of FIXTURES.md -------------------------------------------------------
 
 VIEWS = {
@@ -342,8 +344,6 @@ def _with_views(query: str) -> str:
 
 
 def _mentions(text: str, name: str) -> bool:
-    import re
-
     return re.search(rf"\b(from|join|,)\s+{name}\b", text) is not None
 
 
