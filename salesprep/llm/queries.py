@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesprep.llm import url_filter
+from salesprep.llm import language_id, quality_classifier, url_filter
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -25,6 +26,36 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.build_index(rules), keep=["page_id"])
 
 
+def fold(parts: int) -> Column:
+    """crc32 of the doc_id as text, modulo ``parts``; 0 for a null doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts, F.lit(0))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(4) == 2).alias("held_out"))
+    model = language_id.fit(docs.where("NOT held_out"))
+    return language_id.predict(docs, model, keep=["doc_id", "held_out"])
+
+
+#: Score from which a text counts as good.
+GOOD = 0.3
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_classifier.Model:
+    """Learnt from labelled rows outside the held-out fold."""
+    learnt = labels.select("doc_id", "quality").where((fold(5) != 0) & F.col("doc_id").isNotNull()).distinct()
+    return quality_classifier.fit(docs.select("doc_id", "text").join(learnt, "doc_id"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(5) == 0).alias("held_out"))
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(docs, model, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op7_language_id": op7_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
