@@ -1,8 +1,8 @@
 """Quality classifier by compression with dictionaries of good and bad text.
 
-Training takes a bounded sample of labelled texts (``sample_rows`` rows of each
-label in order of a hash of the text, and of these at most ``sample_pieces`` pieces
-of each label). Half of the rows give two zstandard dictionaries; the other half
+Training takes a bounded sample of labelled rows: ``sample`` draws ``SAMPLE_ROWS`` ids of
+each label in order of a hash of the id, and ``fit`` at most ``sample_pieces`` pieces of
+the texts of each label. Half of the rows give two zstandard dictionaries; the other half
 calibrates: a logistic regression on the normalised difference of the sizes to
 which the two dictionaries compress a text, and on the size itself.
 
@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesprep.llm.shared import raw_texts, slices
+from salesprep.llm.shared import raw_texts, slices, stage
 
 PIECE = 512
 LEVEL = 3
 DICTIONARY_BYTES = 64 << 10
+#: Labelled ids drawn of each label.
+SAMPLE_ROWS = 4_000
 #: Fewer pieces than this make no dictionary.
 LEAST_PIECES = 16
 
@@ -95,12 +97,20 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int =
     return w
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", sample_rows: int = 4_000, sample_pieces: int = 24_000) -> Model:
-    """Model from labelled rows; at most ``sample_pieces`` pieces of each label come to the driver."""
+def sample(labels: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Texts and labels of at most ``rows`` labelled ids of each label; so few ids are broadcast, and ``docs`` is not shuffled."""
+    known = labels.select(F.col(doc_id).alias("i"), F.col(label).cast("int").alias("y")).where("i IS NOT NULL AND y IN (0, 1)").distinct()
+    order = [F.xxhash64("i", F.lit("sample")), "i"]
+    drawn = known.where("y = 0").orderBy(*order).limit(rows).unionByName(known.where("y = 1").orderBy(*order).limit(rows))
+    texts = docs.select(F.col(doc_id).alias("i"), F.col(text).alias(text)).join(F.broadcast(drawn), "i")
+    return stage(texts.select(text, F.col("y").alias(label)), "quality-sample")
+
+
+def fit(labelled: DataFrame, text: str = "text", label: str = "quality", sample_pieces: int = 24_000) -> Model:
+    """Model from labelled rows, a bounded sample; at most ``sample_pieces`` pieces of each label come to the driver."""
     rows = labelled.select(F.col(text).alias("t"), F.col(label).cast("int").alias("y")).where(F.col("t").isNotNull() & F.col("y").isin(0, 1))
     rows = rows.withColumn("h", F.xxhash64("t", F.lit("sample")))
-    sample = rows.where("y = 0").orderBy("h", "t").limit(sample_rows).unionByName(rows.where("y = 1").orderBy("h", "t").limit(sample_rows))
-    cut = sample.select("y", "h", F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("t"), F.lit(1)) - 1) / PIECE).cast("int"))).alias("i"), "t")
+    cut = rows.select("y", "h", F.explode(F.sequence(F.lit(0), F.floor((F.greatest(F.length("t"), F.lit(1)) - 1) / PIECE).cast("int"))).alias("i"), "t")
     cut = cut.select("y", "h", "i", F.substring("t", F.col("i") * PIECE + 1, F.lit(PIECE)).alias("t"))
     texts: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
     for y in (0, 1):
