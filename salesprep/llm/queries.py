@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesprep.llm import language_id, quality_classifier, url_filter
+from salesprep.llm import language_id, packing, quality_classifier, simhash, url_filter
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -31,6 +32,18 @@ def fold(parts: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts, F.lit(0))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"), shingle=3)
+
+
+def word_tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(4) == 2).alias("held_out"))
     model = language_id.fit(docs.where("NOT held_out"))
@@ -43,8 +56,7 @@ GOOD = 0.3
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality_classifier.Model:
     """Learnt from labelled rows outside the held-out fold."""
-    learnt = labels.select("doc_id", "quality").where((fold(5) != 0) & F.col("doc_id").isNotNull()).distinct()
-    return quality_classifier.fit(docs.select("doc_id", "text").join(learnt, "doc_id"))
+    return quality_classifier.fit(quality_classifier.sample(labels.where(fold(5) != 0), docs))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +68,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op4_simhash": op4_simhash,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
