@@ -23,4 +23,19 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (n)
 """
 
-ORACLE = {"op1_url_filter": OP1}
+OP8 = """
+WITH sized AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM sized),
+ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS first FROM hashed)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31))::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM ranked
+"""
+
+ORACLE = {"op1_url_filter": OP1, "op8_warc": OP8}

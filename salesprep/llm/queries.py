@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesprep.llm import language_id, packing, quality_classifier, simhash, url_filter
+from salesprep.llm import decontamination, language_id, packing, quality_classifier, simhash, url_filter, warc
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -32,6 +32,10 @@ def fold(parts: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts, F.lit(0))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), shingle=3)
 
@@ -50,6 +54,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_headers(spark, warc.write_archive(table(spark, sf_dir, "pages")))
+
+
 #: Score from which a text counts as good.
 GOOD = 0.3
 
@@ -68,8 +76,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_decontamination": op2_decontamination,
     "op4_simhash": op4_simhash,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
+    "op8_warc": op8_warc,
     "op10_quality_classifier": op10_quality_classifier,
 }
