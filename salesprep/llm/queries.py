@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesprep.llm import decontamination, language_id, packing, quality_classifier, simhash, url_filter, warc
+from salesprep.llm import decontamination, html_text, language_id, packing, quality_classifier, simhash, url_filter, warc
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -58,6 +58,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_headers(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 #: Score from which a text counts as good.
 GOOD = 0.3
 
@@ -81,5 +85,6 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_warc": op8_warc,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
 }
