@@ -4,15 +4,14 @@ Fingerprint: of all shingles of a text (repeats included) 64-bit XXH64 hashes ar
 taken; a bit is set if it is set in over half of them. Two fingerprints link at
 ``DISTANCE`` or fewer differing bits; components of links are the groups.
 
-Links are found in an embedding. A fingerprint is cut into ``SEGMENTS`` segments, and
-becomes the vector of their bit counts. The Manhattan distance of two vectors is
-at most the Hamming distance of the fingerprints, so all linked fingerprints lie
-within Manhattan distance ``DISTANCE``. The segments form ``PARTS`` halves; of two
-linked vectors one half at least has distance ``DISTANCE // PARTS`` = 1 or less. So the
-grid's cells are the vectors of a half: a fingerprint goes into its own cell, and
-one with an even number of bits in that half also into the adjacent cells (of two
-vectors at distance 1 one has an even sum). What meets in a cell is compared by
-Manhattan distance of the whole vectors first, then exactly.
+Links are found in an embedding. A fingerprint is cut into 32 segments of two bits,
+and becomes the vector of their bit counts. The Manhattan distance of two vectors is
+at most the Hamming distance of the fingerprints, so linked fingerprints lie
+within Manhattan distance ``DISTANCE`` = 3. The segments form ``GROUPS`` groups; vectors within
+distance 3 differ in three groups at most, so they share a cell of one of the grids that
+``GROUPS`` - 3 of the groups span. What meets in a cell is compared by
+Manhattan distance of the whole vectors first, then exactly. A grid over 20 of
+32 segments keeps chance meetings rare (2 in 10 million pairs of random fingerprints).
 
 Only distinct fingerprints take part, so exact copies count once. A cell puts out
 no more links than members: a spanning forest of its links. Cells of more than
@@ -27,7 +26,7 @@ doc_id (null if there is none). Repeated rows stay; an empty table gives none.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +39,7 @@ from salesprep.llm.shared import longs, raw_texts, slices, stage
 
 SEED = 42
 DISTANCE = 3
-SEGMENTS = 32
-PARTS = 2
+GROUPS = 8
 BLOCK = 20_000
 #: Shingles whose bits are summed at once.
 CHUNK = 1 << 14
@@ -78,10 +76,6 @@ def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: st
     return docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("t")).mapInArrow(run, "doc long, fp long")
 
 
-def bit_count(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
-
-
 def embed(fps: np.ndarray) -> np.ndarray:
     """Bit counts of the 2-bit segments, in the places of the segments."""
     mask = np.uint64(0x5555555555555555)
@@ -96,28 +90,17 @@ def manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     differ = a ^ b
     odd = (a ^ b) & low
     far = (differ & high) >> np.uint64(1) & ~odd & low
-    return bit_count(odd) + 2 * bit_count(far)
-
-
-def cells(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes into ``fps`` and the cells (with the half in the top bit's place) that each goes to."""
-    vectors = embed(fps)
-    index, keys = [], []
-    everyone = np.arange(len(fps))
-    for half in range(PARTS):
-        own = (vectors >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-        tag = np.uint64(half << 32)
-        index.append(everyone)
-        keys.append(own | tag)
-        bits = (fps >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-        even = np.flatnonzero(bit_count(bits) % 2 == 0)
-        for segment in range(SEGMENTS // PARTS):
-            one = np.uint64(1 << (2 * segment))
-            value = (own[even] >> np.uint64(2 * segment)) & np.uint64(3)
-            for rows, step in ((even[value < 2], one), (even[value > 0], np.uint64(-int(one) % (1 << 64)))):
-                index.append(rows)
-                keys.append((own[rows] + step) | tag)
-    return np.concatenate(index), np.concatenate(keys)
+    return np.bitwise_count(odd) + 2 * np.bitwise_count(far)
+
+
+#: Bits of the embedding that each grid keeps.
+GRIDS = tuple(sum(0xFF << (8 * g) for g in kept) for kept in combinations(range(GROUPS), GROUPS - DISTANCE))
+
+
+def cells(fps: np.ndarray) -> np.ndarray:
+    """Cells of fingerprints, a row for each and a column for each grid."""
+    vectors = embed(fps)[:, None] & np.array(GRIDS, np.uint64)
+    return (vectors + np.arange(len(GRIDS), dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,14 +108,13 @@ def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, batch.num_rows, 4096):
             part = batch.slice(start, 4096)
             fps = part["fp"].to_numpy().view(np.uint64)
-            index, keys = cells(fps)
-            yield pa.RecordBatch.from_arrays([longs(keys.view(np.int64)), longs(fps[index].view(np.int64))], names=["cell", "fp"])
+            yield pa.RecordBatch.from_arrays([longs(cells(fps).view(np.int64).ravel()), longs(np.repeat(fps.view(np.int64), len(GRIDS)))], names=["cell", "fp"])
 
 
 def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether pairs link: the lower bound first, then the exact distance of those it leaves."""
     near = manhattan(embed(a), embed(b)) <= DISTANCE
-    near[near] = bit_count(a[near] ^ b[near]) <= DISTANCE
+    near[near] = np.bitwise_count(a[near] ^ b[near]) <= DISTANCE
     return near
 
 
@@ -149,7 +131,7 @@ def forest(fps: np.ndarray) -> list[tuple[int, int]]:
     vectors, edges = embed(fps), []
     for i in range(len(fps) - 1):
         near = np.flatnonzero(manhattan(vectors[i], vectors[i + 1 :]) <= DISTANCE) + i + 1
-        for j in near[bit_count(fps[i] ^ fps[near]) <= DISTANCE].tolist():
+        for j in near[np.bitwise_count(fps[i] ^ fps[near]) <= DISTANCE].tolist():
             a, b = root(i), root(j)
             if a != b:
                 parent[b] = a
