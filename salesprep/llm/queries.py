@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesprep.llm import decontamination, html_text, language_id, packing, quality_classifier, simhash, url_filter, warc
+from salesprep.llm import decontamination, html_text, language_id, packing, quality_classifier, quality_rules, simhash, url_filter, warc
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -36,6 +36,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), shingle=3)
 
@@ -81,6 +85,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
+    "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
