@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesprep.llm import decontamination, html_text, language_id, packing, quality_classifier, quality_rules, simhash, url_filter, warc
+from salesprep.llm import decontamination, html_text, language_id, packing, quality_classifier, quality_rules, simhash, suffix_dedup, url_filter, warc
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -52,6 +52,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(4) == 2).alias("held_out"))
     model = language_id.fit(docs.where("NOT held_out"))
@@ -88,6 +92,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
     "op8_warc": op8_warc,
     "op9_html_extraction": op9_html_extraction,
