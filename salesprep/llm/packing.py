@@ -37,9 +37,10 @@ SEPARATOR = "<|endoftext|>"
 OPEN_BINS = 4096
 TASK_PIECES = 200_000
 #: Words whose ids a task remembers; then it begins anew.
-WORDS = 1_000_000
+WORDS = 2_000_000
 #: Words of a text that are looked up at once.
 CHUNK = 1 << 18
+ENDINGS = (b".", b",")
 #: New words that are encoded together.
 GROUP = 1000
 
@@ -47,9 +48,9 @@ GROUP = 1000
 class Encoder:
     """Ids of texts, word by word with a memory of words.
 
-    The tokenizer must cut at white space whatever stands around it (as the public
-    word tokenizer does: it replaces white space by a space and drops it). Then a
-    text's ids are those of its space-separated words one after the other.
+    The tokenizer must fold case, cut at white space whatever stands around it, and
+    between letters and punctuation, as the public word tokenizer does. Then a text's
+    ids are those of its space-separated words one after the other.
     """
 
     def __init__(self, path: str) -> None:
@@ -88,21 +89,36 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text."""
-        self.prepare(texts)
-        for words in map(bytes.split, texts):
+        # the tokenizer folds case, but not within its special tokens
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self.prepare(split)
+        for words in split:
             parts = [self.look_up(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)]
             yield np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
-    def prepare(self, texts: list[bytes]) -> None:
-        """Learn the new words of several texts at once."""
+    def prepare(self, texts: list[list[bytes]]) -> None:
+        """Learn the new words of several texts at once.
+
+        A full stop or comma after a letter is a token of its own, so such words are put
+        together from what is before it.
+        """
         if len(self.places) > WORDS:
             self.forget()
-        new = set().union(*(t.split() for t in texts)).difference(self.places)
-        if new:
-            self.learn(list(new))
+        new = set().union(*texts).difference(self.places)
+        ending = [w for w in new if w[-1:] in ENDINGS and w[-2:-1].isalpha()]
+        plain = new.difference(ending).union(w[:-1] for w in ending).union(ENDINGS if ending else ()).difference(self.places)
+        if plain:
+            self.learn(list(plain))
+        # a word without its ending may have been known by another
+        if ending:
+            at = np.fromiter((self.places[x] for w in ending for x in (w[:-1], w[-1:])), np.int64, 2 * len(ending))
+            sizes = self.sizes[at].reshape(-1, 2).sum(axis=1)
+            self.store(ending, self.gather(at), np.cumsum(sizes) - sizes, sizes)
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        return self.gather(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
+
+    def gather(self, at: np.ndarray) -> np.ndarray:
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         index = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])
