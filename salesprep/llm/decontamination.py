@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,8 +138,9 @@ def candidates(block: Block, seeds: list[list[int]], text: str) -> Iterator[tupl
         yield i, *best
 
 
-def match_block(docs: DataFrame, rows: list[tuple[int, str]], least_score: float) -> DataFrame:
-    spark = docs.sparkSession
+def prepare(texts: DataFrame, rows: list[tuple[int, str]]) -> tuple[Broadcast, Broadcast]:
+    """A block of test items, and which items each of its n-grams is a seed of; counted over all ``texts`` (column t)."""
+    spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(make_block(rows))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +152,7 @@ def match_block(docs: DataFrame, rows: list[tuple[int, str]], least_score: float
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([longs(seen), longs(totals[seen])], names=["gram", "n"])
 
-    counted = docs.select("t").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     documents = np.zeros(len(shared.value.grams), np.int64)
     for gram, n in counted.toLocalIterator():
         documents[gram] = n
@@ -164,19 +166,17 @@ def match_block(docs: DataFrame, rows: list[tuple[int, str]], least_score: float
         for gram in grams:
             if documents[gram] <= median:
                 rare[gram].append(i)
-    seeds = spark.sparkContext.broadcast(rare)
+    return shared, spark.sparkContext.broadcast(rare)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, seeds_of = shared.value, seeds.value
-        for batch in slices(batches):
-            out = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["t"].to_pylist(), strict=True):
-                out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seeds_of, text) if s >= least_score]
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "score", "first_word", "last_word"])
 
-    return docs.mapInArrow(search, "doc_id long, item_id long, score double, first_word long, last_word long")
+def blocks_of(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int, str]]]:
+    """The test items in blocks of about ``BLOCK_BYTES`` of text."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
+    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // BLOCK_BYTES))
+    for b in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).orderBy("i", "t").collect()
+        yield [(r.i, r.t) for r in rows]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -185,12 +185,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEA
     ``last_word`` is one past the aligned passage; ``first_word`` is where the searched part begins.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).where("t IS NOT NULL")
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
-    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = -(-total // BLOCK_BYTES)
     found = None
-    for b in range(max(1, blocks)):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(max(1, blocks))) == b).orderBy("i", "t").collect()
-        part = match_block(texts, [(r.i, r.t) for r in rows], least_score)
+    for rows in blocks_of(benchmark, item_id, item_text):
+        shared, seeds = prepare(texts.select("t"), rows)
+
+        def search(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, seeds: Broadcast = seeds) -> Iterator[pa.RecordBatch]:
+            block, seeds_of = shared.value, seeds.value
+            for batch in slices(batches):
+                out = []
+                for doc, text in zip(batch["doc_id"].to_pylist(), batch["t"].to_pylist(), strict=True):
+                    out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seeds_of, text) if s >= least_score]
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "score", "first_word", "last_word"])
+
+        part = texts.mapInArrow(search, "doc_id long, item_id long, score double, first_word long, last_word long")
         found = part if found is None else found.unionByName(part)
     return found
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold a test item, at ``least_score`` or more."""
+    names = docs.columns
+    place = names.index(text)
+    kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    texts = kept.select(F.col(f"c{place}").alias("t")).where("t IS NOT NULL")
+    for rows in blocks_of(benchmark, item_id, item_text):
+        shared, seeds = prepare(texts, rows)
+
+        def drop(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, seeds: Broadcast = seeds) -> Iterator[pa.RecordBatch]:
+            block, seeds_of = shared.value, seeds.value
+            for batch in slices(batches):
+                keep = [not any(s >= least_score for _, s, _, _ in candidates(block, seeds_of, t or "")) for t in batch[place].to_pylist()]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        kept = kept.mapInArrow(drop, kept.schema)
+    return kept.toDF(*names)

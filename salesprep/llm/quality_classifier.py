@@ -136,8 +136,8 @@ def dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
-def score(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` columns and ``score``, the probability of good quality."""
+def score(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = (), name: str = "score") -> DataFrame:
+    """``keep`` columns and the column ``name``, the probability of good quality."""
     source = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("t"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())])
     weights = np.array(model.weights)
@@ -151,4 +151,12 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] =
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(logistic(z), pa.float64())], names=[*batch.schema.names[:-1], "score"])
 
     scored = source.mapInArrow(run, schema)
-    return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "score")
+    return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("score").alias(name))
+
+
+def only_good(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` with a score of ``least`` or more."""
+    name = "score_"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return score(docs, model, text, docs.columns, name).where(F.col(name) >= least).drop(name)

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesprep.llm.components import components
 from salesprep.llm.shared import longs, raw_texts, slices, stage
@@ -65,15 +66,18 @@ def fingerprint(text: bytes, n: int) -> int:
     return sum(1 << int(b) for b in set_bits)
 
 
-def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc`` and ``fp`` (the fingerprint as a signed long) of each row."""
+def fingerprints(docs: DataFrame, shingle: int, text: str, name: str) -> DataFrame:
+    """All columns and the fingerprint of ``text``, a signed long, as ``name``."""
+    place = docs.columns.index(text)
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = np.array([fingerprint(t, shingle) for t in raw_texts(batch["t"])], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc"], longs(found.view(np.int64))], names=["doc", "fp"])
+            found = np.array([fingerprint(t, shingle) for t in raw_texts(batch[place])], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, longs(found.view(np.int64))], names=[*batch.schema.names, "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("t")).mapInArrow(run, "doc long, fp long")
+    schema = T.StructType([*numbered.schema.fields, T.StructField("fp", T.LongType())])
+    return numbered.mapInArrow(run, schema).toDF(*docs.columns, name)
 
 
 def embed(fps: np.ndarray) -> np.ndarray:
@@ -185,13 +189,33 @@ def links(nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(to_links, "a long, b long").distinct()
 
 
-def groups(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of each row."""
-    rows = stage(fingerprints(docs, shingle, doc_id, text), "simhash-rows")
+def rooted(rows: DataFrame) -> DataFrame:
+    """fp, root (of its component) and first (smallest doc) of the distinct fingerprints of rows (doc, fp)."""
     nodes = stage(rows.groupBy("fp").agg(F.min("doc").alias("first")), "simhash-nodes")
     roots = components(stage(links(nodes.select("fp")), "simhash-links"))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stage(rooted, "simhash-rooted")
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labelled = rooted.join(ids, "root").select("fp", "component_id")
+    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    return stage(named, "simhash-rooted")
+
+
+def groups(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of each row."""
+    source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("t"))
+    rows = stage(fingerprints(source, shingle, "t", "fp").select("doc", "fp"), "simhash-rows")
+    found = rooted(rows)
+    ids = found.groupBy("root").agg(F.min("first").alias("component_id"))
+    labelled = found.join(ids, "root").select("fp", "component_id")
     return rows.join(labelled, "fp").select(F.col("doc").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that with the smallest doc_id, nulls last; of equal ids any one."""
+    names = docs.columns
+    tagged = fingerprints(docs, shingle, text, "fp_").toDF(*[f"c{i}" for i in range(len(names))], "fp")
+    tagged = stage(tagged.withColumn("row", F.monotonically_increasing_id()), "simhash-tagged")
+    rows = tagged.select(F.col(f"c{names.index(doc_id)}").cast("long").alias("doc"), "fp", "row")
+    found = rooted(rows.select("doc", "fp")).select("fp", "root")
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
+    first = rows.groupBy("fp").agg(F.min(order).alias("first")).join(found, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    keepers = stage(first.select(F.col("first.row").alias("row")), "simhash-keepers")
+    kept = tagged.join(keepers, "row", "left_semi")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

@@ -490,7 +490,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """``docs`` with what is left of each text; null texts stay null. Texts that lose all their bytes become empty."""
     _, copied, left = repeats(docs, doc_id, text)
     changed = left.select("tid", "kept").unionByName(copied.select("tid", F.lit("").alias("kept")))
-    tid = F.unhex(F.substring(F.sha2(F.encode(F.col(f"`{text}`"), "UTF-8"), 256), 1, 2 * TID))
+    tid = F.unhex(F.substring(F.sha2(F.col(f"`{text}`").cast("binary"), 256), 1, 2 * TID))
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], tid.alias("tid"))
     kept = F.coalesce(F.col("kept"), F.col(f"c{docs.columns.index(text)}"))
     return plain.join(changed, "tid", "left").select(*[(kept if c == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)])

@@ -106,9 +106,9 @@ def write_archive(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_i
     linked = rows.join(firsts, "sha256").select("page", "row", "url", "sha256", "sha1", "n_bytes", F.when(refers, F.col("first_page")).alias("first_page"), F.when(refers, F.col("first_row")).alias("first_row"))
     archive = Archive(new_path(spark, "warc-payloads"), new_path(spark, "warc-headers"))
     linked.mapInArrow(headers, "row long, sha256 binary, header binary").write.parquet(archive.headers)
-    stored = source.select("row", F.coalesce(F.encode("t", "UTF-8"), F.lit(b"")).alias("payload"))
-    owners = firsts.select("sha256", F.col("first_row").alias("row"))
-    stored.join(owners, "row").select("sha256", "payload").write.parquet(archive.payloads)
+    payload = F.coalesce(F.col(f"`{html}`").cast("string").cast("binary"), F.lit(b""))
+    stored = pages.select(payload.alias("payload")).withColumn("sha256", F.unhex(F.sha2("payload", 256)))
+    stored.groupBy("sha256").agg(F.first("payload").alias("payload")).write.parquet(archive.payloads)
     return archive
 
 
