@@ -28,7 +28,7 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``root`` (the smallest node of its component) of all nodes with an edge; edges are longs (a, b)."""
+    """``node`` and ``root`` (the smallest node of its component) of all nodes with an edge but the roots; edges are longs (a, b)."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     seen = None
     while True:

@@ -177,13 +177,18 @@ def links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that span the components of links among distinct fingerprints (column fp)."""
     spread = nodes.mapInArrow(to_cells, "cell long, fp long")
     spread = stage(spread, "simhash-cells")
-    crowded = spread.groupBy("cell").count().where(F.col("count") > 1).select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    crowded = stage(crowded, "simhash-crowded")
-    met = spread.join(crowded, "cell")
+    # cells are counted only in buckets of cells that hold enough rows for a crowded one
+    buckets = max(1024, 10 * spread.count() // BLOCK)
+    bucketed = spread.select("cell", F.pmod(F.xxhash64("cell"), F.lit(buckets)).alias("bucket"))
+    full = bucketed.groupBy("bucket").count().where(F.col("count") > BLOCK).select("bucket")
+    crowded = bucketed.join(full, "bucket", "left_semi").groupBy("cell").count().where(F.col("count") > BLOCK)
+    crowded = stage(crowded.select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "simhash-crowded")
+    met = spread.join(crowded, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     # a member of block b of k meets each block once: the groups of the pairs (b, 0..k-1)
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least(x, block) * F.col("blocks") + F.greatest(x, block))
-    met = met.select("cell", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(meets)).alias("part"), "fp")
+    split = met.where("blocks > 1").select("cell", F.explode(meets).alias("part"), "fp")
+    met = met.where("blocks = 1").select("cell", F.lit(0).cast("long").alias("part"), "fp").unionByName(split)
     count = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = met.repartition(count, "cell", "part").sortWithinPartitions("cell", "part", "fp")
     return dealt.mapInArrow(to_links, "a long, b long").distinct()
