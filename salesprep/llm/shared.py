@@ -34,12 +34,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice has about ``most_bytes`` of data, one row at least."""
     for batch in batches:
         rows = max(1, int(batch.num_rows * most_bytes / max(batch.nbytes, most_bytes)))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def raw_texts(column: pa.Array) -> list[bytes]:

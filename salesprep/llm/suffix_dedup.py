@@ -51,9 +51,9 @@ LEFT = LENGTH - GRAM
 BITMAP_BITS = 1 << 26
 MEMORY_TUPLES = 1 << 20
 #: Tuples of small hashes that are sorted together.
-SHARD_TUPLES = 20_000
+SHARD_TUPLES = 8_000
 #: Bytes of a text that are hashed at once.
-PART = 1 << 20
+PART = 1 << 18
 TID = 16
 
 _random = np.random.default_rng(20_240)
@@ -165,7 +165,7 @@ def fetch(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffix tuples: hash, how many share it, text, place, bytes before (nearest first) and from there on."""
-    for batch in slices(batches, 2 << 20):
+    for batch in slices(batches, 1 << 20):
         out = []
         for tid, found, raw in zip(batch["tid"].to_pylist(), batch["found"].to_pylist(), batch["raw"].to_pylist(), strict=True):
             out += [(x["h"], x["n"], tid, p, raw[max(0, p - LEFT) : p][::-1], raw[p : p + LENGTH]) for x in found for p in (x["place"],)]
@@ -393,7 +393,7 @@ def induced(most: int = MEMORY_TUPLES, together: int = SHARD_TUPLES) -> Callable
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, last = None, None
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches):
             h, n = batch["h"].to_numpy(), batch["n"].to_numpy()
             starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             first = 0
