@@ -1,0 +1,98 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from salesprep.llm import suffix_dedup
+from salesprep.llm.queries import QUERIES
+
+
+def plain(texts):
+    """n_bytes, n_removed, n_spans, sha256 of what is left, by counting every window."""
+    raws = [(t or "").encode() for t in texts]
+    size = suffix_dedup.LENGTH
+    count = Counter(r[i : i + size] for r in raws for i in range(len(r) - size + 1))
+    out = []
+    for r in raws:
+        gone = np.zeros(len(r) + 1, bool)
+        for i in range(len(r) - size + 1):
+            if count[r[i : i + size]] > 1:
+                gone[i : i + size] = True
+        edges = np.diff(np.concatenate([[0], gone.astype(int)]))
+        left = bytes(np.frombuffer(r, np.uint8)[~gone[: len(r)]])
+        out.append((len(r), int(gone.sum()), int((edges == 1).sum()), hashlib.sha256(left).hexdigest(), left))
+    return out
+
+
+def check(found, source):
+    want = sorted(((d, *w[:4]) for (d, _), w in zip(source, plain([t for _, t in source]), strict=True)), key=repr)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == want
+
+
+def test_query_equals_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    check(QUERIES["op6_suffix_dedup"](spark, sf), [tuple(r) for r in docs])
+
+
+def small(awkward):
+    return awkward.where("doc_id IS NULL OR doc_id <> 8")
+
+
+def test_awkward_and_empty(spark, awkward, empty):
+    docs = small(awkward)
+    check(suffix_dedup.report(docs), [tuple(r) for r in docs.select("doc_id", "text").collect()])
+    assert suffix_dedup.report(empty).count() == 0
+    assert suffix_dedup.without_repeats(empty).count() == 0
+
+
+def passages(n, seed=1):
+    """Texts that share parts of a few passages, at lengths around the bound."""
+    rng = random.Random(seed)
+    shared = ["".join(rng.choices("abcd ", k=900)) for _ in range(3)] + ["xyzw" * 20 + "".join(rng.choices("ij", k=820))]
+    texts = []
+    for _ in range(n):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            p, a = rng.choice(shared), rng.randint(0, 300)
+            parts += ["".join(rng.choices("efgh ", k=rng.randint(0, 80))), p[a : a + rng.choice([398, 399, 400, 401, 500, 600])]]
+        texts.append("".join(parts))
+    return texts
+
+
+@pytest.mark.parametrize(("most", "together"), [(1 << 20, 20_000), (1 << 20, 1), (500, 100)])
+def test_shards_in_memory_and_on_disk_agree(spark, monkeypatch, most, together):
+    monkeypatch.setattr(suffix_dedup, "induced", lambda make=suffix_dedup.induced: make(most, together))
+    texts = list(enumerate(passages(10)))
+    check(suffix_dedup.report(spark.createDataFrame(texts, "doc_id long, text string")), texts)
+
+
+def test_text_keeps_columns_and_whole_characters(spark, awkward):
+    docs = small(awkward)
+    kept = suffix_dedup.without_repeats(docs)
+    assert kept.columns == docs.columns
+    source = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = [(d, None if t is None else w[4].decode(errors="ignore")) for (d, t), w in zip(source, plain([t for _, t in source]), strict=True)]
+    assert sorted((tuple(r) for r in kept.select("doc_id", "text").collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_queue_spills_and_pops_in_order():
+    rng = np.random.default_rng(2)
+    queue, pushed = suffix_dedup.TupleQueue(50), []
+    for i in range(40):
+        part = np.stack([rng.integers(0, 30, 20), np.arange(20 * i, 20 * i + 20), rng.integers(0, 400, 20), rng.integers(0, 99, 20)])
+        pushed.append(part)
+        queue.push(part)
+    assert len(queue.runs) > 5
+    found = np.concatenate(list(queue.drain()), axis=1)
+    everything = np.concatenate(pushed, axis=1)
+    assert (found == everything[:, np.lexsort((everything[1], everything[0]))]).all()
+
+
+def test_anchors_do_not_depend_on_parts(monkeypatch):
+    text = "".join(passages(30)).encode()
+    whole = suffix_dedup.anchors(text)
+    monkeypatch.setattr(suffix_dedup, "PART", 700)
+    for a, b in zip(whole, suffix_dedup.anchors(text), strict=True):
+        assert (a == b).all()
