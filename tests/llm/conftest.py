@@ -1,8 +1,7 @@
 """Small tables with every awkward case, and the given tables at the smallest scale."""
 
-import random
-
 import pytest
+from llm_helpers import prose
 
 SF = "/root/testdata/sf0.001"
 #: Names that operators use for their own columns.
@@ -14,12 +13,6 @@ def sf():
     return SF
 
 
-def prose(seed: int, words: int) -> str:
-    rng = random.Random(seed)
-    stems = ["".join(rng.choice("bdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(400)]
-    return " ".join(rng.choice(stems) + rng.choice(["", "", "", ",", "."]) for _ in range(words))
-
-
 @pytest.fixture(scope="session")
 def awkward(spark):
     """Documents with nulls, empty and long texts, copies, repeated rows and clashing extra columns."""

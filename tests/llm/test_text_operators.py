@@ -1,0 +1,232 @@
+"""Decontamination, quality rules, language, archive, page text, classifier and pipeline."""
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from salesprep.llm import decontamination, html_text, language_id, quality_classifier, quality_rules, warc
+from salesprep.llm.queries import QUERIES
+from llm_helpers import prose
+
+
+# Decontamination
+
+
+def plain_score(item, text):
+    """Smith-Waterman over whole texts, cell by cell."""
+    a, b = decontamination.words_of(item), decontamination.words_of(text)
+    above, best = [0] * (len(b) + 1), 0
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(max(0, above[j] + (2 if x == y else -1), above[j + 1] - 1, row[j] - 1))
+        best, above = max(best, *row), row
+    return best / (2 * len(a)) if a else 0.0
+
+
+def test_exact_edited_and_clean_texts(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    edited = " ".join(f"x{i}" if i % 6 == 5 else f"w{i}" for i in range(30))
+    gaps = " ".join(f"w{i}" if i % 8 else f"w{i} y{i}" for i in range(30))
+    texts = {1: f"{prose(1, 90)} {item.upper()}! {prose(2, 90)}", 2: f"{prose(3, 50)} {edited}", 3: gaps, 4: prose(5, 200), 5: None, 6: "", 7: " ".join(f"w{i}" for i in range(8))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumnRenamed("text", "text")
+    bench = spark.createDataFrame([(10, item), (10, item), (11, "too short"), (12, None), (None, item)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, bench).collect()}
+    assert set(found) == {(1, 10), (2, 10), (3, 10)}
+    for (d, _), score in found.items():
+        assert score == pytest.approx(plain_score(item, texts[d]))
+    assert sorted(r.doc_id for r in decontamination.clean(docs, bench).collect()) == [4, 5, 6, 7]
+    assert decontamination.contaminated(docs.limit(0), bench).count() == 0
+    assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_blocks_of_items_give_the_same(spark, sf, monkeypatch):
+    want = sorted(map(tuple, QUERIES["op2_decontamination"](spark, sf).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 2_000)
+    assert sorted(map(tuple, QUERIES["op2_decontamination"](spark, sf).collect())) == want
+    docs = {r.doc_id: " ".join(r.text.split()) for r in spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").collect()}
+    items = {r.item_id: " ".join(r.text.split()) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    exact = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
+    assert exact and exact <= {(d, i) for d, i, *_ in want}
+
+
+# Quality rules
+
+
+def plain_measures(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    at = defaultdict(list)
+    for i in range(len(words) - 2):
+        at[tuple(words[i : i + 3])].append(i)
+    repeated = {j for v in at.values() if len(v) > 1 for i in v for j in (i, i + 1, i + 2)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(repeated)
+
+
+def check_rules(found, docs):
+    want = sorted(((d, *(m := plain_measures(t)), m[0] < 50 or 100 * m[4] > 50 * m[0]) for d, t in docs), key=repr)
+    rows = found.collect()
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows), key=repr) == want
+    assert not any(r.kept and r.base_failed for r in rows)
+    return rows
+
+
+def test_rules_and_labels(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    rows = {r.doc_id: r for r in check_rules(QUERIES["op3_quality_rules"](spark, sf), docs)}
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    right = [rows[x.doc_id].kept == (x.quality == 1) for x in labels if not rows[x.doc_id].base_failed]
+    assert np.mean(right) > 0.95
+
+
+def test_rules_on_awkward_and_empty(spark, awkward, empty):
+    check_rules(quality_rules.judge(awkward), awkward.select("doc_id", "text").collect())
+    assert quality_rules.judge(empty).count() == 0
+    plan = quality_rules.judge(awkward)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Language
+
+
+def test_language_of_held_out_rows(spark, sf):
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op7_language_id"](spark, sf).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    assert np.mean([r.lang_pred == langs[r.doc_id] for r in rows if r.held_out]) > 0.95
+
+
+def test_language_of_awkward_texts(spark, awkward, empty):
+    model = language_id.fit(awkward)
+    assert model.langs == ("en",)
+    found = {(r.doc_id, r.lang_pred) for r in language_id.predict(awkward, model, keep=["doc_id"]).collect()}
+    assert {(4, "und"), (5, "und"), (6, "und"), (8, "en"), (12, "en")} <= found
+    nothing = language_id.fit(empty)
+    assert {r.lang_pred for r in language_id.predict(awkward, nothing).collect()} == {"und"}
+    assert language_id.predict(empty, model).count() == 0
+
+
+def test_long_texts_in_parts_have_the_same_grams(monkeypatch):
+    text = prose(9, 500) + "ß日"
+    whole = np.sort(np.concatenate(list(language_id.grams(text))))
+    monkeypatch.setattr(language_id, "PART", 64)
+    assert (np.sort(np.concatenate(list(language_id.grams(text)))) == whole).all()
+    assert len(whole) == 3 * len(text) - 3
+
+
+# Archive
+
+
+def test_archive_round_trip(spark):
+    pages = [(1, "http://a", "same"), (2, None, "same"), (3, "http://c\r\nX: y", "é" * 9), (4, "d", None), (None, "e", ""), (5, "f", "same"), (5, "f", "same")]
+    df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, row string")
+    archive = warc.write_archive(df)
+    rows = warc.read_headers(spark, archive).collect()
+    digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+    assert sorted((r.payload_digest, r.payload_bytes) for r in rows) == sorted((digest(t), len((t or "").encode())) for _, _, t in pages)
+    same = sorted((r.page_id, r.record_type, r.refers_to) for r in rows if r.payload_digest == digest("same"))
+    assert same == [(1, "revisit", 5), (2, "revisit", 5), (5, "response", None), (5, "revisit", 5)]
+    assert {(r.page_id, r.record_type) for r in rows if not r.payload_bytes} == {(4, "response"), (None, "revisit")}
+    records = [r.record for r in warc.read_records(spark, archive, originals=True).collect()]
+    bodies = sorted(bytes(r).split(b"\r\n\r\n", 2)[2].removesuffix(b"\r\n\r\n") for r in records)
+    assert bodies == sorted((t or "").encode() for _, _, t in pages)
+    for record in (bytes(r.record) for r in warc.read_records(spark, archive).collect()):
+        head, _, rest = record.partition(b"\r\n\r\n")
+        assert int(re.search(rb"Content-Length: (\d+)", head)[1]) == len(rest) - 4
+    assert spark.read.parquet(archive.payloads).count() == 3
+    small = warc.read_headers(spark, warc.write_archive(df, least_bytes=5)).collect()
+    assert {r.record_type for r in small if r.payload_bytes < 5} == {"response"}
+    assert warc.read_headers(spark, warc.write_archive(df.limit(0))).count() == 0
+
+
+def test_damaged_payload_raises(spark):
+    archive = warc.write_archive(spark.createDataFrame([(1, "u", "text")], "page_id long, url string, html string"))
+    broken = spark.read.parquet(archive.payloads).selectExpr("sha256", "CAST('other' AS BINARY) AS payload")
+    bad = warc.Archive(archive.payloads + "-broken", archive.headers)
+    broken.write.parquet(bad.payloads)
+    with pytest.raises(Exception, match="damaged"):
+        warc.read_headers(spark, bad).collect()
+
+
+# Page text
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("", ""),
+        ("<p>a<b>b</b> c<p>d<br>e &amp; &lt;f&gt; &#233;&nbsp;g", "ab c d e & <f> é g"),
+        ("<nav>x</nav><article><header><h1>T</h1></header><p>one\n two</p><div class='share-buttons'>no</div></article><footer>y</footer>", "T one two"),
+        ("<main><p>in</p><aside>no</aside></main><p>out</p>", "in"),
+        ("<header>site</header><p>text</p><div id='comments'><p>reply</p></div><form>f</form>", "text"),
+        ("<article>cut off<script>var a='</p>';</script> here<style>p{}</style", "cut off here"),
+        ("<div class='loadable'>kept</div><div class='ad'>ad</div><div hidden>no</div><!-- c -->", "kept"),
+        ("<ul><li>a<li>b</ul></p></div>c", "a b c"),
+    ],
+)
+def test_main_text(html, want):
+    assert html_text.main_text(html, set()) == want
+
+
+def test_site_templates_go_and_copies_stay(spark):
+    page = lambda i: f"<body><section><p>Welcome to this site</p></section><section><p>Text {i} of its own</p></section></body>"
+    rows = [(i, f"http://site.org/{i}", page(i)) for i in range(12)]
+    rows += [(100 + i, f"http://copies.org/{i}", page(7)) for i in range(30)] + [(200, None, None), (201, "u", ""), (201, "u", "")]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, host string, text string")
+    found = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert all(found[i] == f"Text {i} of its own" for i in range(12))
+    assert found[100] == "Welcome to this site Text 7 of its own"
+    assert found[200] == found[201] == ""
+    assert html_text.extract(df).count() == len(rows) and html_text.extract(df.limit(0)).count() == 0
+
+
+def test_query_gives_the_articles(spark, sf):
+    import html
+
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for r in QUERIES["op9_html_extraction"](spark, sf).collect():
+        inner = re.search(r"<article>(.*?)(</article>|$)", pages[r.page_id], re.S)[1]
+        inner = re.sub(r"</?(h1|p|br|div|ul|li)[^>]*>", " ", inner)
+        assert r.text == " ".join(html.unescape(re.sub(r"<[^>]*>", "", inner)).split()) and r.n_chars == len(r.text)
+
+
+# Classifier
+
+
+def test_classifier_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = QUERIES["op10_quality_classifier"](spark, sf).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    right = [r.predicted == labels[r.doc_id] for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean(right) > 0.9
+
+
+def test_classifier_without_training_and_awkward_texts(spark, awkward, empty):
+    model = quality_classifier.fit(spark.createDataFrame([("x", 1), ("y", 2), (None, 0)], "text string, quality int"))
+    scores = [r.score for r in quality_classifier.score(awkward, model).collect()]
+    assert len(scores) == awkward.count() and len(set(scores)) == 1 and 0.5 < scores[0] <= 1
+    assert quality_classifier.only_good(awkward, model, 0.3).columns == awkward.columns
+    assert quality_classifier.score(empty, model).count() == 0
+
+
+# Pipeline
+
+
+def test_stages_take_effect(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sizes = []
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        after = step(spark, docs, sf)
+        assert after.columns == docs.columns, name
+        docs = corpus_pipeline.stage(after, name)
+        sizes.append(docs.count())
+    assert spark.read.parquet(f"{sf}/documents.parquet").count() > sizes[0] > sizes[1] == sizes[2] > sizes[3] > 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
