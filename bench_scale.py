@@ -36,6 +36,7 @@ def main() -> None:
     for name, value in settings_for(2 << 30, cpus).items():
         builder = builder.config(name, value)
     spark = builder.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    views.ensure_work_folder(spark)
     spark.sparkContext.setLogLevel("ERROR")
 
     views.land(spark, sf_dir)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from functools import wraps
 
@@ -16,6 +17,13 @@ VIEWS: dict[str, View] = {}
 _landed: dict[tuple[str, str], DataFrame] = {}
 
 
+def ensure_work_folder(spark: SparkSession) -> None:
+    """Give a local session that has no ``spark.checkpoint.dir`` a new folder."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()) and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+
+
 def _view(derive: View) -> View:
     """Derive the view from the given tables, or read it where ``land`` has written it."""
 
@@ -30,6 +38,7 @@ def _view(derive: View) -> View:
 
 def land(spark: SparkSession, sf_dir: str) -> None:
     """Write all views to tables of as many files as there are cores, as a market's inputs would lie."""
+    ensure_work_folder(spark)
     for name, derive in VIEWS.items():
         df = derive(spark, sf_dir)
         _landed[sf_dir, name] = stage(df.repartition(spark.sparkContext.defaultParallelism), name)

@@ -15,21 +15,22 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesprep.staging import Size, measure, stage_measured
+from salesprep.staging import Size, measure, stage, stage_measured
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of a broadcast side, and when a key counts as hot.
+    """Bounds of a broadcast side, and the rows of a key that one task may get.
 
-    At most ``hot_keys`` keys are spread. Any other key then holds fewer rows
-    than each of them, so at most one part in ``hot_keys`` of the fact.
+    Every key above ``rows_per_task`` is spread, or above the fact's rows divided by
+    ``hot_rows`` if that is more: then no more than ``hot_rows`` keys can be
+    above it, whatever the data, and their table may be broadcast.
     """
 
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 * 1024 * 1024
     rows_per_task: int = 2_000_000
-    hot_keys: int = 10_000
+    hot_rows: int = 1_000_000
 
 
 LIMITS = Limits()
@@ -57,17 +58,15 @@ def join_on(
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], limits: Limits = LIMITS) -> DataFrame:
-    """The heaviest keys and the number of tasks each deserves (``_salts``).
+    """Every key with more rows than a task may get, and the number of tasks it deserves (``_salts``).
 
-    ``counts`` holds the keys and ``_rows``. No more than ``limits.hot_keys``
-    rows, hence safe to broadcast.
+    ``counts`` holds the keys and ``_rows``. No more than ``limits.hot_rows``
+    rows come out, hence safe to broadcast.
     """
-    return (
-        counts.where(F.col("_rows") >= limits.rows_per_task)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(limits.hot_keys)
-        .select(*keys, F.ceil(F.col("_rows") / limits.rows_per_task).cast("int").alias("_salts"))
-    )
+    fact_rows = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    threshold = max(limits.rows_per_task, -(-fact_rows // limits.hot_rows))
+    hot = counts.where(F.col("_rows") > threshold)
+    return hot.select(*keys, F.ceil(F.col("_rows") / threshold).cast("int").alias("_salts"))
 
 
 def spread_join(
@@ -86,7 +85,7 @@ def spread_join(
     it is the same when a task is run again. Without hot keys it is a plain join.
     """
     if counts is None:
-        counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        counts = stage(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
     hot, size = stage_measured(hot_keys(counts, keys, limits), "hot-keys")
     if size.rows == 0:
         return join_on(fact, lookup, keys, how, null_safe)

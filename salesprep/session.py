@@ -9,10 +9,9 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings under which partitions fit into an executor core's memory.
 
     Scan tasks read 256 MiB. A shuffle starts with one partition per 512 MiB, at
-    least two per core and at most 40,000 (map tasks times partitions is the
-    number of blocks to track); AQE merges small ones and splits skewed ones.
+    least two per core; AQE merges small ones and splits skewed ones.
     """
-    partitions = min(max(input_bytes // (512 * MIB), 2 * cores), 40_000)
+    partitions = max(input_bytes // (512 * MIB), 2 * cores)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -6,7 +6,6 @@ Catalyst the true size of what was computed.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,18 +17,10 @@ from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Folder of this application under ``spark.checkpoint.dir``.
-
-    Only a local session may run without that setting; it gets a new folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """Folder of this application under ``spark.checkpoint.dir``, which must be set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/salesprep/{spark.sparkContext.applicationId}"
 
 

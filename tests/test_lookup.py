@@ -5,7 +5,7 @@ from helpers import bag, plan_of
 from salesprep.operators.lookup import Limits, fits, hot_keys, join_lookup, join_on, spread_join
 from salesprep.staging import Size, measure, stage, stage_measured
 
-SHUFFLED = Limits(broadcast_rows=0, rows_per_task=10, hot_keys=3)
+SHUFFLED = Limits(broadcast_rows=0, rows_per_task=10)
 
 
 @pytest.fixture(scope="module")
@@ -46,10 +46,19 @@ def test_equal_rows_use_several_tasks(spark, no_auto_broadcast):
     assert joined.select(F.spark_partition_id().alias("p")).distinct().count() > 4
 
 
-def test_hot_keys_are_bounded(spark):
-    counts = spark.createDataFrame([(f"k{i}", i) for i in range(100)], "k string, _rows bigint")
-    found = hot_keys(counts, ["k"], Limits(rows_per_task=10, hot_keys=5)).collect()
-    assert {(row.k, row._salts) for row in found} == {("k99", 10), ("k98", 10), ("k97", 10), ("k96", 10), ("k95", 10)}
+def test_every_key_above_the_bound_is_split(spark):
+    counts = spark.createDataFrame([(f"k{i}", i % 40) for i in range(30_000)], "k string, _rows bigint")
+    found = {row.k: row._salts for row in hot_keys(counts, ["k"], Limits(rows_per_task=10)).collect()}
+    assert found == {f"k{i}": -(-(i % 40) // 10) for i in range(30_000) if i % 40 > 10}
+
+
+def test_hot_keys_are_no_more_than_their_table_may_hold(spark):
+    counts = spark.createDataFrame([(f"k{i}", 10 + i) for i in range(100)], "k string, _rows bigint")
+    limits = Limits(rows_per_task=1, hot_rows=60)
+    threshold = -(-sum(10 + i for i in range(100)) // 60)
+    found = hot_keys(counts, ["k"], limits).collect()
+    assert {row.k for row in found} == {f"k{i}" for i in range(100) if 10 + i > threshold}
+    assert len(found) <= 60
 
 
 def test_left_columns_keep_their_order(spark):
