@@ -44,8 +44,11 @@ def window_end(as_of: Column, rule: WindowRule) -> Column:
 
 
 def month_sequence(start: Column, end: Column) -> Column:
-    """Array of ``yyyy/MM`` months between two ``yyyyMM`` months, both included, oldest first."""
-    days = F.sequence(F.to_date(start, "yyyyMM"), F.to_date(end, "yyyyMM"), F.expr("interval 1 month"))
+    """Array of ``yyyy/MM`` months between two ``yyyyMM`` months, both included, oldest first; empty if the first is later."""
+    first, last = F.to_date(start, "yyyyMM"), F.to_date(end, "yyyyMM")
+    # where the first is later, the sequence is not used but must still be valid
+    valid = F.sequence(F.least(first, last), last, F.expr("interval 1 month"))
+    days = F.when(first <= last, valid).when(first > last, F.array().cast("array<date>"))
     return F.transform(days, lambda day: F.date_format(day, "yyyy/MM"))
 
 

@@ -47,8 +47,12 @@ def typed_sales(df: DataFrame) -> DataFrame:
 
 
 def positive_sales(df: DataFrame) -> DataFrame:
-    """Rows with value and volume above zero, compared as numbers."""
-    return typed_sales(df).where((F.col("value_sales") > 0) & (F.col("vol_sales") > 0))
+    """Rows with value and volume above zero, compared as numbers; NaN is not above zero."""
+
+    def above_zero(name: str) -> Column:
+        return (F.col(name) > 0) & ~F.isnan(F.col(name))
+
+    return typed_sales(df).where(above_zero("value_sales") & above_zero("vol_sales"))
 
 
 def measured_sales(df: DataFrame) -> DataFrame:

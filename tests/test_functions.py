@@ -85,6 +85,17 @@ def test_windows(spark, rule, day, start, end):
     assert column(spark, lambda x: months.window_end(x, rule), [day], "date") == [end]
 
 
+def test_month_sequence_is_empty_when_the_start_is_later(spark):
+    make = lambda x: months.month_sequence(x, F.lit("202002"))
+    assert column(spark, make, ["202003", "202002", None]) == [[], ["2020/02"], None]
+
+
+def test_suffixes_of_literals_are_no_numbers(spark):
+    values = ["5d", "5f", "5D ", "1.F", "5", "1e3", "NaN", "Infinity", "d"]
+    found = column(spark, numbers.parse_number, values)
+    assert found[:6] == [None, None, None, None, 5.0, 1000.0] and found[6] != found[6] and found[7:] == [float("inf"), None]
+
+
 def test_month_sequence_includes_both_ends(spark):
     make = lambda x: months.month_sequence(x, F.lit("202002"))
     assert column(spark, make, ["201911", "202002"]) == [["2019/11", "2019/12", "2020/01", "2020/02"], ["2020/02"]]
@@ -111,4 +122,4 @@ def test_profiles():
 def test_session_settings():
     small, large = settings_for(10 * MIB, 8), settings_for(100 * MIB**2, 4000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert large["spark.sql.shuffle.partitions"] == "40000"
+    assert large["spark.sql.shuffle.partitions"] == "204800"

@@ -61,6 +61,11 @@ def test_sales_by_position(spark):
 # -- filters ----------------------------------------------------------------------
 
 
+def test_nan_is_not_positive(spark):
+    df = spark.createDataFrame([("NaN", "1"), ("1", "NaN"), ("2", "3"), ("5d", "1")], "value_sales string, vol_sales string")
+    assert bag(filters.positive_sales(df)) == {(2.0, 3.0): 1}
+
+
 def test_positive_sales_compares_numbers(spark):
     df = spark.createDataFrame([("1,234", "2"), ("0", "1"), ("abc", "1"), (None, "1"), ("9", "-1")], "value_sales string, vol_sales string")
     assert bag(filters.positive_sales(df)) == {(1234.0, 2.0): 1}
