@@ -215,7 +215,7 @@ QUERIES = {
     "sink_overwrite_table": "select * from sales",
     "sink_ctas_copy": "select * from extract",
     "sink_partition_by_region": """
-      select * replace (case when region = 'ASIA' then 'again' else rr end as rr) from sales""",
+      select * replace (case when region = 'ASIA' then 'again' else rr end as rr) from sales where region <> 'EUROPE'""",
     # names and columns
     "normalize_names": "select * from extract",
     "rename_columns": """select order_key, year_month, distributor_code as "DB", distributor_name, store_code, db_channel,
@@ -230,7 +230,7 @@ QUERIES = {
     "filter_month_window": "select * from extract where year_month between '1996/12' and '1998/12'",
     "filter_valid_outlets": f"select * from extract where {VALID}",
     "filter_active_pos": "select * from active",
-    "filter_positive_sales": "select * from sales where value_sales > 0 and vol_sales > 0",
+    "filter_positive_sales": "select * from sales where value_sales > 0 and vol_sales > 0 and not isnan(value_sales) and not isnan(vol_sales)",
     "filter_not_contains": "select * from sales where not coalesce(contains(bucket, 'Based on'), false)",
     "filter_not_regex": "select * from sales where not coalesce(regexp_matches(store_code, 'ZOOM|ADJ'), false)",
     "counter_outlets": """select distinct pos_code from pos
@@ -258,9 +258,10 @@ QUERIES = {
     "snapshot_tag": """select as_of, as_of = last_day(as_of) as month_end, strftime(case when as_of = last_day(as_of)
       then as_of + interval 1 day else as_of end, '%Y%m%d') as tag from order_days""",
     "market_windows": "select * from windows",
-    "month_sequence": """select as_of, market, strftime(unnest(generate_series(
-      strptime(start_month, '%Y%m'), strptime(end_month, '%Y%m'), interval 1 month)), '%Y/%m') as year_month
-      from windows where start_month <= end_month""",
+    "month_sequence": """select as_of, market, strftime(m.month, '%Y/%m') as year_month
+      from windows left join (select distinct start_month, end_month, unnest(generate_series(
+        strptime(start_month, '%Y%m'), strptime(end_month, '%Y%m'), interval 1 month)) as month from windows) m
+        using (start_month, end_month)""",
     # joins
     "remap_distributor": """select e.* replace (coalesce(p.partner_code, e.distributor_code) as distributor_code,
       replace(e.outlet_unique_code, 'SF', '') as outlet_unique_code)

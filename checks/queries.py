@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,7 +122,8 @@ def sink_partition_by_region(spark, d):
     table = f"{_database(spark)}.sales"
     sales = views.sales(spark, d)
     catalog.save_by_region(sales, table)
-    catalog.save_by_region(sales.where(F.col("region") == "ASIA").withColumn("rr", F.lit("again")), table)
+    again = sales.where(F.col("region") == "ASIA").withColumn("rr", F.lit("again"))
+    catalog.save_by_region(again, table, regions=["ASIA", "EUROPE"])
     return spark.table(table).select(*sales.columns)
 
 
@@ -302,13 +304,8 @@ def market_windows(spark, d):
 
 
 def month_sequence(spark, d):
-    return (
-        _windows(spark, d)
-        .where(F.col("start_month") <= F.col("end_month"))
-        .select(
-            "as_of", "market", F.explode(months.month_sequence(F.col("start_month"), F.col("end_month"))).alias("year_month")
-        )
-    )
+    listed = months.month_sequence(F.col("start_month"), F.col("end_month"))
+    return _windows(spark, d).select("as_of", "market", F.explode_outer(listed).alias("year_month"))
 
 
 # -- joins ------------------------------------------------------------------------
@@ -449,6 +446,7 @@ def _published_country(spark, d):
         HEALTH,
         f"{database}.sales",
         f"{database}.area_map",
+        f"{database}.raw_data",
     )
     return database
 
@@ -484,7 +482,8 @@ def published_history(spark, d):
     database = _database(spark)
     tables = f"{database}.history", f"{database}.focus_extract"
     lookups = region.Lookups(pos=views.pos(spark, d), restricted=views.restricted_skus(spark, d))
-    publish.run_region(profile("INDIA_HEALTH"), views.sales(spark, d), lookups, *tables)
+    for name in ("MY_HEALTH", "INDIA_HEALTH"):
+        publish.run_region(profile(name), views.sales(spark, d), lookups, *tables)
     return spark.table(tables[0]).select(*contracts.HISTORY_NAMES)
 
 
@@ -496,8 +495,19 @@ def focus_extract_active_stores(spark, d):
     return _prepared(spark, d, dataclasses.replace(profile("PAKISTAN_HOME"), focus_months=6)).focus_extract
 
 
+def _with_work_folder(query):
+    """The library wants ``spark.checkpoint.dir`` set; a local session without it gets a new folder."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        views.ensure_work_folder(spark)
+        return query(spark, d)
+
+    return run
+
+
 QUERIES = {
-    query.__name__: query
+    query.__name__: _with_work_folder(query)
     for query in (
         scan_csv_pipe,
         scan_csv_lookup,

@@ -35,16 +35,32 @@ def keep_last_months(df: DataFrame, count: int, limits: Limits = LIMITS) -> Data
     return join_lookup(df, wanted, ["region", "year_month"], "left_semi", size=size, limits=limits)
 
 
+def store_months(sales: DataFrame) -> DataFrame:
+    """A small row per store, month, category and bucket: its rows (``_rows``) and, where there is one, its greatest volume.
+
+    Counts and maxima of numbers, so the fact is hashed, not sorted, and combined
+    before the shuffle. Classes, months and volumes of stores follow from it.
+    """
+    volume = [F.max("vol_sales").alias("vol_sales")] if "vol_sales" in sales.columns else []
+    keys = ("region", "store_code", "year_month", "outlet_category_name", "bucket")
+    return sales.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *volume)
+
+
 def latest_class(sales: DataFrame) -> DataFrame:
-    """Category and bucket of each store in its last month, and its rows (``_rows``).
+    """Category and bucket of each store in its last month, and its rows (``_rows``)."""
+    return class_of(store_months(sales))
+
+
+def class_of(stores: DataFrame) -> DataFrame:
+    """``latest_class`` from ``store_months``.
 
     A missing month counts as the last one. Ties go to the greatest category,
-    then bucket. A maximum per key, so it is combined before the shuffle.
+    then bucket.
     """
     newest = F.struct(F.col("year_month").isNull().alias("undated"), "year_month", "outlet_category_name", "bucket")
     return (
-        sales.groupBy("region", "store_code")
-        .agg(F.max(newest).alias("newest"), F.count(F.lit(1)).alias("_rows"))
+        stores.groupBy("region", "store_code")
+        .agg(F.max(newest).alias("newest"), F.sum("_rows").alias("_rows"))
         .select(
             "region",
             "store_code",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesprep.markets import MarketProfile
 from salesprep.operators.lookup import LIMITS, Limits
@@ -21,22 +23,27 @@ def publish_country(
     profile: MarketProfile,
     sales_table: str,
     area_table: str,
+    raw_table: str | None = None,
 ) -> None:
-    """Corrected sales, the area map, and a raw copy where the market needs one.
+    """Corrected sales, the area map, and a raw copy (``raw_table``) where the market needs one.
 
     The area map is built from the written sales, so they are computed once.
     """
+    if profile.keep_raw_copy and raw_table is None:
+        raise ValueError(f"{profile.name} needs a name for the raw copy")
     catalog.save_table(corrected, sales_table)
     catalog.save_table(build_area_map(spark.table(sales_table), area_map, profile), area_table)
     if profile.keep_raw_copy:
-        catalog.copy_table(spark, sales_table, f"{sales_table}_raw_data")
+        catalog.copy_table(spark, sales_table, raw_table)
 
 
-def publish_region(prepared: Prepared, history_table: str, extract_table: str) -> None:
-    """History and extract, one partition per region; other regions stay as they are."""
-    catalog.save_by_region(prepared.history, history_table, "Region", gather=False)
+def publish_region(
+    prepared: Prepared, history_table: str, extract_table: str, regions: Sequence[str] | None = None
+) -> None:
+    """History and extract, one partition per region; with ``regions`` the others stay as they are."""
+    catalog.save_by_region(prepared.history, history_table, "Region", gather=False, regions=regions)
     if prepared.focus_extract is not None:
-        catalog.save_by_region(prepared.focus_extract, extract_table, "V10", gather=False)
+        catalog.save_by_region(prepared.focus_extract, extract_table, "V10", gather=False, regions=regions)
 
 
 def run_country(
@@ -51,6 +58,7 @@ def run_country(
     distributors: DataFrame | None = None,
     months: tuple[str, str] | None = None,
     limits: Limits = LIMITS,
+    raw_table: str | None = None,
 ) -> None:
     """Extract, correct and publish a market. A market without partner correction has sales only."""
     sales = extract_sales(raw, profile, as_of, months, distributors, limits)
@@ -60,7 +68,7 @@ def run_country(
     if pos is None or area_map is None:
         raise ValueError(f"{profile.name} needs the POS map and the area map")
     corrected = correct_partners(sales, pos, area_map, profile, limits)
-    publish_country(spark, corrected, area_map, profile, sales_table, area_table)
+    publish_country(spark, corrected, area_map, profile, sales_table, area_table, raw_table)
 
 
 def run_region(
@@ -71,6 +79,12 @@ def run_region(
     extract_table: str,
     unmatched: str = "literal_na",
     limits: Limits = LIMITS,
+    regions: Sequence[str] | None = None,
 ) -> None:
-    """Prepare and publish the regions found in ``sales`` (the 17 columns, by position)."""
-    publish_region(prepare_sales(as_sales(sales), lookups, profile, unmatched, limits), history_table, extract_table)
+    """Prepare and publish ``sales`` (the 17 columns, by position): all regions, or only ``regions``.
+
+    Without ``regions`` both tables are replaced, so a region that is gone leaves nothing behind.
+    """
+    rows = as_sales(sales)
+    rows = rows if regions is None else rows.where(F.col("region").isin(*regions))
+    publish_region(prepare_sales(rows, lookups, profile, unmatched, limits), history_table, extract_table, regions)

@@ -62,20 +62,22 @@ def deduped_sales(sales: DataFrame) -> DataFrame:
     return stage(dedupe_sales(clean_sales(sales)), "sales", ["region"])
 
 
-def mark_focus(sales: DataFrame, count: int, limits: Limits = LIMITS) -> tuple[DataFrame, str | None]:
-    """Flag the rows of the focus months (``_in_focus``); also the oldest such month.
+def mark_focus(
+    sales: DataFrame, months: DataFrame, count: int, limits: Limits = LIMITS
+) -> tuple[DataFrame, str | None]:
+    """Flag the rows of the last of ``months`` (``_in_focus``); also the oldest such month.
 
     That month goes into the extract as a plain filter, which lets the scan skip
     the row groups of older months.
     """
-    focus, size = stage_measured(latest.last_months(sales, count).withColumn("_focus", F.lit(True)), "focus-months")
+    focus, size = stage_measured(latest.last_months(months, count).withColumn("_focus", F.lit(True)), "focus-months")
     oldest = focus.agg(F.min("year_month")).first()[0]
     marked = join_lookup(sales, focus, ["region", "year_month"], size=size, limits=limits)
     return marked.withColumn("_in_focus", F.coalesce("_focus", F.lit(False))).drop("_focus"), oldest
 
 
 def store_table(
-    sales: DataFrame,
+    months: DataFrame,
     lookups: Lookups,
     profile: MarketProfile,
     unmatched: str = "literal_na",
@@ -83,14 +85,14 @@ def store_table(
 ) -> tuple[DataFrame, Size]:
     """What to do with the rows of each store; stores to be dropped are absent.
 
-    One row per store and partner: the class of its last month, its new code,
-    its rows in ``sales``, and whether other stores get the same code (``_merged``).
+    One row per store and partner: the class of its last month in ``months`` (see
+    ``latest.store_months``), its new code, its rows in the sales, and whether other stores get the same code (``_merged``).
     """
     active = filters.active_pos(lookups.pos)
     # Pairs and counters are projections of the active rows, so this bounds both.
     active_size = measure(active)
     bound = active_size if fits(active_size, limits) else None
-    classes = latest.latest_class(sales)
+    classes = latest.class_of(months)
     if bound is None:
         classes = stage(classes, "classes")
     stores = (
@@ -109,7 +111,7 @@ def store_table(
             raise ValueError(f"{profile.name} needs the planned visits")
         stores = keep.route_stores(stores, lookups.route, limits)
     if profile.active_months is not None:
-        stores = active_only(stage(stores, "stores"), sales, profile.active_months, limits)
+        stores = active_only(stage(stores, "stores"), months, profile.active_months, limits)
     stores = stage(keep.without_counters(stores, filters.counter_outlets(active), bound, limits), "stores")
 
     shared = stores.groupBy(*STORE).agg(F.count(F.lit(1)).alias("_stores")).where(F.col("_stores") > 1)
@@ -128,18 +130,18 @@ def store_table(
     )
 
 
-def active_only(stores: DataFrame, sales: DataFrame, months: int, limits: Limits = LIMITS) -> DataFrame:
+def active_only(stores: DataFrame, sold: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
     """Stores whose new code sold in the last months, adjustment stores not counted."""
     codes = stores.select("region", F.col("_old_code").alias("store_code"), F.col("store_code").alias("_new_code"))
     sold = join_lookup(
-        latest.monthly_volume(sales),
+        latest.monthly_volume(sold),
         codes,
         STORE,
         "inner",
         null_safe=STORE,
         limits=limits,
     ).select("region", F.col("_new_code").alias("store_code"), "year_month", "vol_sales")
-    return latest.keep_active_stores(stores, filters.without_adjustments(sold), months, limits)
+    return latest.keep_active_stores(stores, filters.without_adjustments(sold), count, limits)
 
 
 def sales_by_store(sales: DataFrame, stores: DataFrame, size: Size, limits: Limits = LIMITS) -> DataFrame:
@@ -189,11 +191,12 @@ def prepare_sales(
     contracts.check_contract(filters.typed_sales(sales), contracts.SALES)
     names = contracts.SALES.names
     unique = deduped_sales(sales.select(*names))
-    stores = store_table(unique, lookups, profile, unmatched, limits)
+    months = stage(latest.store_months(unique), "store-months")
+    stores = store_table(months, lookups, profile, unmatched, limits)
     if profile.focus_months is None:
         marked, oldest = unique.withColumn("_in_focus", F.lit(False)), None
     else:
-        marked, oldest = mark_focus(unique, profile.focus_months, limits)
+        marked, oldest = mark_focus(unique, months, profile.focus_months, limits)
     joined = sales_by_store(marked, *stores, limits)
     if profile.restricted_skus:
         if lookups.restricted is None:

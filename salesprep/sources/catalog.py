@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +30,17 @@ def save_table(df: DataFrame, table: str) -> None:
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
-    """Replace ``target`` by a copy of ``source``."""
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"CREATE TABLE {target} USING parquet AS SELECT * FROM {source}")
+    """Replace ``target`` by a copy of ``source``, in one overwrite."""
+    save_table(spark.table(source), target)
+
 
+def save_by_region(
+    df: DataFrame, table: str, column: str = "region", gather: bool = True, regions: Sequence[str] | None = None
+) -> None:
+    """Replace a table by ``df``, one partition per region.
 
-def save_by_region(df: DataFrame, table: str, column: str = "region", gather: bool = True) -> None:
-    """Write one partition per region, replacing only the regions present in ``df``.
+    With ``regions`` only those partitions are replaced; one that has no rows in
+    ``df`` becomes empty, and rows of other regions are not written.
 
     With ``gather`` the rows are shuffled first: AQE packs each region into few
     files and still splits a region that holds most of the rows. Without, each
@@ -42,13 +48,14 @@ def save_by_region(df: DataFrame, table: str, column: str = "region", gather: bo
     """
     spark = df.sparkSession
     rows = df.hint("rebalance", column) if gather else df
+    if regions is None:
+        rows.write.mode("overwrite").partitionBy(column).saveAsTable(table)
+        return
+    wanted = rows.where(F.col(column).isin(*regions))
     if not spark.catalog.tableExists(table):
-        rows.write.partitionBy(column).saveAsTable(table)
+        wanted.write.mode("append").partitionBy(column).saveAsTable(table)
         return
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
+    for region in regions:
+        value = region.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
+    wanted.select(*spark.table(table).columns).write.insertInto(table)

@@ -95,7 +95,7 @@ def lookups(spark):
 SALES = "distributor_code string, asm string, outlet_unique_code string, v int"
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, rows_per_task=2, hot_keys=2)])
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, rows_per_task=2)])
 def test_corrections(spark, no_auto_broadcast, limits):
     rows = [("D1", "a", "SFO1", 1)] * 5 + [("D2", "a", "O2", 1), ("D3", "a", None, 1), (None, None, "O3", 1)]
     pos, areas = lookups(spark)
@@ -119,10 +119,12 @@ def test_publishing(spark):
     _, areas = lookups(spark)
     tables = (f"{database}.sales", f"{database}.areas")
     for market, copied in ((profile("INDO_HOME"), False), (profile("INDIA_HEALTH"), True)):
-        publish.publish_country(spark, corrected, areas, market, *tables)
+        publish.publish_country(spark, corrected, areas, market, *tables, f"{database}.`6m_raw`")
         assert bag(spark.table(tables[0])) == bag(corrected)
         assert bag(spark.table(tables[1])) == {("P1", "ASM_HP JKCHD"): 1, ("D2", "X"): 1}
-        assert spark.catalog.tableExists(f"{tables[0]}_raw_data") == copied
+        assert spark.catalog.tableExists(f"{database}.`6m_raw`") == copied
+    with pytest.raises(ValueError, match="raw copy"):
+        publish.publish_country(spark, corrected, areas, profile("INDIA_HEALTH"), *tables)
 
 
 def test_country_run(spark):
@@ -131,7 +133,7 @@ def test_country_run(spark):
     tables = (f"{database}.sales", f"{database}.areas")
     pos, areas = lookups(spark)
     raw = raw_frame(spark, [row(), row(distributor="D2", outlet="SFO2"), row()])
-    publish.run_country(spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables, pos=pos, area_map=areas)
+    publish.run_country(spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables, pos=pos, area_map=areas, raw_table=f"{database}.raw")
     assert bag(spark.table(tables[0]).select("distributor_code", "asm", "outlet_unique_code")) == {
         ("P1", "ASM_HP JKCHD", "O1"): 1, ("P2", "A", "O1"): 1, ("D2", "X", "O2"): 1}
     with pytest.raises(ValueError, match="POS"):

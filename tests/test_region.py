@@ -9,11 +9,12 @@ from brute_force import NAMES, all_regions
 from helpers import bag, details_of, plan_of
 from salesprep import contracts, staging
 from salesprep.markets import profile
+from salesprep.operators import filters, latest
 from salesprep.operators.lookup import LIMITS, Limits
 from salesprep.plans import publish, region
 from salesprep.sources import catalog
 
-TINY = Limits(broadcast_rows=0, rows_per_task=15, hot_keys=3)
+TINY = Limits(broadcast_rows=0, rows_per_task=15)
 POS_FIELDS = contracts.POS_NAMES
 
 MARKETS = {
@@ -121,7 +122,7 @@ def test_rerun_of_one_region_keeps_the_others(spark):
     market = MARKETS["INDIA_HEALTH"]
     publish.run_region(market, sales, lookups, *tables)
     again = [r for r in rows if r["region"] == "N" and r["brand"] == "b1"]
-    publish.run_region(market, sales.where("region = 'N' and brand = 'b1'"), lookups, *tables)
+    publish.run_region(market, sales.where("region = 'N' and brand = 'b1'"), lookups, *tables, regions=["N"])
     others = all_regions([r for r in rows if r["region"] != "N"], make_pos(), RESTRICTED, ROUTE, market)
     redone = all_regions(again, make_pos(), RESTRICTED, ROUTE, market)
     names = (contracts.HISTORY_NAMES, contracts.EXTRACT_NAMES)
@@ -129,6 +130,28 @@ def test_rerun_of_one_region_keeps_the_others(spark):
         assert bag(spark.table(table).select(*columns)) == dict.fromkeys(kept | new, 1)
 
 
+def test_region_without_rows_leaves_nothing_behind(spark):
+    database = f"t_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, staging.new_path(spark, "database"))
+    tables = (f"{database}.previous_data", f"{database}.`6m_extract`")
+    rows = make_rows(9)
+    lookups = region.Lookups(frame(spark, make_pos(), POS_FIELDS), frame(spark, RESTRICTED, ["material"]))
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], contracts.SALES)
+    market = MARKETS["INDIA_HEALTH"]
+    publish.run_region(market, sales, lookups, *tables)
+    publish.run_region(market, sales.where("region <> 'N'"), lookups, *tables, regions=["N"])
+    left = {r.Region for r in spark.table(tables[0]).select("Region").distinct().collect()}
+    assert "N" not in left and left
+    publish.run_region(market, sales.where("region = '01'"), lookups, *tables)
+    assert {r.Region for r in spark.table(tables[0]).select("Region").distinct().collect()} == {"01"}
+
+
+def test_fact_is_hashed_for_the_stores(spark):
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in make_rows(1)], contracts.SALES)
+    plan = plan_of(latest.store_months(filters.typed_sales(sales)))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_market_without_focus_months(spark):
     prepared = check(spark, make_rows(4), profile("PAKISTAN_HOME"))
     assert prepared.focus_extract is None
