@@ -13,12 +13,12 @@ def plain(texts):
     """n_bytes, n_removed, n_spans, sha256 of what is left, by counting every window."""
     raws = [(t or "").encode() for t in texts]
     size = suffix_dedup.LENGTH
-    count = Counter(r[i : i + size] for r in raws for i in range(len(r) - size + 1))
+    count = Counter(hash(r[i : i + size]) for r in raws for i in range(len(r) - size + 1))
     out = []
     for r in raws:
         gone = np.zeros(len(r) + 1, bool)
         for i in range(len(r) - size + 1):
-            if count[r[i : i + size]] > 1:
+            if count[hash(r[i : i + size])] > 1:
                 gone[i : i + size] = True
         edges = np.diff(np.concatenate([[0], gone.astype(int)]))
         left = bytes(np.frombuffer(r, np.uint8)[~gone[: len(r)]])

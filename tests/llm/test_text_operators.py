@@ -9,7 +9,6 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-import corpus_pipeline
 from salesprep.llm import decontamination, html_text, language_id, quality_classifier, quality_rules, warc
 from salesprep.llm.queries import QUERIES
 from llm_helpers import prose
@@ -214,19 +213,3 @@ def test_classifier_without_training_and_awkward_texts(spark, awkward, empty):
     assert len(scores) == awkward.count() and len(set(scores)) == 1 and 0.5 < scores[0] <= 1
     assert quality_classifier.only_good(awkward, model, 0.3).columns == awkward.columns
     assert quality_classifier.score(empty, model).count() == 0
-
-
-# Pipeline
-
-
-def test_stages_take_effect(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    sizes = []
-    for name, step in corpus_pipeline.STAGES[:-1]:
-        after = step(spark, docs, sf)
-        assert after.columns == docs.columns, name
-        docs = corpus_pipeline.stage(after, name)
-        sizes.append(docs.count())
-    assert spark.read.parquet(f"{sf}/documents.parquet").count() > sizes[0] > sizes[1] == sizes[2] > sizes[3] > 0
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
