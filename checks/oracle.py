@@ -341,7 +341,7 @@ def _with_views(query: str) -> str:
                     order.append(name)
 
     need(query)
-    return "with " + ",\n".join(f"{name} as ({VIEWS[name]})" for name in order) + "\n" + query
+    return "with " + ",\n".join(f"{name} as materialized ({VIEWS[name]})" for name in order) + "\n" + query
 
 
 def _mentions(text: str, name: str) -> bool:
