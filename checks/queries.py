@@ -386,12 +386,10 @@ def precedence_union_map(spark, d):
 
 
 def stage_row_counts(spark, d):
-    sales = views.sales(spark, d)
-    positive = filters.positive_sales(sales)
-    measured = filters.measured_sales(positive)
-    return audit.stage_counts(
-        {"loaded": sales, "positive": positive, "measured": measured, "unique": dedupe.dedupe_sales(measured)}
-    )
+    sales = filters.typed_sales(views.sales(spark, d))
+    steps = {"loaded": F.lit(True), "positive": filters.is_positive(), "measured": filters.is_measured()}
+    unique = dedupe.dedupe_sales(filters.measured_sales(filters.positive_sales(sales)))
+    return audit.step_counts(sales, steps).unionByName(audit.stage_counts({"unique": unique}))
 
 
 def focus_months_extract(spark, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,19 @@ def stage_counts(stages: Mapping[str, DataFrame], by: str = "region") -> DataFra
     return reduce(DataFrame.unionByName, counts)
 
 
+def step_counts(df: DataFrame, steps: Mapping[str, Column], by: str = "region") -> DataFrame:
+    """Rows per step and region of filters that follow each other, in one pass over ``df``.
+
+    A step counts the rows that meet its condition and those of the steps before it.
+    """
+    passed, counts = F.lit(True), []
+    for name, condition in steps.items():
+        passed = passed & F.coalesce(condition, F.lit(False))
+        counts.append(F.count_if(passed).alias(name))
+    wide = df.groupBy(by).agg(*counts)
+    return wide.unpivot([by], list(steps), "stage", "row_count").where("row_count > 0").select("stage", by, "row_count")
+
+
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows while another action runs, without a pass of its own."""
     seen = Observation(name)

@@ -46,18 +46,28 @@ def typed_sales(df: DataFrame) -> DataFrame:
     )
 
 
-def positive_sales(df: DataFrame) -> DataFrame:
-    """Rows with value and volume above zero, compared as numbers; NaN is not above zero."""
+def is_positive() -> Column:
+    """Value and volume, as doubles, are above zero; NaN is not."""
 
     def above_zero(name: str) -> Column:
         return (F.col(name) > 0) & ~F.isnan(F.col(name))
 
-    return typed_sales(df).where(above_zero("value_sales") & above_zero("vol_sales"))
+    return above_zero("value_sales") & above_zero("vol_sales")
+
+
+def is_measured() -> Column:
+    """The bucket does not say that the figures are estimates; a null bucket does not."""
+    return text.lacks_text(F.col("bucket"), markets.ESTIMATED_BUCKET)
+
+
+def positive_sales(df: DataFrame) -> DataFrame:
+    """Rows with value and volume above zero, compared as numbers."""
+    return typed_sales(df).where(is_positive())
 
 
 def measured_sales(df: DataFrame) -> DataFrame:
     """Drop rows whose bucket says the figures are estimates; a null bucket stays."""
-    return df.where(text.lacks_text(F.col("bucket"), markets.ESTIMATED_BUCKET))
+    return df.where(is_measured())
 
 
 def without_adjustments(df: DataFrame, store: str = "store_code") -> DataFrame:

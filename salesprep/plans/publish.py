@@ -80,11 +80,13 @@ def run_region(
     unmatched: str = "literal_na",
     limits: Limits = LIMITS,
     regions: Sequence[str] | None = None,
-) -> None:
+) -> dict[str, int]:
     """Prepare and publish ``sales`` (the 17 columns, by position): all regions, or only ``regions``.
 
-    Without ``regions`` both tables are replaced, so a region that is gone leaves nothing behind.
+    Returns the rows of the steps: loaded, cleaned, unique, and the stores that are kept. Without ``regions`` both tables are replaced, so a region that is gone leaves nothing behind.
     """
     rows = as_sales(sales)
     rows = rows if regions is None else rows.where(F.col("region").isin(*regions))
-    publish_region(prepare_sales(rows, lookups, profile, unmatched, limits), history_table, extract_table, regions)
+    prepared = prepare_sales(rows, lookups, profile, unmatched, limits)
+    publish_region(prepared, history_table, extract_table, regions)
+    return prepared.counts

@@ -18,9 +18,10 @@ from salesprep import contracts, markets
 from salesprep.functions import numbers, text
 from salesprep.markets import MarketProfile
 from salesprep.operators import filters, keep, latest, remap, shape
+from salesprep.operators.audit import observe_rows
 from salesprep.operators.dedupe import dedupe_sales
 from salesprep.operators.lookup import LIMITS, Limits, fits, join_lookup, join_on, spread_join
-from salesprep.staging import Size, measure, stage, stage_measured
+from salesprep.staging import Size, measure, observed, stage, stage_measured
 
 STORE = ["region", "store_code"]
 
@@ -34,8 +35,11 @@ class Lookups:
 
 @dataclass(frozen=True)
 class Prepared:
+    """Outputs, and rows counted while they were staged: loaded, cleaned, unique, stores."""
+
     history: DataFrame
     focus_extract: DataFrame | None
+    counts: dict[str, int]
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:
@@ -53,13 +57,18 @@ def clean_sales(sales: DataFrame) -> DataFrame:
     )
 
 
-def deduped_sales(sales: DataFrame) -> DataFrame:
-    """Cleaned sales without duplicates, staged by region and in order of month within each file.
+def deduped_sales(sales: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Cleaned sales without duplicates, staged by region and in order of month within each file; and the rows of each step.
 
     The files of one region later make tasks that write to one region, so the
     outputs need no shuffle of their own to be laid out by region.
     """
-    return stage(dedupe_sales(clean_sales(sales)), "sales", ["region"])
+    loaded, seen_loaded = observe_rows(sales, "loaded")
+    cleaned, seen_cleaned = observe_rows(clean_sales(loaded), "cleaned")
+    unique, seen_unique = observe_rows(dedupe_sales(cleaned), "unique")
+    staged = stage(unique, "sales", ["region"])
+    seen = {"loaded": seen_loaded, "cleaned": seen_cleaned, "unique": seen_unique}
+    return staged, {name: observed(x, "row_count")[0] for name, x in seen.items()}
 
 
 def mark_focus(
@@ -190,9 +199,10 @@ def prepare_sales(
     """
     contracts.check_contract(filters.typed_sales(sales), contracts.SALES)
     names = contracts.SALES.names
-    unique = deduped_sales(sales.select(*names))
+    unique, counts = deduped_sales(sales.select(*names))
     months = stage(latest.store_months(unique), "store-months")
     stores = store_table(months, lookups, profile, unmatched, limits)
+    counts["stores"] = stores[1].rows
     if profile.focus_months is None:
         marked, oldest = unique.withColumn("_in_focus", F.lit(False)), None
     else:
@@ -214,11 +224,11 @@ def prepare_sales(
         .transform(shape.rename_positional, contracts.HISTORY_NAMES)
     )
     if profile.focus_months is None:
-        return Prepared(history, None)
+        return Prepared(history, None, counts)
     extract = (
         joined.where(F.col("_in_focus") & (F.col("year_month") >= F.lit(oldest)))
         .select(*names, "_merged")
         .transform(distinct_sales)
         .transform(shape.rename_positional, contracts.EXTRACT_NAMES)
     )
-    return Prepared(history, extract)
+    return Prepared(history, extract, counts)

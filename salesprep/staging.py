@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,4 +59,13 @@ def stage_measured(df: DataFrame, name: str) -> tuple[DataFrame, Size]:
     """Stage ``df`` and measure it while it is written."""
     seen = Observation()
     staged = stage(df.observe(seen, *size_columns(df.columns)), name)
-    return staged, Size(seen.get["row_count"], seen.get["byte_count"])
+    return staged, Size(*observed(seen, "row_count", "byte_count"))
+
+
+def observed(seen: Observation, *names: str) -> list[int]:
+    """Values of an observation whose action has ended; zeros where the planner found no rows and dropped the node."""
+    try:
+        values = seen.get
+    except Py4JJavaError:
+        return [0] * len(names)
+    return [values[name] for name in names]

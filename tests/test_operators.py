@@ -224,6 +224,8 @@ def test_counts(spark):
     df = spark.createDataFrame([("N", 1), ("N", 2), ("S", 3)], "region string, x int")
     counts = audit.stage_counts({"all": df, "big": df.where("x > 1")})
     assert bag(counts) == {("all", "N", 2): 1, ("all", "S", 1): 1, ("big", "N", 1): 1, ("big", "S", 1): 1}
+    steps = {"all": F.lit(True), "big": F.col("x") > 1}
+    assert bag(audit.step_counts(df, steps)) == bag(counts)
     observed, seen = audit.observe_rows(df, "rows")
     observed.write.format("noop").mode("overwrite").save()
     assert seen.get == {"row_count": 3}

@@ -139,7 +139,8 @@ def test_region_without_rows_leaves_nothing_behind(spark):
     sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], contracts.SALES)
     market = MARKETS["INDIA_HEALTH"]
     publish.run_region(market, sales, lookups, *tables)
-    publish.run_region(market, sales.where("region <> 'N'"), lookups, *tables, regions=["N"])
+    counts = publish.run_region(market, sales.where("region <> 'N'"), lookups, *tables, regions=["N"])
+    assert counts == {"loaded": 0, "cleaned": 0, "unique": 0, "stores": 0}
     left = {r.Region for r in spark.table(tables[0]).select("Region").distinct().collect()}
     assert "N" not in left and left
     publish.run_region(market, sales.where("region = '01'"), lookups, *tables)
