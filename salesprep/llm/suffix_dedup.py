@@ -23,6 +23,9 @@ neighbour of the same class has a common prefix of ``LENGTH`` - l or more. Queue
 a hash with more tuples than that has its bytes in mapped files there. The files
 go with the task.
 
+Tuples that are copies of each other are combined before the shuffle, so that a hot hash
+brings a task only its distinct surroundings.
+
 Exact copies of a text count once; being repeated, they are removed whole. Only
 texts with a repeated anchor are shuffled; a bitmap of fixed size (``BITMAP_BITS``), made of digests,
 tells the scan which.
@@ -52,6 +55,8 @@ BITMAP_BITS = 1 << 26
 MEMORY_TUPLES = 1 << 20
 #: Tuples of small hashes that are sorted together.
 SHARD_TUPLES = 8_000
+#: Tuples that a task remembers to combine copies; then it begins anew.
+COMBINED = 200_000
 #: Bytes of a text that are hashed at once.
 PART = 1 << 18
 TID = 16
@@ -164,17 +169,43 @@ def fetch(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffix tuples: hash, how many share it, text, place, bytes before (nearest first) and from there on."""
+    """Suffix tuples: hash, how many share it, text, place, bytes before (nearest first) and from there on.
+
+    Combined before the shuffle: of tuples with equal hash and bytes a task sends one.
+    As they are copies, all their windows are repeated, so each gives its span at once, in
+    rows with ``n`` 0 that hold its bounds as ``place`` and ``end`` and are dealt out by text.
+    """
+    seen: dict[bytes, tuple[bytes, int, int] | None] = {}
     for batch in slices(batches, 1 << 20):
         out = []
+
+        def covered(tid: bytes, first: int, end: int, out: list = out) -> None:
+            out.append((int.from_bytes(tid[8:], "little", signed=True), 0, tid, first, end, b"", b""))
+
         for tid, found, raw in zip(batch["tid"].to_pylist(), batch["found"].to_pylist(), batch["raw"].to_pylist(), strict=True):
-            out += [(x["h"], x["n"], tid, p, raw[max(0, p - LEFT) : p][::-1], raw[p : p + LENGTH]) for x in found for p in (x["place"],)]
-        columns = list(zip(*out, strict=True)) or [()] * 6
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["h", "n", "tid", "place", "before", "after"])
+            spans = []
+            for x in found:
+                p = x["place"]
+                first, end = max(0, p - LEFT), min(len(raw), p + LENGTH)
+                key = hashlib.blake2b(b"%d %d " % (x["h"], p - first) + raw[first:end], digest_size=TID).digest()
+                if key not in seen:
+                    seen[key] = (tid, first, end)
+                    out.append((x["h"], x["n"], tid, p, 0, raw[first:p][::-1], raw[p:end]))
+                    continue
+                if seen[key] is not None:
+                    covered(*seen[key])
+                    seen[key] = None
+                spans.append({"first": first, "end": end})
+            for first, end in merged(spans):
+                covered(tid, first, end)
+        if len(seen) > COMBINED:
+            seen.clear()
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["h", "n", "tid", "place", "end", "before", "after"])
 
 
-TUPLES = "h long, n long, tid binary, place long, before binary, after binary"
+TUPLES = "h long, n long, tid binary, place long, end long, before binary, after binary"
 
 
 class TupleQueue:
@@ -394,6 +425,13 @@ def induced(most: int = MEMORY_TUPLES, together: int = SHARD_TUPLES) -> Callable
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, last = None, None
         for batch in slices(batches):
+            direct = np.array(batch["n"].to_numpy() == 0)
+            if direct.any():
+                spans = batch.filter(pa.array(direct))
+                yield pa.RecordBatch.from_arrays([spans["tid"], spans["place"], spans["end"]], names=["tid", "first", "end"])
+                batch = batch.filter(pa.array(~direct))
+                if not batch.num_rows:
+                    continue
             h, n = batch["h"].to_numpy(), batch["n"].to_numpy()
             starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             first = 0
