@@ -65,6 +65,8 @@ def passages(n, seed=1):
 def test_shards_in_memory_and_on_disk_agree(spark, monkeypatch, most, together):
     monkeypatch.setattr(suffix_dedup, "induced", lambda make=suffix_dedup.induced: make(most, together))
     texts = list(enumerate(passages(10)))
+    # copies of one passage in one task, which are combined
+    texts += [(100 + i, f"{i} " + "lorem ipsum " * 90 + f" {i}") for i in range(6)]
     check(suffix_dedup.report(spark.createDataFrame(texts, "doc_id long, text string")), texts)
 
 
