@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -34,6 +35,41 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows, as a power of two, that ``shelve`` keeps together.
+CHUNK_BITS = 12
+
+
+def shelve(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written into the shared folder, so that small tables can meet its rows without moving them.
+
+    Returns the columns as c0, c1, .. with ``row``, a number of its own for each row, and
+    ``chunk``, the same for up to 2 ** ``CHUNK_BITS`` neighbours. The files are bucketed by ``chunk``,
+    so a join on it (``met``) shuffles only the other side.
+    """
+    spark = df.sparkSession
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))]).withColumn("row", F.monotonically_increasing_id())
+    chunked = numbered.withColumn("chunk", F.shiftright("row", CHUNK_BITS))
+    path = new_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunked.write.bucketBy(buckets, "chunk").format("parquet").option("path", path).saveAsTable(table)
+    shelf = spark.table(table)
+    # only the name goes: the files are the caller's, and the plan knows them
+    spark.sql(f"DROP TABLE {table}")
+    return shelf
+
+
+def met(shelf: DataFrame, small: DataFrame, how: str) -> DataFrame:
+    """Join of shelved rows with ``small`` (column ``row``, at most one for each, and others) that leaves them where they lie.
+
+    ``chunk`` is the only key of the join: with ``row`` as a second one Spark would
+    shuffle both sides. A row is compared with those of ``small`` in its chunk.
+    """
+    other = small.withColumnRenamed("row", "row_").withColumn("chunk_", F.shiftright("row_", CHUNK_BITS)).hint("shuffle_hash")
+    same = (F.col("chunk") == F.col("chunk_")) & (F.col("row") - F.col("row_") == 0)
+    return shelf.join(other, same, how)
+
+
 def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice has about ``most_bytes`` of data, one row at least."""
     for batch in batches:

@@ -18,6 +18,9 @@ no more links than members: a spanning forest of its links. Cells of more than
 ``BLOCK`` members are split into blocks, and each pair of blocks is a task's group of
 its own, so that no group of rows grows with the data.
 
+Where whole rows are returned (``one_of_each``), they are shelved first and never shuffled:
+only ids and fingerprints move, and the ids that stay come back to the rows.
+
 Defined cases: a null or empty text, or one without words, has fingerprint zero; rows
 with a null doc_id link like others, and a component's id is its smallest non-null
 doc_id (null if there is none). Repeated rows stay; an empty table gives none.
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesprep.llm.components import components
-from salesprep.llm.shared import longs, raw_texts, slices, stage
+from salesprep.llm.shared import longs, met, raw_texts, shelve, slices, stage
 
 SEED = 42
 DISTANCE = 3
@@ -215,12 +218,11 @@ def groups(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str
 def one_of_each(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group: that with the smallest doc_id, nulls last; of equal ids any one."""
     names = docs.columns
-    tagged = fingerprints(docs, shingle, text, "fp_").toDF(*[f"c{i}" for i in range(len(names))], "fp")
-    tagged = stage(tagged.withColumn("row", F.monotonically_increasing_id()), "simhash-tagged")
-    rows = tagged.select(F.col(f"c{names.index(doc_id)}").cast("long").alias("doc"), "fp", "row")
+    shelf = shelve(docs, "simhash-shelf")
+    source = shelf.select(F.col(f"c{names.index(doc_id)}").cast("long").alias("doc"), "row", F.col(f"c{names.index(text)}").alias("t"))
+    rows = stage(fingerprints(source, shingle, "t", "fp").select("doc", "fp", "row"), "simhash-rows")
     found = rooted(rows.select("doc", "fp")).select("fp", "root")
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     first = rows.groupBy("fp").agg(F.min(order).alias("first")).join(found, "fp").groupBy("root").agg(F.min("first").alias("first"))
     keepers = stage(first.select(F.col("first.row").alias("row")), "simhash-keepers")
-    kept = tagged.join(keepers, "row", "left_semi")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return met(shelf, keepers, "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

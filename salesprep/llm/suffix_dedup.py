@@ -26,9 +26,9 @@ go with the task.
 Tuples that are copies of each other are combined before the shuffle, so that a hot hash
 brings a task only its distinct surroundings.
 
-Exact copies of a text count once; being repeated, they are removed whole. Only
-texts with a repeated anchor are shuffled; a bitmap of fixed size (``BITMAP_BITS``), made of digests,
-tells the scan which.
+Exact copies of a text count once; being repeated, they are removed whole. Whole texts
+are never shuffled: they are shelved once, and the places of repeated anchors, and later the
+spans to remove, come to them.
 
 Defined cases: a null or empty text has no bytes and is kept as empty; texts shorter
 than ``LENGTH`` stay whole; a null doc_id stays null; repeated rows are copies. Where text is
@@ -46,12 +46,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesprep.llm.shared import longs, raw_texts, slices, stage
+from salesprep.llm.shared import longs, met, raw_texts, shelve, slices, stage
 
 LENGTH = 400
 GRAM = 160
 LEFT = LENGTH - GRAM
-BITMAP_BITS = 1 << 26
 MEMORY_TUPLES = 1 << 20
 #: Tuples of small hashes that are sorted together.
 SHARD_TUPLES = 8_000
@@ -104,10 +103,6 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, np.concatenate(hashes)[first].view(np.int64)
 
 
-def bit_of(tid: bytes) -> int:
-    return int.from_bytes(tid[:8], "little") % BITMAP_BITS
-
-
 def digest(text: bytes) -> bytes:
     return hashlib.sha256(text).digest()
 
@@ -123,49 +118,16 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch["doc"],
                 batch["row"],
                 pa.array([s[:TID] for s in shas], pa.binary()),
-                longs(np.array([bit_of(s) for s in shas], np.int64)),
                 longs(np.array([len(t) for t in texts], np.int64)),
                 pa.array([s.hex() for s in shas], pa.string()),
                 pa.array([p for p, _ in found], pa.list_(pa.int64())),
                 pa.array([h for _, h in found], pa.list_(pa.int64())),
             ],
-            names=["doc", "row", "tid", "bit", "n_bytes", "sha256", "places", "hashes"],
+            names=["doc", "row", "tid", "n_bytes", "sha256", "places", "hashes"],
         )
 
 
-MEASURED = "doc long, row long, tid binary, bit long, n_bytes long, sha256 string, places array<long>, hashes array<long>"
-
-
-def bitmap(rows: DataFrame) -> np.ndarray:
-    """Bits of the column ``bit`` as 64-bit words; at most ``BITMAP_BITS`` / 64 rows reach the driver."""
-    words = rows.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits"))
-    found = np.zeros(BITMAP_BITS // 64, np.int64)
-    for word, bits in words.toLocalIterator():
-        found[word] = bits
-    return found
-
-
-def fetch(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """tid and bytes of the distinct texts of ``wanted`` (columns tid, bit, and others, which stay); few other texts are shuffled."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for batch in slices(batches):
-            out = []
-            for t in raw_texts(batch["t"]):
-                if len(t) < LENGTH:
-                    continue
-                tid = digest(t)[:TID]
-                b = bit_of(tid)
-                if int(bits.value[b >> 6]) >> (b & 63) & 1 and tid not in seen:
-                    seen.add(tid)
-                    out.append((tid, t))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], names=["tid", "raw"])
-
-    texts = docs.select(F.col(text).alias("t")).mapInArrow(pick, "tid binary, raw binary")
-    # a text that many tasks hold comes once from each of them
-    return wanted.join(texts, "tid").dropDuplicates(["tid"])
+MEASURED = "doc long, row long, tid binary, n_bytes long, sha256 string, places array<long>, hashes array<long>"
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -473,62 +435,66 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is left of each text with repeated passages."""
+    """How much is removed of each text with repeated passages, and the digest of the rest."""
     for batch in slices(batches):
         runs = [merged(s) for s in batch["spans"].to_pylist()]
-        kept = [kept_bytes(raw, r) for raw, r in zip(batch["raw"].to_pylist(), runs, strict=True)]
+        kept = [digest(kept_bytes(raw, r)).hex() for raw, r in zip(raw_texts(batch["raw"]), runs, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [
-                batch["tid"],
-                pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()),
-                pa.array(map(len, runs), pa.int64(), size=len(runs)),
-                pa.array([digest(k).hex() for k in kept], pa.string()),
-                pa.array([k.decode(errors="ignore") for k in kept], pa.string()),
-            ],
-            names=["tid", "n_removed", "n_spans", "kept_sha256", "kept"],
+            [batch["row"], longs(np.array([sum(b - a for a, b in r) for r in runs], np.int64)), longs(np.array([len(r) for r in runs], np.int64)), pa.array(kept, pa.string())],
+            names=["row", "n_removed", "n_spans", "kept_sha256"],
         )
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Texts (a row each: doc, tid, n_bytes, sha256), tids of texts with copies, and what is left of the others that have repeats."""
-    source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("t"))
+    """Shelved ``docs``; their texts (a row each: doc, row, tid, n_bytes, sha256); row and spans of those with repeated passages."""
+    shelf = shelve(docs, "suffix-shelf")
+    raw = F.col(f"c{docs.columns.index(text)}")
+    source = shelf.select(F.col(f"c{docs.columns.index(doc_id)}").cast("long").alias("doc"), "row", raw.alias("t"))
     texts = stage(source.mapInArrow(measure, MEASURED), "suffix-texts")
     long_texts = texts.where(F.col("n_bytes") >= LENGTH)
     firsts = stage(long_texts.groupBy("tid").agg(F.min("row").alias("row"), F.count("*").alias("copies")), "suffix-firsts")
-    copied = firsts.where("copies > 1").select("tid")
-    found = long_texts.select("row", "tid", "bit", F.explode(F.arrays_zip("places", "hashes")).alias("x")).select("row", "tid", "bit", F.col("x.places").alias("place"), F.col("x.hashes").alias("h"))
-    found = found.join(firsts.select("row"), "row", "left_semi").drop("row")
+    found = long_texts.select("row", "tid", F.explode(F.arrays_zip("places", "hashes")).alias("x")).select("row", "tid", F.col("x.places").alias("place"), F.col("x.hashes").alias("h"))
+    found = found.join(firsts.select("row"), "row", "left_semi")
     often = stage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-often")
-    candidates = stage(found.join(often, "h"), "suffix-anchors")
-    wanted = stage(candidates.groupBy("tid", "bit").agg(F.collect_list(F.struct("place", "h", "n")).alias("found")), "suffix-wanted")
-    tuples = fetch(docs, text, wanted).select("tid", "found", "raw").mapInArrow(cut, TUPLES)
+    wanted = found.join(often, "h").groupBy("row", "tid").agg(F.collect_list(F.struct("place", "h", "n")).alias("found"))
+    tuples = met(shelf, stage(wanted, "suffix-wanted"), "inner").select("tid", "found", raw.cast("binary").alias("raw")).mapInArrow(cut, TUPLES)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = tuples.repartition(tasks, "h").sortWithinPartitions("h", "after")
     spans = dealt.mapInArrow(induced(), "tid binary, first long, end long").distinct()
-    alone = wanted.select("tid", "bit").join(copied, "tid", "left_anti")
-    spans = stage(spans.groupBy("tid").agg(F.collect_list(F.struct("first", "end")).alias("spans")).join(alone, "tid"), "suffix-spans")
-    left = fetch(docs, text, spans).select("tid", "spans", "raw").mapInArrow(removal, "tid binary, n_removed long, n_spans long, kept_sha256 string, kept string")
-    return texts, copied, stage(left, "suffix-left")
+    alone = firsts.where("copies = 1").select("tid", "row")
+    spans = spans.groupBy("tid").agg(F.collect_list(F.struct("first", "end")).alias("spans")).join(alone, "tid").select("row", "spans")
+    copied = long_texts.join(firsts.where("copies > 1").select("tid"), "tid", "left_semi")
+    whole = copied.select("row", F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_bytes").alias("end"))).alias("spans"))
+    return shelf, texts, stage(spans.unionByName(whole), "suffix-spans")
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
-    texts, copied, left = repeats(docs, doc_id, text)
-    rows = texts.select("doc", "tid", "n_bytes", "sha256").join(copied.withColumn("copied", F.lit(True)), "tid", "left").join(left.drop("kept"), "tid", "left")
-    return rows.select(
+    shelf, texts, spans = repeats(docs, doc_id, text)
+    changed = met(shelf, spans, "inner").select("row", "spans", F.col(f"c{docs.columns.index(text)}").alias("raw"))
+    left = changed.mapInArrow(removal, "row long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.select("doc", "row", "n_bytes", "sha256").join(left, "row", "left").select(
         F.col("doc").alias("doc_id"),
         "n_bytes",
-        F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(F.col("copied"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("copied"), hashlib.sha256().hexdigest()).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
     )
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with what is left of each text; null texts stay null. Texts that lose all their bytes become empty."""
-    _, copied, left = repeats(docs, doc_id, text)
-    changed = left.select("tid", "kept").unionByName(copied.select("tid", F.lit("").alias("kept")))
-    tid = F.unhex(F.substring(F.sha2(F.col(f"`{text}`").cast("binary"), 256), 1, 2 * TID))
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], tid.alias("tid"))
-    kept = F.coalesce(F.col("kept"), F.col(f"c{docs.columns.index(text)}"))
-    return plain.join(changed, "tid", "left").select(*[(kept if c == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    shelf, _, spans = repeats(docs, doc_id, text)
+    place = docs.columns.index(text)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = list(batch.columns[:-1])
+            found = batch["spans"].to_pylist()
+            left = [t if s is None else kept_bytes(t.encode(), merged(s)).decode(errors="ignore") for t, s in zip(out[place].to_pylist(), found, strict=True)]
+            out[place] = pa.array(left, out[place].type)
+            yield pa.RecordBatch.from_arrays(out, names=names)
+
+    kept = met(shelf, spans, "left").select(*names, "spans").mapInArrow(remove, shelf.select(*names).schema)
+    return kept.toDF(*docs.columns)
