@@ -37,6 +37,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 #: Rows, as a power of two, that ``shelve`` keeps together.
 CHUNK_BITS = 12
+#: Bytes that a writer of shelved rows gathers before it writes them.
+ROW_GROUP_BYTES = 32 << 20
 
 
 def shelve(df: DataFrame, name: str) -> DataFrame:
@@ -52,7 +54,7 @@ def shelve(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     table = path.rsplit("/", 1)[-1].replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunked.write.bucketBy(buckets, "chunk").format("parquet").option("path", path).saveAsTable(table)
+    chunked.write.bucketBy(buckets, "chunk").format("parquet").option("path", path).option("parquet.block.size", ROW_GROUP_BYTES).saveAsTable(table)
     shelf = spark.table(table)
     # only the name goes: the files are the caller's, and the plan knows them
     spark.sql(f"DROP TABLE {table}")
