@@ -36,8 +36,8 @@ END_ID = 0
 SEPARATOR = "<|endoftext|>"
 OPEN_BINS = 4096
 TASK_PIECES = 200_000
-#: Words whose ids a task remembers; then those met in one text only are forgotten.
-WORDS = 250_000
+#: Words whose ids a task remembers; then it begins anew.
+WORDS = 2_000_000
 #: Words of a text that are looked up at once.
 CHUNK = 1 << 18
 ENDINGS = (b".", b",")
@@ -56,21 +56,10 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        self.clear()
+        self.forget()
 
     def forget(self) -> None:
-        """Keep the words met in two texts or more, or none if they are too many."""
-        kept = np.flatnonzero(self.seen[: len(self.places)] > 1)
-        words = list(self.places)
-        names = [words[i] for i in kept.tolist()]
-        ids, sizes = self.gather(kept), self.sizes[kept]
-        self.clear()
-        if len(names) <= WORDS // 2:
-            self.store(names, ids, np.cumsum(sizes) - sizes, sizes)
-
-    def clear(self) -> None:
         self.places: dict[bytes, int] = {}
-        self.seen = np.zeros(1 << 12, np.int32)
         self.sizes = np.zeros(1 << 12, np.int64)
         self.starts = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.uint32)
@@ -92,8 +81,6 @@ class Encoder:
         place = len(self.places)
         self.sizes, self.starts = grown(self.sizes, place + len(words)), grown(self.starts, place + len(words))
         self.flat = grown(self.flat, self.used + len(ids))
-        self.seen = grown(self.seen, place + len(words))
-        self.seen[place : place + len(words)] = 0
         self.sizes[place : place + len(words)] = sizes
         self.starts[place : place + len(words)] = starts + self.used
         self.flat[self.used : self.used + len(ids)] = ids
@@ -129,13 +116,9 @@ class Encoder:
             self.store(ending, self.gather(at), np.cumsum(sizes) - sizes, sizes)
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        self.seen[at] += 1
-        return self.gather(at)
+        return self.gather(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
 
     def gather(self, at: np.ndarray) -> np.ndarray:
-        if not len(at):
-            return self.flat[:0]
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         index = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])
@@ -190,7 +173,7 @@ def cut(docs: DataFrame, tokenizer: str, length: int, doc_id: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, 4 << 20):
             out: list[tuple] = []
             owners: list[int] = []
             for i, found in enumerate(encoder.encode(raw_texts(batch["t"]))):
