@@ -1,13 +1,16 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are runs of letters, digits and underscores in lower case. Every n-gram of
-``N`` words of the test items is counted in the documents of the whole corpus. An
-item's seeds are its rarer n-grams: those in no more documents than its median
-n-gram (ties included). A document that has a seed is a candidate for the items of
-that seed. Around its seeds, as far as the item is long, the words are aligned
+``N`` words of the test items is counted in the documents of the whole corpus. Those in no
+more than ``RARE`` of the documents are rare, by a bound that is the same for all items. A place of
+a rare n-gram is a seed of its items; a place of a common one is a seed where the words around it
+could reach the least score: where they hold enough of the item's words, in any order. No
+alignment that holds an n-gram is lost by that. Around its seeds, as far as an alignment of the
+least score can reach, the words are aligned
 locally with the item's words (match 2, mismatch and gap -1); the score is the
 alignment's score over that of the item with itself, so that a copy has 1, and a
-copy with every fifth word replaced about 0.7.
+copy with every fifth word replaced about 0.7. Copies that keep no ``N`` words in a row have
+no seed (every third word replaced: 0.5).
 
 The test items are the bounded side. They are taken in blocks of ``BLOCK_BYTES``
 of text, each collected and broadcast; each block is searched in all documents, in
@@ -37,9 +40,10 @@ from salesprep.llm.shared import longs, slices
 N = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
+#: Share of the documents up to which an n-gram is rare; in one document it always is.
+RARE = 0.001
 BLOCK_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
-#: Candidate places of one item in a document are joined when they are nearer than the item is long.
 UNKNOWN = -1
 
 
@@ -115,58 +119,64 @@ def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def candidates(block: Block, seeds: list[list[int]], text: str) -> Iterator[tuple[int, float, int, int]]:
+def most_score(item: np.ndarray, part: np.ndarray) -> float:
+    """Bound of the score: that of all words the two have in common, in order and without gaps."""
+    words, counts = np.unique(item, return_counts=True)
+    at = np.searchsorted(words, part)
+    at[at == len(words)] = 0
+    common = np.bincount(at[words[at] == part], minlength=len(words))
+    return int(np.minimum(common, counts).sum()) / len(item)
+
+
+def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) -> Iterator[tuple[int, float, int, int]]:
     """Item, score, first and last word of the passage, of each item that has a seed in the text."""
     ids, places, grams = hits(block, text)
     by_item = defaultdict(list)
     for place, gram in zip(places.tolist(), grams.tolist(), strict=True):
-        for i in seeds[gram]:
-            by_item[i].append(place)
-    for i, found in by_item.items():
+        for i in block.owners[gram]:
+            by_item[i].append((place, rare[gram]))
+    for i, held in by_item.items():
         item = block.items[i][1]
+        # matches give 2 at most for a word of the item, so this many words can be put in between
+        reach = len(item) + max(0, int(2 * len(item) * (1 - least_score)))
+        around = lambda p: ids[max(0, p - reach) : p + N + reach]  # noqa: E731, B023
+        found = [p for p, seldom in held if seldom or most_score(item, around(p)) >= least_score]
+        if not found:
+            continue
         best = (0.0, 0, 0)
         span = None
         for place in [*found, None]:
-            if span and (place is None or place - len(item) > span[1]):
+            if span and (place is None or place - reach > span[1]):
                 score, end = align(item, ids[span[0] : span[1]])
                 score /= MATCH * len(item)
                 if score > best[0]:
                     best = (score, span[0], span[0] + end)
                 span = None
             if place is not None:
-                span = (span[0] if span else max(0, place - len(item)), place + N + len(item))
+                span = (span[0] if span else max(0, place - reach), place + N + reach)
         yield i, *best
 
 
 def prepare(texts: DataFrame, rows: list[tuple[int, str]]) -> tuple[Broadcast, Broadcast]:
-    """A block of test items, and which items each of its n-grams is a seed of; counted over all ``texts`` (column t)."""
+    """A block of test items, and which of its n-grams are rare; counted over all ``texts`` (column t)."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(make_block(rows))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        totals = np.zeros(len(block.grams), np.int64)
+        totals = np.zeros(len(block.grams) + 1, np.int64)
         for batch in slices(batches):
+            totals[-1] += batch.num_rows
             for text in batch["t"].to_pylist():
                 totals[np.unique(hits(block, text)[2])] += 1
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([longs(seen), longs(totals[seen])], names=["gram", "n"])
 
     counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    documents = np.zeros(len(shared.value.grams), np.int64)
+    documents = np.zeros(len(shared.value.grams) + 1, np.int64)
     for gram, n in counted.toLocalIterator():
         documents[gram] = n
-    rare: list[list[int]] = [[] for _ in documents]
-    by_item = defaultdict(list)
-    for gram, owners in enumerate(shared.value.owners):
-        for i in owners:
-            by_item[i].append(gram)
-    for i, grams in by_item.items():
-        median = np.sort(documents[grams])[(len(grams) - 1) // 2]
-        for gram in grams:
-            if documents[gram] <= median:
-                rare[gram].append(i)
-    return shared, spark.sparkContext.broadcast(rare)
+    return shared, spark.sparkContext.broadcast(documents[:-1] <= max(1, RARE * documents[-1]))
 
 
 def blocks_of(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int, str]]]:
@@ -187,14 +197,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEA
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).where("t IS NOT NULL")
     found = None
     for rows in blocks_of(benchmark, item_id, item_text):
-        shared, seeds = prepare(texts.select("t"), rows)
+        shared, rare = prepare(texts.select("t"), rows)
 
-        def search(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, seeds: Broadcast = seeds) -> Iterator[pa.RecordBatch]:
-            block, seeds_of = shared.value, seeds.value
+        def search(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, rare: Broadcast = rare) -> Iterator[pa.RecordBatch]:
+            block, seldom = shared.value, rare.value
             for batch in slices(batches):
                 out = []
                 for doc, text in zip(batch["doc_id"].to_pylist(), batch["t"].to_pylist(), strict=True):
-                    out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seeds_of, text) if s >= least_score]
+                    out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seldom, text, least_score) if s >= least_score]
                 columns = list(zip(*out, strict=True)) or [()] * 5
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "score", "first_word", "last_word"])
@@ -211,12 +221,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCOR
     kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
     texts = kept.select(F.col(f"c{place}").alias("t")).where("t IS NOT NULL")
     for rows in blocks_of(benchmark, item_id, item_text):
-        shared, seeds = prepare(texts, rows)
+        shared, rare = prepare(texts, rows)
 
-        def drop(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, seeds: Broadcast = seeds) -> Iterator[pa.RecordBatch]:
-            block, seeds_of = shared.value, seeds.value
+        def drop(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, rare: Broadcast = rare) -> Iterator[pa.RecordBatch]:
+            block, seldom = shared.value, rare.value
             for batch in slices(batches):
-                keep = [not any(s >= least_score for _, s, _, _ in candidates(block, seeds_of, t or "")) for t in batch[place].to_pylist()]
+                keep = [not any(s >= least_score for _, s, _, _ in candidates(block, seldom, t or "", least_score)) for t in batch[place].to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         kept = kept.mapInArrow(drop, kept.schema)

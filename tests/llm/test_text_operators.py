@@ -55,6 +55,26 @@ def test_blocks_of_items_give_the_same(spark, sf, monkeypatch):
     assert exact and exact <= {(d, i) for d, i, *_ in want}
 
 
+@pytest.mark.parametrize("rare", [0.001, 0.0])
+@pytest.mark.parametrize("verbatim", [0, 1, 40])
+def test_edited_copies_alone_and_beside_verbatim_ones(spark, monkeypatch, verbatim, rare):
+    monkeypatch.setattr(decontamination, "RARE", rare)
+    item = [f"w{i}" for i in range(30)]
+    texts = [" ".join(item)] * verbatim + [prose(9, 80), "w0 w1 w2 and nothing more", "w0 w1 w2 " + prose(8, 60) + " w5 w6 w7"]
+    for every in (4, 5):
+        for first in range(every):
+            edited = [f"x{i}" if i % every == first else w for i, w in enumerate(item)]
+            texts += [" ".join(edited), f"{prose(first, 90)} {' '.join(edited)} {prose(every, 40)}"]
+    # words put in between: the alignment is longer than the item
+    texts.append(" ".join(w if i < 3 or i > 26 else f"{w} y{i}" for i, w in enumerate(item)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    want = {d: s for d, t in enumerate(texts) if (s := plain_score(" ".join(item), t)) >= 0.5}
+    assert len(want) == len(texts) - 3
+    assert {r.doc_id: r.score for r in decontamination.contaminated(docs, bench).collect()} == pytest.approx(want)
+    assert sorted(r.doc_id for r in decontamination.clean(docs, bench).collect()) == [verbatim, verbatim + 1, verbatim + 2]
+
+
 # Quality rules
 
 
