@@ -1,6 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are runs of letters, digits and underscores in lower case. Every n-gram of
+Words are runs of letters, digits and underscores in lower case; in scripts that are
+written without spaces each letter is a word. Every n-gram of
 ``N`` words of the test items is counted in the documents of the whole corpus. Those in no
 more than ``RARE`` of the documents are rare, by a bound that is the same for all items. A place of
 a rare n-gram is a seed of its items; a place of a common one is a seed where the words around it
@@ -16,7 +17,8 @@ The test items are the bounded side. They are taken in blocks of ``BLOCK_BYTES``
 of text, each collected and broadcast; each block is searched in all documents, in
 Arrow batches where the documents lie. Documents are never shuffled.
 
-Defined cases: items with fewer than ``N`` words have no seed and match nothing; null
+Defined cases: the one seed of an item with fewer than ``N`` words is its whole word
+sequence, and items without words match nothing; null
 texts, null item ids and empty tables give no rows; repeated documents give their rows
 again; equal items (also of one id) are one item of each id. Of equal scores in a document the
 first place is returned.
@@ -43,7 +45,9 @@ LEAST_SCORE = 0.5
 #: Share of the documents up to which an n-gram is rare; in one document it always is.
 RARE = 0.001
 BLOCK_BYTES = 16 << 20
-WORD = re.compile(r"\w+")
+#: Thai, Lao, Tibetan, Myanmar, Khmer, kana, bopomofo, Han and their extensions.
+UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af"
+WORD = re.compile(rf"[^\W{UNSPACED}]+|\w")
 UNKNOWN = -1
 
 
@@ -55,6 +59,7 @@ class Block:
     items: list[tuple[int, np.ndarray]]
     grams: np.ndarray
     owners: list[list[int]]
+    widths: list[int]
 
 
 def words_of(text: str) -> list[str]:
@@ -66,16 +71,16 @@ def numbered(words: list[str], known: dict[str, int]) -> np.ndarray:
     return np.fromiter((get(w, UNKNOWN) for w in words), np.int64, len(words))
 
 
-def gram_numbers(ids: np.ndarray, size: int) -> np.ndarray:
-    """A number for each n-gram of a word sequence; ``UNKNOWN`` where a word is unknown."""
-    n = len(ids) - N + 1
+def gram_numbers(ids: np.ndarray, size: int, width: int = N) -> np.ndarray:
+    """A number for each gram of ``width`` (1 to ``N``) words of a sequence; ``UNKNOWN`` where a word is unknown."""
+    n = len(ids) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
     found, known = np.zeros(n, np.int64), np.ones(n, bool)
-    for k in range(N):
+    for k in range(width):
         found = found * size + ids[k : k + n]
         known &= ids[k : k + n] >= 0
-    return np.where(known, found, UNKNOWN)
+    return np.where(known, found * N + N - width, UNKNOWN)
 
 
 def make_block(rows: list[tuple[int, str]]) -> Block:
@@ -83,25 +88,28 @@ def make_block(rows: list[tuple[int, str]]) -> Block:
     for _, text in rows:
         for w in words_of(text):
             words.setdefault(w, len(words))
-    if len(words) ** N >= 1 << 63:
+    if N * len(words) ** N >= 1 << 63:
         raise ValueError("a block of test items has too many words to number their n-grams; take smaller blocks")
     items = [(item, numbered(words_of(text), words)) for item, text in rows]
     owners = defaultdict(list)
     for i, (_, ids) in enumerate(items):
-        for gram in set(gram_numbers(ids, len(words)).tolist()):
+        for gram in set(gram_numbers(ids, len(words), min(N, len(ids))).tolist()) if len(ids) else ():
             owners[gram].append(i)
     grams = np.array(sorted(owners), np.int64)
-    return Block(words, items, grams, [owners[g] for g in grams.tolist()])
+    widths = sorted({min(N, len(ids)) for _, ids in items if len(ids)})
+    return Block(words, items, grams, [owners[g] for g in grams.tolist()], widths)
 
 
 def hits(block: Block, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of a text, the places of its known n-grams, and which they are."""
+    """Word numbers of a text, the places of its known grams (in order for each width), and which they are."""
     ids = numbered(words_of(text), block.words)
-    numbers = gram_numbers(ids, len(block.words))
-    places = np.flatnonzero(numbers >= 0)
-    at = np.searchsorted(block.grams, numbers[places])
+    found = [gram_numbers(ids, len(block.words), width) for width in block.widths]
+    places = [np.flatnonzero(numbers >= 0) for numbers in found]
+    numbers = np.concatenate([np.zeros(0, np.int64), *(x[p] for x, p in zip(found, places, strict=True))])
+    places = np.concatenate([np.zeros(0, np.int64), *places])
+    at = np.searchsorted(block.grams, numbers)
     fits = at < len(block.grams)
-    fits[fits] = block.grams[at[fits]] == numbers[places][fits]
+    fits[fits] = block.grams[at[fits]] == numbers[fits]
     return ids, places[fits], at[fits]
 
 

@@ -75,6 +75,16 @@ def test_edited_copies_alone_and_beside_verbatim_ones(spark, monkeypatch, verbat
     assert sorted(r.doc_id for r in decontamination.clean(docs, bench).collect()) == [verbatim, verbatim + 1, verbatim + 2]
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = {1: "Zyx", 2: "qed, erat", 3: "床前明月光疑是地上霜舉頭望明月低頭思故鄉", 4: "กขคงจฉชซ", 5: "--"}
+    texts = {1: f"{prose(1, 40)} zyx.", 2: "qed erat demonstrandum", 3: f"他說{items[3]}很好", 4: "床前明月光疑是地下霜舉頭看明月低頭思故鄉", 5: f"x{items[4]}y", 6: "erat qed zy x", 7: "明月", 8: "-- --"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, bench).collect()}
+    assert found == pytest.approx({(1, 1): 1.0, (2, 2): 1.0, (3, 3): 1.0, (4, 3): 0.85, (5, 4): 1.0})
+    assert sorted(r.doc_id for r in decontamination.clean(docs, bench).collect()) == [6, 7, 8]
+
+
 # Quality rules
 
 
