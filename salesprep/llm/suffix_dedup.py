@@ -3,12 +3,12 @@
 A byte is removed if a string of ``LENGTH`` bytes that covers it starts anywhere else
 too, in any text or in the same. Texts are UTF-8 bytes; matches never cross texts.
 
-Where to look. Every window of ``LENGTH`` bytes has grams of ``GRAM`` bytes; the gram with
+Where to look. Every window of ``LENGTH`` bytes has grams of ``gram_of(LENGTH)`` bytes; the gram with
 the smallest hash is its anchor. Equal windows have equal anchors at equal places, so a
 window can be repeated only if its anchor's hash occurs twice. Spark counts the
 anchors' hashes and joins the repeated ones to the texts; around each repeated
 anchor a suffix tuple is cut: the ``LENGTH`` bytes from the anchor on (its right) and the
-``LENGTH - GRAM`` bytes before it (its left). Tuples are shuffled by hash, and every
+``left_of(LENGTH)`` bytes before it (its left). Tuples are shuffled by hash, and every
 window that is repeated meets its copy in one shard.
 
 Inside a shard. Spark's external sort orders the tuples by hash and right bytes: the order of the
@@ -30,6 +30,10 @@ Exact copies of a text count once; being repeated, they are removed whole. Whole
 are never shuffled: they are shelved once, and the places of repeated anchors, and later the
 spans to remove, come to them.
 
+The length is a parameter of ``repeats`` and ``without_repeats``; ``LENGTH`` is the default.
+``without_repeats`` can be told to remove passages by words: it looks for windows as short as so many
+words can be, and removes the runs of repeated windows that have enough words or bytes.
+
 Defined cases: a null or empty text has no bytes and is kept as empty; texts shorter
 than ``LENGTH`` stay whole; a null doc_id stays null; repeated rows are copies. Where text is
 returned, bytes of a character that was cut in two are left out.
@@ -49,8 +53,6 @@ from pyspark.sql import functions as F
 from salesprep.llm.shared import longs, met, raw_texts, shelve, slices, stage
 
 LENGTH = 400
-GRAM = 160
-LEFT = LENGTH - GRAM
 MEMORY_TUPLES = 1 << 20
 #: Tuples of small hashes that are sorted together.
 SHARD_TUPLES = 8_000
@@ -66,6 +68,15 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
+def gram_of(length: int) -> int:
+    """Bytes of the grams of windows of ``length`` bytes: 160 of 400."""
+    return 2 * length // 5
+
+
+def left_of(length: int) -> int:
+    return length - gram_of(length)
+
+
 def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     """Minimum (or maximum) of each run of ``width`` values."""
     best = np.minimum if least else np.maximum
@@ -78,17 +89,18 @@ def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     return best(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the anchors of all windows of a text."""
     places, hashes = [], []
     raw = np.frombuffer(text, np.uint8)
-    width = LENGTH - GRAM + 1
-    for start in range(0, max(len(raw) - LENGTH + 1, 0), PART):
-        part = raw[start : start + PART + LENGTH - 1]
+    gram = gram_of(length)
+    width = length - gram + 1
+    for start in range(0, max(len(raw) - length + 1, 0), PART):
+        part = raw[start : start + PART + length - 1]
         powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(part) - 1, BASE)]))
         sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_HASHES[part] * powers)])
-        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(part) - GRAM, INVERSE)]))
-        grams = (sums[GRAM:] - sums[:-GRAM]) * back
+        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(part) - gram, INVERSE)]))
+        grams = (sums[gram:] - sums[:-gram]) * back
         grams = (grams ^ (grams >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         grams ^= grams >> np.uint64(29)
         least = sliding(grams, width, True)
@@ -107,12 +119,12 @@ def digest(text: bytes) -> bytes:
     return hashlib.sha256(text).digest()
 
 
-def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def measure(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
     """Digest, size and anchors of each text."""
     for batch in slices(batches):
         texts = raw_texts(batch["t"])
         shas = [digest(t) for t in texts]
-        found = [anchors(t) for t in texts]
+        found = [anchors(t, length) for t in texts]
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc"],
@@ -130,7 +142,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 MEASURED = "doc long, row long, tid binary, n_bytes long, sha256 string, places array<long>, hashes array<long>"
 
 
-def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cut(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
     """Suffix tuples: hash, how many share it, text, place, bytes before (nearest first) and from there on.
 
     Combined before the shuffle: of tuples with equal hash and bytes a task sends one.
@@ -148,7 +160,7 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = []
             for x in found:
                 p = x["place"]
-                first, end = max(0, p - LEFT), min(len(raw), p + LENGTH)
+                first, end = max(0, p - left_of(length)), min(len(raw), p + length)
                 key = hashlib.blake2b(b"%d %d " % (x["h"], p - first) + raw[first:end], digest_size=TID).digest()
                 if key not in seen:
                     seen[key] = (tid, first, end)
@@ -236,11 +248,12 @@ class Induction:
     many there are. ``mark(level, occurrences)`` is called for the repeated windows.
     """
 
-    def __init__(self, before: np.ndarray, sizes: np.ndarray, most: int, mark: Callable[[int, np.ndarray], None]) -> None:
+    def __init__(self, before: np.ndarray, sizes: np.ndarray, most: int, mark: Callable[[int, np.ndarray], None], length: int = LENGTH) -> None:
         self.before, self.sizes, self.most, self.mark = before, sizes, most, mark
+        self.length, self.left = length, left_of(length)
 
     def run(self, queue: TupleQueue) -> None:
-        for level in range(LEFT + 1):
+        for level in range(self.left + 1):
             queue, pushed = self.level(queue, level)
             if not pushed:
                 return
@@ -257,7 +270,7 @@ class Induction:
             new[0] = key[0] != last_key
             new[1:] = key[1:] != key[:-1]
             prefix = np.where(new, 0, prefix)
-            hit = prefix >= LENGTH - level
+            hit = prefix >= self.length - level
             if hit.any():
                 before = np.concatenate([[last_occurrence], occurrence[:-1]])
                 self.mark(level, np.unique(np.concatenate([occurrence[hit], before[hit]])))
@@ -265,8 +278,8 @@ class Induction:
             single = new.copy()
             single[:-1] &= new[1:]
             single[-1] = False  # it may go on in the next block
-            going = np.flatnonzero(~single & (self.sizes[occurrence] > level)) if level < LEFT else np.zeros(0, np.int64)
-            byte = self.before[occurrence[going], min(level, LEFT - 1)].astype(np.int64)
+            going = np.flatnonzero(~single & (self.sizes[occurrence] > level)) if level < self.left else np.zeros(0, np.int64)
+            byte = self.before[occurrence[going], min(level, self.left - 1)].astype(np.int64)
             keys = (classes[going] << 8) | byte
             carried = np.zeros(len(going), np.int64)
             order = np.argsort(keys, kind="stable") if (keys[1:] < keys[:-1]).any() else np.arange(len(keys))
@@ -288,7 +301,7 @@ class Induction:
                 open_minima = np.where(open_minima >= 0, np.minimum(open_minima, prefix.min()), -1)
             else:
                 open_minima = np.full(256, -1, np.int64)
-            to_end = np.minimum.accumulate(np.append(LENGTH, prefix[:tail:-1] if tail else prefix[:0:-1]))[::-1]
+            to_end = np.minimum.accumulate(np.append(self.length, prefix[:tail:-1] if tail else prefix[:0:-1]))[::-1]
             inside = going >= tail
             open_minima[byte[inside]] = to_end[going[inside] - tail]
             if len(going):
@@ -328,26 +341,27 @@ def matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 class Shard:
     """Tuples of one or more hashes, in order of hash and following bytes; ``rows`` is their number if they are too many for memory."""
 
-    def __init__(self, most: int, rows: int = 0) -> None:
+    def __init__(self, most: int, rows: int = 0, length: int = LENGTH) -> None:
+        self.length, self.left = length, left_of(length)
         self.most, self.n, self.queue = most, 0, TupleQueue(most)
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.files = None
         if rows > most:
             self.folder = tempfile.TemporaryDirectory()
             mapped = lambda name, kind, shape: np.memmap(f"{self.folder.name}/{name}", kind, "w+", shape=shape)
-            self.files = (mapped("before", np.uint8, (rows, LEFT)), mapped("sizes", np.int64, (rows,)), mapped("place", np.int64, (rows,)), mapped("tid", np.uint8, (rows, TID)))
+            self.files = (mapped("before", np.uint8, (rows, self.left)), mapped("sizes", np.int64, (rows,)), mapped("place", np.int64, (rows,)), mapped("tid", np.uint8, (rows, TID)))
         self.last: tuple[np.ndarray, int, int] | None = None
 
     def add(self, batch: pa.RecordBatch) -> None:
-        after, sizes = matrix(batch["after"], LENGTH)
-        before, before_sizes = matrix(batch["before"], LEFT)
+        after, sizes = matrix(batch["after"], self.length)
+        before, before_sizes = matrix(batch["before"], self.left)
         tid, _ = matrix(batch["tid"], TID)
         h = batch["h"].to_numpy()
         if self.last is None:
             self.last = (after[0], int(sizes[0]), int(h[0]) ^ 1)
         above = np.concatenate([self.last[0][None], after[:-1]])
         differ = above != after
-        prefix = np.where(differ.any(axis=1), differ.argmax(axis=1), LENGTH)
+        prefix = np.where(differ.any(axis=1), differ.argmax(axis=1), self.length)
         prefix = np.minimum(prefix, np.minimum(sizes, np.append(self.last[1], sizes[:-1])))
         # a key is the hash's place in the order, so that the queue keeps the order it is given
         self.key = getattr(self, "key", 0) + np.cumsum(np.append(self.last[2], h[:-1]) != h)
@@ -367,13 +381,13 @@ class Shard:
         """tid, first and end of the repeated passages around each occurrence."""
         before, sizes, place, tid = self.files or (np.concatenate(x) for x in zip(*self.parts, strict=True))
         runs = Runs(self.n)
-        Induction(before, sizes, self.most, runs.mark).run(self.queue)
+        Induction(before, sizes, self.most, runs.mark, self.length).run(self.queue)
         occurrence, since, last = runs.all()
         for i in range(0, len(occurrence), 10_000):
             o = occurrence[i : i + 10_000]
             tids = np.ascontiguousarray(tid[o]).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([tids[k : k + TID] for k in range(0, len(tids), TID)], pa.binary()), longs(place[o] - last[i : i + 10_000]), longs(place[o] - since[i : i + 10_000] + LENGTH)],
+                [pa.array([tids[k : k + TID] for k in range(0, len(tids), TID)], pa.binary()), longs(place[o] - last[i : i + 10_000]), longs(place[o] - since[i : i + 10_000] + self.length)],
                 names=["tid", "first", "end"],
             )
         if self.files:
@@ -384,7 +398,7 @@ class Shard:
 def induced(most: int = MEMORY_TUPLES, together: int = SHARD_TUPLES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Spans of repeated bytes, of tuples that come in order of hash and following bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
         shard, last = None, None
         for batch in slices(batches):
             direct = np.array(batch["n"].to_numpy() == 0)
@@ -404,12 +418,12 @@ def induced(most: int = MEMORY_TUPLES, together: int = SHARD_TUPLES) -> Callable
                 waiting = (shard.n if shard else 0) + s - first
                 if waiting and (waiting >= together or n[s] > most or (shard and shard.files)):
                     if s > first:
-                        shard = shard or Shard(most, int(n[first]))
+                        shard = shard or Shard(most, int(n[first]), length)
                         shard.add(batch.slice(first, s - first))
                     yield from shard.spans()
                     shard, first = None, s
             if batch.num_rows > first:
-                shard = shard or Shard(most, int(n[first]))
+                shard = shard or Shard(most, int(n[first]), length)
                 shard.add(batch.slice(first))
             last = h[-1] if len(h) else last
         if shard:
@@ -429,6 +443,25 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def chained(spans: list[dict], length: int) -> list[tuple[int, int]]:
+    """Maximal runs in which every window of ``length`` bytes is repeated; neighbours that only touch stay apart."""
+    out: list[list[int]] = []
+    for first, end in sorted((s["first"], s["end"]) for s in spans):
+        if out and first <= out[-1][1] - length + 1:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([first, end])
+    return [tuple(x) for x in out]
+
+
+def whole_words(raw: bytes, first: int, end: int) -> int:
+    """Words (what white space separates) that lie wholly in ``raw[first:end]``."""
+    n = len(raw[first:end].split())
+    cut_first = first > 0 and not raw[first - 1 : first].isspace() and not raw[first : first + 1].isspace()
+    cut_last = end < len(raw) and not raw[end : end + 1].isspace() and not raw[end - 1 : end].isspace()
+    return max(0, n - cut_first - cut_last)
+
+
 def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     edges = [0, *(e for run in runs for e in run), len(raw)]
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -445,22 +478,23 @@ def removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Shelved ``docs``; their texts (a row each: doc, row, tid, n_bytes, sha256); row and spans of those with repeated passages."""
     shelf = shelve(docs, "suffix-shelf")
     raw = F.col(f"c{docs.columns.index(text)}")
     source = shelf.select(F.col(f"c{docs.columns.index(doc_id)}").cast("long").alias("doc"), "row", raw.alias("t"))
-    texts = stage(source.mapInArrow(measure, MEASURED), "suffix-texts")
-    long_texts = texts.where(F.col("n_bytes") >= LENGTH)
+    texts = stage(source.mapInArrow(lambda batches: measure(batches, length), MEASURED), "suffix-texts")
+    long_texts = texts.where(F.col("n_bytes") >= length)
     firsts = stage(long_texts.groupBy("tid").agg(F.min("row").alias("row"), F.count("*").alias("copies")), "suffix-firsts")
     found = long_texts.select("row", "tid", F.explode(F.arrays_zip("places", "hashes")).alias("x")).select("row", "tid", F.col("x.places").alias("place"), F.col("x.hashes").alias("h"))
     found = found.join(firsts.select("row"), "row", "left_semi")
     often = stage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-often")
     wanted = found.join(often, "h").groupBy("row", "tid").agg(F.collect_list(F.struct("place", "h", "n")).alias("found"))
-    tuples = met(shelf, stage(wanted, "suffix-wanted"), "inner").select("tid", "found", raw.cast("binary").alias("raw")).mapInArrow(cut, TUPLES)
+    tuples = met(shelf, stage(wanted, "suffix-wanted"), "inner").select("tid", "found", raw.cast("binary").alias("raw")).mapInArrow(lambda batches: cut(batches, length), TUPLES)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = tuples.repartition(tasks, "h").sortWithinPartitions("h", "after")
-    spans = dealt.mapInArrow(induced(), "tid binary, first long, end long").distinct()
+    shards = induced()
+    spans = dealt.mapInArrow(lambda batches: shards(batches, length), "tid binary, first long, end long").distinct()
     alone = firsts.where("copies = 1").select("tid", "row")
     spans = spans.groupBy("tid").agg(F.collect_list(F.struct("first", "end")).alias("spans")).join(alone, "tid").select("row", "spans")
     copied = long_texts.join(firsts.where("copies > 1").select("tid"), "tid", "left_semi")
@@ -482,9 +516,21 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with what is left of each text; null texts stay null. Texts that lose all their bytes become empty."""
-    shelf, _, spans = repeats(docs, doc_id, text)
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, least_words: int | None = None) -> DataFrame:
+    """``docs`` with what is left of each text; null texts stay null. Texts that lose all their bytes become empty.
+
+    With ``least_words``, passages of so many words go too, however short the words: windows as short as they can be are
+    looked for, and of the runs in which all are repeated those of ``least_words`` words or ``length`` bytes are removed.
+    """
+    window = min(length, 2 * least_words - 1) if least_words else length
+    shelf, _, spans = repeats(docs, doc_id, text, window)
+
+    def removed(raw: bytes, found: list[dict]) -> list[tuple[int, int]]:
+        if not least_words:
+            return merged(found)
+        kept = [(a, b) for a, b in chained(found, window) if b - a >= length or whole_words(raw, a, b) >= least_words]
+        return merged([{"first": a, "end": b} for a, b in kept])
+
     place = docs.columns.index(text)
     names = [f"c{i}" for i in range(len(docs.columns))]
 
@@ -492,7 +538,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         for batch in slices(batches):
             out = list(batch.columns[:-1])
             found = batch["spans"].to_pylist()
-            left = [t if s is None else kept_bytes(t.encode(), merged(s)).decode(errors="ignore") for t, s in zip(out[place].to_pylist(), found, strict=True)]
+            left = [t if s is None else kept_bytes(t.encode(), removed(t.encode(), s)).decode(errors="ignore") for t, s in zip(out[place].to_pylist(), found, strict=True)]
             out[place] = pa.array(left, out[place].type)
             yield pa.RecordBatch.from_arrays(out, names=names)
 

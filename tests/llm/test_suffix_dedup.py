@@ -98,3 +98,31 @@ def test_anchors_do_not_depend_on_parts(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART", 700)
     for a, b in zip(whole, suffix_dedup.anchors(text), strict=True):
         assert (a == b).all()
+
+
+def test_passages_by_words(spark):
+    """Repeated runs of 51 words go however short the words are, and runs of 400 bytes; shorter ones and neighbours stay."""
+    rng = random.Random(7)
+    word = lambda least, most: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(least, most)))
+    words = lambda n, least=3, most=8: " ".join(word(least, most) for _ in range(n))
+    gone = [words(51), words(51, 1, 1), words(60, 1, 3), words(51, 5, 6), words(30, 16, 18)]
+    stay = [words(45), words(50, 3, 4), words(35, 3, 4)]
+    texts = [f"{words(20)} {p} {words(20)}" for p in [*gone, *stay] for _ in range(3)]
+    # two passages, each too short, side by side in one text
+    texts += [f"{stay[0]} {stay[1]} {words(5)}", None, "", f"{words(51)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, least_words=51).collect()}
+    for d, text in enumerate(texts):
+        if d < 3 * len(gone):
+            # the spaces around a passage are repeated too, so the words beside it may have become one
+            assert len(kept[d].split()) in range(39, 43) and text.split()[:19] == kept[d].split()[:19] and text.split()[-19:] == kept[d].split()[-19:]
+        else:
+            assert kept[d] == text
+
+
+def test_length_is_a_parameter(spark):
+    texts = [(i, f"{i} " * 60 + "abcdefghij" * 2 + "klmnopqrstuvwxyz" * 20 + f" {i}" * 60) for i in range(2)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs).collect()} == dict(texts)
+    left = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, length=200).collect()}
+    assert all(len(t) < 260 and "k" not in t for t in left.values())
