@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesprep.llm import decontamination, html_text, language_id, packing, quality_classifier, quality_rules, simhash, suffix_dedup, url_filter, warc
+from salesprep.llm import (
+    decontamination,
+    fim,
+    html_text,
+    language_id,
+    packing,
+    prefix_trie,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    slack_packing,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
 
 #: Fixed rules of the url query: host, path prefix, verdict.
 URL_RULES = (
@@ -86,6 +100,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
+def op11_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slack_packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    again = fim.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.rebuilt(prefix_trie.conversations(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
@@ -97,4 +126,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_minimum_slack_packing": op11_minimum_slack_packing,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
