@@ -2,8 +2,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import bag, plan_of
-from salesprep.operators.lookup import Limits, fits, hot_keys, join_lookup, join_on, spread_join
-from salesprep.staging import Size, measure, stage, stage_measured
+from salesprep import staging
+from salesprep.operators.lookup import (
+    LIMITS,
+    Limits,
+    filter_bits,
+    fits,
+    hot_keys,
+    join_lookup,
+    join_on,
+    sketch,
+    sketched_hot_keys,
+    spread_join,
+    with_possible,
+)
+from salesprep.staging import Size, measure, scope, stage, stage_measured, stage_observed
 
 SHUFFLED = Limits(broadcast_rows=0, rows_per_task=10)
 
@@ -83,3 +96,133 @@ def test_stage_cuts_the_lineage(spark):
     assert staged.columns == df.columns
     assert bag(staged) == bag(df)
     assert "FileScan parquet" in plan_of(staged)
+
+
+# -- sketch and filter --------------------------------------------------------------
+
+
+def sketched(spark, fact, limits):
+    _, values = stage_observed(fact, "test", *sketch(["k"], limits))
+    hot = sketched_hot_keys(spark, values, limits)
+    return {} if hot is None else {row._key: row._salts for row in hot.collect()}
+
+
+def test_sketch_finds_every_key_above_the_bound(spark):
+    keys = [f"k{i}" for i in range(3000) for _ in range(2)] + ["warm"] * 400 + ["hot"] * 900 + [None] * 700
+    fact = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
+    limits = Limits(rows_per_task=100, sketch_items=256)
+    found = sketched(spark, fact, limits)
+    hashes = {r.k: r.h for r in fact.distinct().select("k", F.xxhash64("k").alias("h")).collect()}
+    assert {hashes["hot"], hashes["warm"], hashes[None]} <= found.keys() and len(found) < 64
+    assert found[hashes["hot"]] >= 2
+    assert sketched(spark, fact, LIMITS) == {}
+    assert sketched(spark, fact.where("false"), limits) == {}
+
+
+class Counting:
+    """Counts how often rows of a table are computed."""
+
+    def __init__(self, spark, df):
+        self.rows = spark.sparkContext.accumulator(0)
+        total = self.rows
+
+        def count(batches):
+            for batch in batches:
+                total.add(batch.num_rows)
+                yield batch
+
+        self.df = df.mapInArrow(count, df.schema)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_fact_and_lookup_are_computed_once(spark, no_auto_broadcast, fact, lookup, how):
+    counted, listed = Counting(spark, fact), Counting(spark, lookup)
+    joined = join_lookup(counted.df, listed.df, ["k"], how, limits=SHUFFLED)
+    assert bag(joined) == bag(join_lookup(fact, lookup, ["k"], how))
+    assert (counted.rows.value, listed.rows.value) == (fact.count(), lookup.count())
+
+
+def test_filter_loses_no_row(spark):
+    fact = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 3).alias("v"))
+    lookup = fact.where("v = 0").select("k").limit(5000)
+    bits = filter_bits(Size(5000, 0))
+    assert bits == 1 << 17
+    flagged = with_possible(fact, lookup, ["k"], bits)
+    assert flagged.columns == [*fact.columns, "_possible"]
+    listed = {r.k for r in lookup.collect()}
+    possible = {r.k for r in flagged.where("_possible").collect()}
+    assert listed <= possible and len(possible - listed) < 0.1 * 15_000
+    plan = plan_of(flagged.where("_possible"))
+    # the filter works where the rows lie: nothing of the fact is exchanged
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning(k" not in plan and "SortMergeJoin" not in plan
+
+
+def test_filter_stands_below_the_shuffled_join(spark, no_auto_broadcast, monkeypatch):
+    """What is staged for the join, and hence exchanged, are the rows the filter leaves."""
+    fact = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"))
+    lookup = fact.limit(100)
+    plans, write = [], staging.stage
+
+    def seen(df, name, partition_by=()):
+        plans.append((name, plan_of(df), write(df, name, partition_by)))
+        return plans[-1][-1]
+
+    monkeypatch.setattr(staging, "stage", seen)
+    joined = join_lookup(fact, lookup, ["k"], "left_semi", limits=Limits(broadcast_rows=0))
+    written = [(plan, staged) for name, plan, staged in plans if name == "fact"]
+    assert len(written) == 1 and "getbit" in written[0][0] and "SortMergeJoin" not in written[0][0]
+    assert 100 <= written[0][1].count() < 2_000
+    assert "SortMergeJoin" in plan_of(joined) and joined.count() == 100
+
+
+def test_filter_is_bounded():
+    assert filter_bits(Size(1, 0)) == 32_768
+    assert filter_bits(Size(10**6, 0)) == 1 << 24
+    most = Limits(broadcast_bytes=1 << 20)
+    assert filter_bits(Size(10**6, 0), most) == 1 << 23
+    assert filter_bits(Size(10**7, 0), most) is None
+
+
+def test_other_types_join_plainly(spark, no_auto_broadcast):
+    fact = spark.createDataFrame([(1.0, "a"), (-0.0, "b"), (0.0, "c")], "k double, v string")
+    lookup = spark.createDataFrame([(0.0,), (1.0,)], "k double")
+    assert bag(join_lookup(fact, lookup, ["k"], "left_semi", limits=SHUFFLED)) == bag(fact)
+    texts = spark.createDataFrame([("1",), ("2",)], "k string")
+    numbers = spark.createDataFrame([(1,), (3,)], "k int")
+    assert join_lookup(numbers, texts, ["k"], "left_anti", limits=SHUFFLED).count() == 1
+
+
+# -- scopes -------------------------------------------------------------------------
+
+
+def folders(spark):
+    files, place = staging.file_system(spark, staging.work_folder(spark))
+    return {s.getPath().getName() for s in files.listStatus(place)} if files.exists(place) else set()
+
+
+def test_scope_deletes_what_is_not_kept(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string")
+    before = folders(spark)
+    with scope(spark) as outer:
+        with scope(spark) as inner:
+            kept, gone = stage(df, "kept"), stage(df, "gone", ["y"])
+            result = kept.join(gone.limit(0), "x", "left_anti").where("x > 0")
+            inner.keep(kept.where("x > 1"), None)
+        assert len(folders(spark) - before) == 1
+        assert bag(kept) == bag(df)
+        outer.keep()
+    assert folders(spark) == before
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        result.collect()
+    with scope(spark) as alone:
+        last = stage(df, "last")
+        alone.keep(last)
+    assert bag(last) == bag(df) and len(folders(spark) - before) == 1
+
+
+def test_failed_work_leaves_nothing(spark):
+    before = folders(spark)
+    with pytest.raises(ValueError, match="fails"), scope(spark) as own:
+        own.keep(stage(spark.range(3), "kept"))
+        raise ValueError("fails")
+    assert folders(spark) == before
