@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,10 @@ from pyspark.sql import types as T
 
 from salesprep.contracts import POS_FILE, POS_NAMES, check_contract
 from salesprep.functions.months import snapshot_tag
+from salesprep.staging import file_system
+
+#: What a file system's name patterns give a meaning to.
+GLOB = r"[\[\]{}*?\\]"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",") -> DataFrame:
@@ -46,33 +51,32 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     )
 
 
-def snapshot_names(spark: SparkSession, folder: str) -> DataFrame:
-    """One row (``name``) per snapshot in ``folder``.
+def snapshot_names(spark: SparkSession, folder: str, holds: str = "") -> list[str]:
+    """Names of the snapshots in ``folder`` that hold a text, in order.
 
-    A snapshot is a file, or a folder of part files. Only paths are listed; the
-    content column is pruned and no file is opened.
+    A snapshot is a file, or a folder of part files. The file system matches the names at the
+    top of ``folder``; nothing below them is listed. Names that begin with ``_`` or ``.`` are hidden.
     """
-    no_scheme = "^[a-z][a-z0-9+.-]*:(//[^/]*)?"
-    root = F.regexp_replace(F.lit(folder.rstrip("/") + "/"), no_scheme, "")
-    path = F.regexp_replace(F.col("path"), no_scheme, "")
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select(F.substring_index(F.substring(path, F.length(root) + 1, F.length(path)), "/", 1).alias("name"))
-        .distinct()
-    )
+    literal = re.sub(GLOB, r"\\\g<0>", holds)
+    files, place = file_system(spark, f"{folder.rstrip('/')}/*{literal}*")
+    names = [found.getPath().getName() for found in files.globStatus(place) or ()]
+    return sorted(name for name in names if not name.startswith(("_", ".")))
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a file, or a folder with a file in it; listed only up to the first one."""
+    files, place = file_system(spark, path)
+    return files.listFiles(place, True).hasNext()
 
 
 def latest_snapshot(spark: SparkSession, folder: str, pattern: str | Column) -> str:
     """Path of the snapshot with the greatest name among those that hold ``pattern``."""
-    wanted = F.lit(pattern) if isinstance(pattern, str) else pattern
-    name = (
-        snapshot_names(spark, folder).where(F.col("name").contains(wanted)).agg(F.max("name").alias("name")).first()[0]
-    )
-    if name is None:
-        raise FileNotFoundError(f"no snapshot in {folder} has the wanted name")
-    return f"{folder.rstrip('/')}/{name}"
+    wanted = pattern if isinstance(pattern, str) else spark.range(1).select(pattern).first()[0]
+    for name in reversed(snapshot_names(spark, folder, wanted)):
+        path = f"{folder.rstrip('/')}/{name}"
+        if has_files(spark, path):
+            return path
+    raise FileNotFoundError(f"no snapshot in {folder} has the wanted name")
 
 
 def read_latest(
