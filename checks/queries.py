@@ -453,23 +453,23 @@ def built_area_map(spark, d):
     return spark.table(f"{_published_country(spark, d)}.area_map")
 
 
-def _prepared(spark, d, market):
+def _prepared(spark, d, market, extract=True):
     lookups = region.Lookups(
         pos=views.pos(spark, d), restricted=views.restricted_skus(spark, d), route=views.route_stores(spark, d)
     )
-    return region.prepare_sales(views.sales(spark, d), lookups, market)
+    return region.prepare_sales(views.sales(spark, d), lookups, market, extract=extract)
 
 
 def sales_history(spark, d):
-    return _prepared(spark, d, profile("INDIA_HEALTH")).history
+    return _prepared(spark, d, profile("INDIA_HEALTH"), extract=False).history
 
 
 def sales_history_active_stores(spark, d):
-    return _prepared(spark, d, profile("PAKISTAN_HOME")).history
+    return _prepared(spark, d, profile("PAKISTAN_HOME"), extract=False).history
 
 
 def sales_history_route_stores(spark, d):
-    return _prepared(spark, d, profile("INDO_HOME")).history
+    return _prepared(spark, d, profile("INDO_HOME"), extract=False).history
 
 
 def focus_extract(spark, d):

@@ -11,9 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Region and month come first, so what a task writes is ordered by them: one file per region,
-# and a later read of few months skips most row groups. The most selective number follows,
-# to keep the sort cheap.
+# The most selective number comes soon, to keep the sort cheap.
 SALES_KEY = ("region", "year_month", "value_sales", "vol_sales", "product_sku_code", "store_code", "brand", "city")
 
 

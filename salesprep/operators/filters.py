@@ -75,11 +75,12 @@ def without_adjustments(df: DataFrame, store: str = "store_code") -> DataFrame:
     return df.where(text.lacks_match(F.col(store), markets.ADJUSTMENT_STORES))
 
 
+def is_counter() -> Column:
+    """The description or the representative says that the outlet is a counter."""
+    word = markets.COUNTER_WORD
+    return text.mentions(F.col("pos_desc"), word) | text.mentions(F.col("sales_rep_name"), word)
+
+
 def counter_outlets(active: DataFrame) -> DataFrame:
     """POS codes of counters, by description or by representative, once each."""
-    word = markets.COUNTER_WORD
-    return (
-        active.where(text.mentions(F.col("pos_desc"), word) | text.mentions(F.col("sales_rep_name"), word))
-        .select("pos_code")
-        .distinct()
-    )
+    return active.where(is_counter()).select("pos_code").distinct()

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesprep import markets
+from salesprep.contracts import RAW_EXTRACT, check_contract
 from salesprep.functions import months as month_functions
 from salesprep.functions import text
 from salesprep.markets import MarketProfile
 from salesprep.operators import filters, keep, remap, shape
+from salesprep.operators.audit import Steps
 from salesprep.operators.lookup import LIMITS, Limits
+from salesprep.sources import files, jdbc
 
 
 def month_bounds(
@@ -35,6 +40,48 @@ def month_values(
     return tuple(spark.range(1).select(*month_bounds(profile, as_of, months)).first())
 
 
+@dataclass(frozen=True)
+class SalesFolder:
+    """Where a market's sales files arrive: the newest whose name holds ``pattern`` counts."""
+
+    folder: str
+    pattern: str
+    sep: str = "|"
+
+
+@dataclass(frozen=True)
+class SalesTable:
+    """The table of a market's sales: see ``jdbc.read_months``."""
+
+    url: str
+    table: str
+    properties: Mapping[str, str]
+    month: str = "year_month"
+    bucket: str | None = None
+    rows_per_task: int = 5_000_000
+
+
+def read_raw(
+    spark: SparkSession,
+    profile: MarketProfile,
+    as_of: datetime.date,
+    folder: SalesFolder | None = None,
+    table: SalesTable | None = None,
+    months: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Raw sales from the source that the market uses: its newest file, or the months of its table."""
+    if profile.file_source:
+        if folder is None:
+            raise ValueError(f"{profile.name} reads its sales from files")
+        return check_contract(files.read_latest(spark, folder.folder, folder.pattern, sep=folder.sep), RAW_EXTRACT)
+    if table is None:
+        raise ValueError(f"{profile.name} reads its sales from a table")
+    bounds = month_values(spark, profile, as_of, months)
+    return jdbc.read_months(
+        spark, table.url, table.table, dict(table.properties), *bounds, table.month, table.bucket, table.rows_per_task
+    )
+
+
 def extract_sales(
     raw: DataFrame,
     profile: MarketProfile,
@@ -42,8 +89,13 @@ def extract_sales(
     months: tuple[str, str] | None = None,
     distributors: DataFrame | None = None,
     limits: Limits = LIMITS,
+    steps: Steps | None = None,
+    by: str | None = None,
 ) -> DataFrame:
-    """Raw rows with file headers to cleaned sales with normalised names."""
+    """Raw rows with file headers to cleaned sales with normalised names.
+
+    ``steps`` counts the rows that were loaded (of the wanted months, so that these still reach the scan), by a column or in all.
+    """
     if not profile.extract:
         raise ValueError(f"{profile.name} has no extract rules")
     if profile.trim_channel:
@@ -54,6 +106,8 @@ def extract_sales(
             text.override_by_code(F.col("DB Channel"), F.col("Distributor Code"), profile.channel_overrides),
         )
     sales = filters.month_window(shape.normalize_names(raw), *month_bounds(profile, as_of, months))
+    if steps is not None:
+        sales = steps.watch(sales, "loaded", by)
     if profile.distributor_recode:
         sales = sales.withColumn(
             "distributor_code", text.recode(F.col("distributor_code"), *profile.distributor_recode)

@@ -18,10 +18,10 @@ from salesprep import contracts, markets
 from salesprep.functions import numbers, text
 from salesprep.markets import MarketProfile
 from salesprep.operators import filters, keep, latest, remap, shape
-from salesprep.operators.audit import observe_rows
+from salesprep.operators.audit import Steps, region_columns
 from salesprep.operators.dedupe import dedupe_sales
 from salesprep.operators.lookup import LIMITS, Limits, fits, join_lookup, join_on, spread_join
-from salesprep.staging import Size, measure, observed, stage, stage_measured
+from salesprep.staging import Size, scope, size_columns, stage, stage_measured, stage_observed
 
 STORE = ["region", "store_code"]
 
@@ -35,11 +35,11 @@ class Lookups:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Outputs, and rows counted while they were staged: loaded, cleaned, unique, stores."""
+    """Outputs, and rows per region counted while they were staged: loaded, cleaned, unique, stores."""
 
     history: DataFrame
     focus_extract: DataFrame | None
-    counts: dict[str, int]
+    counts: dict[str, dict[str, int]]
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:
@@ -57,18 +57,16 @@ def clean_sales(sales: DataFrame) -> DataFrame:
     )
 
 
-def deduped_sales(sales: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """Cleaned sales without duplicates, staged by region and in order of month within each file; and the rows of each step.
+def deduped_sales(sales: DataFrame, steps: Steps) -> DataFrame:
+    """Cleaned sales without duplicates, staged by region and in order of month within each file.
 
-    The files of one region later make tasks that write to one region, so the
-    outputs need no shuffle of their own to be laid out by region.
+    Rebalancing by region costs a second shuffle, but without it each task of the first writes a file for
+    each region. AQE packs a small region into one file and splits a large one. The files of one region later make
+    tasks that write to one region, so the outputs need no shuffle of their own to be laid out by region.
     """
-    loaded, seen_loaded = observe_rows(sales, "loaded")
-    cleaned, seen_cleaned = observe_rows(clean_sales(loaded), "cleaned")
-    unique, seen_unique = observe_rows(dedupe_sales(cleaned), "unique")
-    staged = stage(unique, "sales", ["region"])
-    seen = {"loaded": seen_loaded, "cleaned": seen_cleaned, "unique": seen_unique}
-    return staged, {name: observed(x, "row_count")[0] for name, x in seen.items()}
+    cleaned = steps.watch(clean_sales(steps.watch(sales, "loaded")), "cleaned")
+    unique = steps.watch(dedupe_sales(cleaned), "unique").hint("rebalance", "region")
+    return stage(unique.sortWithinPartitions("region", "year_month"), "sales", ["region"])
 
 
 def mark_focus(
@@ -79,16 +77,25 @@ def mark_focus(
     That month goes into the extract as a plain filter, which lets the scan skip
     the row groups of older months.
     """
-    focus, size = stage_measured(latest.last_months(months, count).withColumn("_focus", F.lit(True)), "focus-months")
-    oldest = focus.agg(F.min("year_month")).first()[0]
+    wanted = latest.last_months(months, count).withColumn("_focus", F.lit(True))
+    oldest = F.min("year_month").alias("oldest")
+    focus, values = stage_observed(wanted, "focus-months", *size_columns(wanted.columns), oldest)
+    size = Size(values.get("row_count", 0), values.get("byte_count", 0))
     marked = join_lookup(sales, focus, ["region", "year_month"], size=size, limits=limits)
-    return marked.withColumn("_in_focus", F.coalesce("_focus", F.lit(False))).drop("_focus"), oldest
+    return marked.withColumn("_in_focus", F.coalesce("_focus", F.lit(False))).drop("_focus"), values.get("oldest")
+
+
+def outlet_partners(pos: DataFrame) -> DataFrame:
+    """Outlet and partner pairs of the active rows, once each, and whether any of their rows is a counter's."""
+    active = filters.active_pos(pos)
+    return active.groupBy("pos_code", "partner_code").agg(F.max(F.coalesce(filters.is_counter(), F.lit(False))).alias("counter"))
 
 
 def store_table(
     months: DataFrame,
     lookups: Lookups,
     profile: MarketProfile,
+    steps: Steps,
     unmatched: str = "literal_na",
     limits: Limits = LIMITS,
 ) -> tuple[DataFrame, Size]:
@@ -96,20 +103,18 @@ def store_table(
 
     One row per store and partner: the class of its last month in ``months`` (see
     ``latest.store_months``), its new code, its rows in the sales, and whether other stores get the same code (``_merged``).
+    Pairs and counters are read from one staged table, whose size bounds both.
     """
-    active = filters.active_pos(lookups.pos)
-    # Pairs and counters are projections of the active rows, so this bounds both.
-    active_size = measure(active)
-    bound = active_size if fits(active_size, limits) else None
+    partners, size = stage_measured(outlet_partners(lookups.pos), "partners")
     classes = latest.class_of(months)
-    if bound is None:
+    if not fits(size, limits):
         classes = stage(classes, "classes")
     stores = (
         join_lookup(
             classes.withColumn("_outlet", text.outlet_key(F.col("store_code"))),
-            remap.partner_pairs(active).withColumnRenamed("pos_code", "_outlet"),
+            partners.select(F.col("pos_code").alias("_outlet"), "partner_code"),
             ["_outlet"],
-            size=bound,
+            size=size,
             limits=limits,
         )
         .withColumns({"_old_code": F.col("store_code"), "store_code": remap.rebuilt_store_code(unmatched)})
@@ -121,22 +126,24 @@ def store_table(
         stores = keep.route_stores(stores, lookups.route, limits)
     if profile.active_months is not None:
         stores = active_only(stage(stores, "stores"), months, profile.active_months, limits)
-    stores = stage(keep.without_counters(stores, filters.counter_outlets(active), bound, limits), "stores")
+    stores = keep.without_counters(stores, partners.where("counter"), size, limits)
+    stores, values = stage_observed(stores, "stores", *size_columns(stores.columns), region_columns()[1])
+    steps.add("stores", values)
 
+    # a flag more for each row; AQE broadcasts the shared codes where they are few
     shared = stores.groupBy(*STORE).agg(F.count(F.lit(1)).alias("_stores")).where(F.col("_stores") > 1)
-    stores = join_lookup(stores, shared, STORE, limits=limits)
-    return stage_measured(
-        stores.select(
-            "region",
-            F.col("_old_code").alias("store_code"),
-            F.col("store_code").alias("_new_code"),
-            "latest_category",
-            "latest_bucket",
-            F.col("_stores").isNotNull().alias("_merged"),
-            "_rows",
-        ),
-        "stores",
+    flagged = join_on(stores, shared, STORE, "left").select(
+        "region",
+        F.col("_old_code").alias("store_code"),
+        F.col("store_code").alias("_new_code"),
+        "latest_category",
+        "latest_bucket",
+        F.col("_stores").isNotNull().alias("_merged"),
+        "_rows",
     )
+    # as staged, with a flag in place of the key that is dropped
+    size = Size(values.get("row_count", 0), values.get("byte_count", 0) + 5 * values.get("row_count", 0))
+    return flagged if fits(size, limits) else stage(flagged, "stores"), size
 
 
 def active_only(stores: DataFrame, sold: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
@@ -192,25 +199,34 @@ def prepare_sales(
     profile: MarketProfile,
     unmatched: str = "literal_na",
     limits: Limits = LIMITS,
+    extract: bool = True,
 ) -> Prepared:
     """Sales history (business names) and focus extract (``V1`` to ``V17``).
 
-    The extract is absent for a market without focus months.
+    The extract is absent for a market without focus months, or where it is not wanted. What is
+    staged on the way is deleted, but for the tables that the outputs read.
     """
     contracts.check_contract(filters.typed_sales(sales), contracts.SALES)
-    names = contracts.SALES.names
-    unique, counts = deduped_sales(sales.select(*names))
+    if profile.restricted_skus and lookups.restricted is None:
+        raise ValueError(f"{profile.name} needs the restricted products")
+    with scope(sales.sparkSession) as run:
+        prepared = _prepared(sales, lookups, profile, unmatched, limits, extract and profile.focus_months is not None)
+        run.keep(prepared.history, prepared.focus_extract)
+    return prepared
+
+
+def _prepared(
+    sales: DataFrame, lookups: Lookups, profile: MarketProfile, unmatched: str, limits: Limits, extract: bool
+) -> Prepared:
+    names, steps = contracts.SALES.names, Steps()
+    unique = deduped_sales(sales.select(*names), steps)
     months = stage(latest.store_months(unique), "store-months")
-    stores = store_table(months, lookups, profile, unmatched, limits)
-    counts["stores"] = stores[1].rows
-    if profile.focus_months is None:
-        marked, oldest = unique.withColumn("_in_focus", F.lit(False)), None
-    else:
+    stores = store_table(months, lookups, profile, steps, unmatched, limits)
+    marked, oldest = unique.withColumn("_in_focus", F.lit(False)), None
+    if extract:
         marked, oldest = mark_focus(unique, months, profile.focus_months, limits)
     joined = sales_by_store(marked, *stores, limits)
     if profile.restricted_skus:
-        if lookups.restricted is None:
-            raise ValueError(f"{profile.name} needs the restricted products")
         joined = keep.without_restricted(joined, lookups.restricted, limits)
     joined = joined.withColumn(
         "category_desc", text.fill_category(F.col("category_desc"), F.col("value_sales"), markets.OTHER_CATEGORY)
@@ -223,12 +239,12 @@ def prepare_sales(
         .transform(distinct_sales)
         .transform(shape.rename_positional, contracts.HISTORY_NAMES)
     )
-    if profile.focus_months is None:
-        return Prepared(history, None, counts)
-    extract = (
-        joined.where(F.col("_in_focus") & (F.col("year_month") >= F.lit(oldest)))
-        .select(*names, "_merged")
-        .transform(distinct_sales)
-        .transform(shape.rename_positional, contracts.EXTRACT_NAMES)
-    )
-    return Prepared(history, extract, counts)
+    focus = None
+    if extract:
+        focus = (
+            joined.where(F.col("_in_focus") & (F.col("year_month") >= F.lit(oldest)))
+            .select(*names, "_merged")
+            .transform(distinct_sales)
+            .transform(shape.rename_positional, contracts.EXTRACT_NAMES)
+        )
+    return Prepared(history, focus, steps.counts())

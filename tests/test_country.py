@@ -112,6 +112,41 @@ def test_corrections(spark, no_auto_broadcast, limits):
         ("P1", "ASM_HP JKCHD"): 1, ("P2", "a"): 1, ("D2", "X"): 1, ("D3", "a"): 1}
 
 
+def test_raw_text_is_parsed_once(spark, no_auto_broadcast):
+    """With both maps too large to broadcast, every raw row is computed once."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    pos, areas = lookups(spark)
+    raw = raw_frame(spark, [row(outlet=f"SFO{i % 3}", distributor=f"D{i % 2}", lob=str(i)) for i in range(50)]).repartition(3)
+    counted = raw.mapInArrow(count, raw.schema)
+    limits = Limits(broadcast_rows=0, rows_per_task=5)
+    market = profile("INDIA_HEALTH")
+    out = country.correct_partners(country.extract_sales(counted, market, AS_OF), pos, areas, market, limits)
+    assert bag(out) == bag(country.correct_partners(country.extract_sales(raw, market, AS_OF), pos, areas, market))
+    assert rows.value == 50
+
+
+def test_market_chooses_its_source(spark, tmp_path, monkeypatch):
+    for day, store in (("20200101", "old"), ("20200201", "new")):
+        (tmp_path / f"SALES_{day}.csv").write_text("|".join(HEADERS) + "\n" + "|".join(row(store=store)) + "\n")
+    folder = country.SalesFolder(str(tmp_path), "SALES_")
+    found = country.read_raw(spark, profile("INDIA_HEALTH"), AS_OF, folder)
+    assert [r["Store Code"] for r in found.collect()] == ["new"]
+    calls = []
+    monkeypatch.setattr(country.jdbc, "read_months", lambda *given: calls.append(given[1:]))
+    table = country.SalesTable("jdbc:x", "sales", {"user": "u"}, bucket="MOD(n, {buckets})")
+    country.read_raw(spark, profile("INDO_HOME"), AS_OF, folder, table)
+    assert calls == [("jdbc:x", "sales", {"user": "u"}, "201612", "202002", "year_month", "MOD(n, {buckets})", 5_000_000)]
+    for market, given in (("INDIA_HEALTH", {"table": table}), ("INDO_HOME", {"folder": folder})):
+        with pytest.raises(ValueError, match="reads its sales"):
+            country.read_raw(spark, profile(market), AS_OF, **given)
+
+
 def test_publishing(spark):
     database = f"t_{uuid.uuid4().hex}"
     catalog.ensure_database(spark, database, staging.new_path(spark, "database"))
@@ -133,13 +168,17 @@ def test_country_run(spark):
     tables = (f"{database}.sales", f"{database}.areas")
     pos, areas = lookups(spark)
     raw = raw_frame(spark, [row(), row(distributor="D2", outlet="SFO2"), row()])
-    publish.run_country(spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables, pos=pos, area_map=areas, raw_table=f"{database}.raw")
+    counts = publish.run_country(
+        spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables, pos=pos, area_map=areas, raw_table=f"{database}.raw", by="distributor_code"
+    )
+    assert counts == {"loaded": {"D1": 2, "D2": 1}, "extracted": {"D1": 2, "D2": 1}, "corrected": {"D2": 1, "P1": 1, "P2": 1}}
     assert bag(spark.table(tables[0]).select("distributor_code", "asm", "outlet_unique_code")) == {
         ("P1", "ASM_HP JKCHD", "O1"): 1, ("P2", "A", "O1"): 1, ("D2", "X", "O2"): 1}
     with pytest.raises(ValueError, match="POS"):
         publish.run_country(spark, profile("INDIA_HEALTH"), AS_OF, raw, *tables)
     listed = spark.createDataFrame([("D2",)], "distributor_code string")
-    publish.run_country(spark, profile("PAKISTAN_HOME"), AS_OF, raw, *tables, distributors=listed)
+    counts = publish.run_country(spark, profile("PAKISTAN_HOME"), AS_OF, raw, *tables, distributors=listed)
+    assert counts == {"loaded": {"*": 3}, "extracted": {"*": 1}}
     assert bag(spark.table(tables[0]).select("store_code")) == {("D2_s",): 1}
 
 

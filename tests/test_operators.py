@@ -229,3 +229,16 @@ def test_counts(spark):
     observed, seen = audit.observe_rows(df, "rows")
     observed.write.format("noop").mode("overwrite").save()
     assert seen.get == {"row_count": 3}
+
+
+def test_rows_per_region_come_with_another_action(spark):
+    rows = [("N", 1)] * 5 + [("S", 2)] * 3 + [(None, 3), ("", 4)]
+    df = spark.createDataFrame(rows, "region string, x int").repartition(4)
+    steps = audit.Steps()
+    small = steps.watch(steps.watch(df, "all").where("x < 3"), "small", None)
+    steps.watch(small, "none").where("x > 9").write.format("noop").mode("overwrite").save()
+    assert steps.counts() == {"all": {"": 2, "N": 5, "S": 3}, "small": {audit.ALL: 8}, "none": {"N": 5, "S": 3}}
+    # more regions than are counted on the way
+    many = audit.Steps()
+    many.watch(spark.range(50_000).select(F.col("id").alias("region")), "all").write.format("noop").mode("overwrite").save()
+    assert many.counts() == {"all": {audit.ALL: 50_000}}

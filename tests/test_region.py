@@ -1,6 +1,7 @@
 import dataclasses
 import random
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from brute_force import NAMES, all_regions
 from helpers import bag, details_of, plan_of
 from salesprep import contracts, staging
 from salesprep.markets import profile
-from salesprep.operators import filters, latest
+from salesprep.operators import audit, filters, latest
 from salesprep.operators.lookup import LIMITS, Limits
 from salesprep.plans import publish, region
 from salesprep.sources import catalog
@@ -140,13 +141,62 @@ def test_region_without_rows_leaves_nothing_behind(spark):
     market = MARKETS["INDIA_HEALTH"]
     publish.run_region(market, sales, lookups, *tables)
     counts = publish.run_region(market, sales.where("region <> 'N'"), lookups, *tables, regions=["N"])
-    assert counts == {"loaded": 0, "cleaned": 0, "unique": 0, "stores": 0}
+    assert counts == dict.fromkeys(("loaded", "cleaned", "unique", "stores", "history", "extract"), {})
     left = {r.Region for r in spark.table(tables[0]).select("Region").distinct().collect()}
     assert "N" not in left and left
     publish.run_region(market, sales.where("region = '01'"), lookups, *tables)
     assert {r.Region for r in spark.table(tables[0]).select("Region").distinct().collect()} == {"01"}
 
 
+def test_rows_per_region_and_nothing_left_staged(spark):
+    database = f"t_{uuid.uuid4().hex}"
+    catalog.ensure_database(spark, database, f"{spark.conf.get('spark.checkpoint.dir')}/{database}")
+    tables = (f"{database}.previous_data", f"{database}.`6m_extract`")
+    rows = make_rows(11)
+    lookups = region.Lookups(frame(spark, make_pos(), POS_FIELDS), frame(spark, RESTRICTED, ["material"]))
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], contracts.SALES)
+    files, folder = staging.file_system(spark, staging.work_folder(spark))
+    before = {s.getPath().getName() for s in files.listStatus(folder)}
+    for limits in (LIMITS, TINY):
+        counts = publish.run_region(MARKETS["INDIA_HEALTH"], sales, lookups, *tables, limits=limits)
+        assert {s.getPath().getName() for s in files.listStatus(folder)} == before
+        loaded = Counter(r["region"] or "" for r in rows)
+        assert counts["loaded"] == dict(sorted(loaded.items()))
+        assert counts["cleaned"].keys() == {"N", "01", "S-W 1/é"} and counts["unique"].keys() == counts["cleaned"].keys()
+        for name, table, column in (("history", tables[0], "Region"), ("extract", tables[1], "V10")):
+            assert counts[name] == {r[0]: r[1] for r in spark.table(table).groupBy(column).count().collect()}
+
+
+def test_history_alone_needs_no_focus_months(spark):
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in make_rows(1)], contracts.SALES)
+    lookups = region.Lookups(frame(spark, make_pos(), POS_FIELDS), frame(spark, RESTRICTED, ["material"]))
+    prepared = region.prepare_sales(sales, lookups, MARKETS["INDIA_HEALTH"], extract=False)
+    assert prepared.focus_extract is None
+    history, _ = all_regions(make_rows(1), make_pos(), RESTRICTED, ROUTE, MARKETS["INDIA_HEALTH"])
+    assert bag(prepared.history) == dict.fromkeys(history, 1)
+
+
+def test_one_staged_file_for_a_small_region(spark):
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in make_rows(1)], contracts.SALES).repartition(7)
+    steps = audit.Steps()
+    staged = region.deduped_sales(sales, steps)
+    assert len(staged.inputFiles()) == len(steps.counts()["unique"]) == 3
+    months = staged.where("region = 'N'").select("year_month").collect()
+    assert months == sorted(months, key=lambda r: (r[0] is not None, r[0]))
+
+
+def test_few_jobs(spark):
+    """Jobs that run while the outputs are prepared; each shuffle of a query is one."""
+    sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in make_rows(1)], contracts.SALES)
+    lookups = region.Lookups(frame(spark, make_pos(), POS_FIELDS), frame(spark, RESTRICTED, ["material"]))
+    for extract, most in ((False, 14), (True, 17)):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, "jobs")
+        region.prepare_sales(sales, lookups, MARKETS["INDIA_HEALTH"], extract=extract)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= most
+
+
 def test_fact_is_hashed_for_the_stores(spark):
     sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in make_rows(1)], contracts.SALES)
     plan = plan_of(latest.store_months(filters.typed_sales(sales)))
