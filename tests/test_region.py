@@ -155,11 +155,10 @@ def test_rows_per_region_and_nothing_left_staged(spark):
     rows = make_rows(11)
     lookups = region.Lookups(frame(spark, make_pos(), POS_FIELDS), frame(spark, RESTRICTED, ["material"]))
     sales = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], contracts.SALES)
-    files, folder = staging.file_system(spark, staging.work_folder(spark))
-    before = {s.getPath().getName() for s in files.listStatus(folder)}
+    before = catalog.children(spark, staging.work_folder(spark))
     for limits in (LIMITS, TINY):
         counts = publish.run_region(MARKETS["INDIA_HEALTH"], sales, lookups, *tables, limits=limits)
-        assert {s.getPath().getName() for s in files.listStatus(folder)} == before
+        assert catalog.children(spark, staging.work_folder(spark)) == before
         loaded = Counter(r["region"] or "" for r in rows)
         assert counts["loaded"] == dict(sorted(loaded.items()))
         assert counts["cleaned"].keys() == {"N", "01", "S-W 1/é"} and counts["unique"].keys() == counts["cleaned"].keys()
