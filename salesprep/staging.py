@@ -39,10 +39,20 @@ class Scope:
         self.paths: list[str] = []
         self.kept: set[str] = set()
 
+    def read_by(self, *tables: DataFrame | None) -> set[str]:
+        """The scope's staged tables that these read."""
+        read = {part for df in tables if df is not None for file in df.inputFiles() for part in file.split("/")}
+        return {path for path in self.paths if path.rsplit("/", 1)[-1] in read}
+
     def keep(self, *tables: DataFrame | None) -> None:
         """The staged tables that these read outlive the scope; the scope around it, if any, takes them over."""
-        read = {part for df in tables if df is not None for file in df.inputFiles() for part in file.split("/")}
-        self.kept |= {path for path in self.paths if path.rsplit("/", 1)[-1] in read}
+        self.kept |= self.read_by(*tables)
+
+    def drop(self, spark: SparkSession, *tables: DataFrame) -> None:
+        """Delete the staged tables that these read now: nothing reads them any more."""
+        for path in self.read_by(*tables):
+            self.paths.remove(path)
+            delete(spark, path)
 
 
 _open: ContextVar[Scope | None] = ContextVar("scope", default=None)

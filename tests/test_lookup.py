@@ -220,6 +220,16 @@ def test_scope_deletes_what_is_not_kept(spark):
     assert bag(last) == bag(df) and len(folders(spark) - before) == 1
 
 
+def test_tables_can_be_dropped_before_the_end(spark):
+    before = folders(spark)
+    with scope(spark) as own:
+        first = stage(spark.range(3), "first")
+        second = stage(first, "second")
+        own.drop(spark, first)
+        assert len(folders(spark) - before) == 1 and second.count() == 3
+    assert folders(spark) == before
+
+
 def test_failed_work_leaves_nothing(spark):
     before = folders(spark)
     with pytest.raises(ValueError, match="fails"), scope(spark) as own:
