@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesprep.llm.shared import stage
+from salesprep.staging import scope
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -30,11 +31,13 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) of all nodes with an edge but the roots; edges are longs (a, b)."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    seen = None
-    while True:
-        edges = stage(small_star(large_star(edges)), "components")
-        total = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if total == seen:
-            break
-        seen = total
+    with scope(edges.sparkSession) as run:
+        seen = None
+        while True:
+            edges = stage(small_star(large_star(edges)), "components")
+            total = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if total == seen:
+                break
+            seen = total
+        run.keep(edges)
     return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")

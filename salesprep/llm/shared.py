@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesprep.staging import register
+
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share.
+    """A new path in the folder that driver and executors share; it belongs to the open scope (see ``salesprep.staging``).
 
     The folder is the session's ``spark.checkpoint.dir``. Only a local session may
     lack it; then a new one is made and set.
@@ -24,7 +26,7 @@ def new_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return register(f"{root.rstrip('/')}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

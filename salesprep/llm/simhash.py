@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from salesprep.llm.components import components
 from salesprep.llm.shared import longs, met, raw_texts, shelve, slices, stage
+from salesprep.staging import scope
 
 SEED = 42
 DISTANCE = 3
@@ -199,10 +200,13 @@ def links(nodes: DataFrame) -> DataFrame:
 
 def rooted(rows: DataFrame) -> DataFrame:
     """fp, root (of its component) and first (smallest doc) of the distinct fingerprints of rows (doc, fp)."""
-    nodes = stage(rows.groupBy("fp").agg(F.min("doc").alias("first")), "simhash-nodes")
-    roots = components(stage(links(nodes.select("fp")), "simhash-links"))
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
-    return stage(named, "simhash-rooted")
+    with scope(rows.sparkSession) as run:
+        nodes = stage(rows.groupBy("fp").agg(F.min("doc").alias("first")), "simhash-nodes")
+        roots = components(stage(links(nodes.select("fp")), "simhash-links"))
+        named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+        found = stage(named, "simhash-rooted")
+        run.keep(found)
+    return found
 
 
 def groups(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -218,11 +222,13 @@ def groups(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str
 def one_of_each(docs: DataFrame, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group: that with the smallest doc_id, nulls last; of equal ids any one."""
     names = docs.columns
-    shelf = shelve(docs, "simhash-shelf")
-    source = shelf.select(F.col(f"c{names.index(doc_id)}").cast("long").alias("doc"), "row", F.col(f"c{names.index(text)}").alias("t"))
-    rows = stage(fingerprints(source, shingle, "t", "fp").select("doc", "fp", "row"), "simhash-rows")
-    found = rooted(rows.select("doc", "fp")).select("fp", "root")
-    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
-    first = rows.groupBy("fp").agg(F.min(order).alias("first")).join(found, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    keepers = stage(first.select(F.col("first.row").alias("row")), "simhash-keepers")
+    with scope(docs.sparkSession) as run:
+        shelf = shelve(docs, "simhash-shelf")
+        source = shelf.select(F.col(f"c{names.index(doc_id)}").cast("long").alias("doc"), "row", F.col(f"c{names.index(text)}").alias("t"))
+        rows = stage(fingerprints(source, shingle, "t", "fp").select("doc", "fp", "row"), "simhash-rows")
+        found = rooted(rows.select("doc", "fp")).select("fp", "root")
+        order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
+        first = rows.groupBy("fp").agg(F.min(order).alias("first")).join(found, "fp").groupBy("root").agg(F.min("first").alias("first"))
+        keepers = stage(first.select(F.col("first.row").alias("row")), "simhash-keepers")
+        run.keep(shelf, keepers)
     return met(shelf, keepers, "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

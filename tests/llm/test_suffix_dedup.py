@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -27,7 +28,8 @@ def plain(texts):
 
 
 def check(found, source):
-    want = sorted(((d, *w[:4]) for (d, _), w in zip(source, plain([t for _, t in source]), strict=True)), key=repr)
+    plainly = zip(source, plain([t for _, t in source]), strict=True)
+    want = sorted(((d, *w[:4], w[0] - w[1]) for (d, _), w in plainly), key=repr)
     assert sorted((tuple(r) for r in found.collect()), key=repr) == want
 
 
@@ -100,29 +102,75 @@ def test_anchors_do_not_depend_on_parts(monkeypatch):
         assert (a == b).all()
 
 
-def test_passages_by_words(spark):
-    """Repeated runs of 51 words go however short the words are, and runs of 400 bytes; shorter ones and neighbours stay."""
+WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
+
+
+def plain_words(texts, size=51):
+    """What is left of each text without its runs of words that lie in repeated runs of ``size`` words; counts every window."""
+    raws = [(t or "").encode() for t in texts]
+    places = [[m.span() for m in WORD.finditer(r)] for r in raws]
+    split = [[r[a:b] for a, b in p] for r, p in zip(raws, places, strict=True)]
+    count = Counter(tuple(w[i : i + size]) for w in split for i in range(len(w) - size + 1))
+    out = []
+    for t, r, p, w in zip(texts, raws, places, split, strict=True):
+        gone = np.zeros(len(w), bool)
+        for i in range(len(w) - size + 1):
+            if count[tuple(w[i : i + size])] > 1:
+                gone[i : i + size] = True
+        kept, at = b"", 0
+        for i in np.flatnonzero(gone).tolist():
+            # a run begins, or goes on with the white space before the word
+            kept += r[at : p[i][0]] if i == 0 or not gone[i - 1] else b""
+            at = p[i][1]
+        out.append(None if t is None else (kept + r[at:]).decode())
+    return out
+
+
+BY_WORDS = suffix_dedup.Unit(51, words=True)
+
+
+def check_words(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, unit=BY_WORDS).collect()}
+    want = plain_words(texts)
+    assert kept == dict(enumerate(want))
+    return want
+
+
+def test_passages_by_words(spark, sf):
+    """Repeated runs of 51 words go however short or long the words are; shorter ones and neighbours stay."""
     rng = random.Random(7)
     word = lambda least, most: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(least, most)))
     words = lambda n, least=3, most=8: " ".join(word(least, most) for _ in range(n))
-    gone = [words(51), words(51, 1, 1), words(60, 1, 3), words(51, 5, 6), words(30, 16, 18)]
-    stay = [words(45), words(50, 3, 4), words(35, 3, 4)]
-    texts = [f"{words(20)} {p} {words(20)}" for p in [*gone, *stay] for _ in range(3)]
+    gone = [words(51), words(51, 1, 1), words(60, 1, 3), words(51, 5, 6), words(70, 60, 90)]
+    stay = [words(45), words(50, 3, 4), words(35, 3, 4), words(30, 16, 18)]
+    texts = [f"{words(20)}\n {p} {words(20)}" for p in [*gone, *stay] for _ in range(3)]
     # two passages, each too short, side by side in one text
-    texts += [f"{stay[0]} {stay[1]} {words(5)}", None, "", f"{words(51)}"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, least_words=51).collect()}
-    for d, text in enumerate(texts):
-        if d < 3 * len(gone):
-            # the spaces around a passage are repeated too, so the words beside it may have become one
-            assert len(kept[d].split()) in range(39, 43) and text.split()[:19] == kept[d].split()[:19] and text.split()[-19:] == kept[d].split()[-19:]
-        else:
-            assert kept[d] == text
+    texts += [f"{stay[0]} {stay[1]} {words(5)}", None, "", f"{words(51)}", " \t ", "é " * 60, "é\n" * 60 + "é"]
+    # parts of one stretch in other texts, none of 51 words, that overlap and cover it
+    stretch = words(60).split()
+    texts += [f"{words(30)} {' '.join(stretch)} {words(30)}", f"{words(9)} {' '.join(stretch[:40])}", f"{' '.join(stretch[20:])} {words(9)}"]
+    want = check_words(spark, texts)
+    assert all(len(want[d].split()) == 40 for d in range(3 * len(gone)))
+    assert want[3 * len(gone) : -7] == texts[3 * len(gone) : -7] and want[-3:] == texts[-3:]
+
+
+def test_given_documents_by_words(spark, sf):
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    assert check_words(spark, texts) != texts
+
+
+def test_codes_do_not_depend_on_parts(monkeypatch):
+    text = ("".join(passages(5)) + " \n" + "x" * 900 + " end").encode()
+    whole = suffix_dedup.codes(text)
+    assert len(whole) == 8 * len(text.split()) and len(set(text.split())) == len({whole[i : i + 8] for i in range(0, len(whole), 8)})
+    monkeypatch.setattr(suffix_dedup, "PART", 64)
+    assert suffix_dedup.codes(text) == whole
 
 
 def test_length_is_a_parameter(spark):
     texts = [(i, f"{i} " * 60 + "abcdefghij" * 2 + "klmnopqrstuvwxyz" * 20 + f" {i}" * 60) for i in range(2)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     assert {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs).collect()} == dict(texts)
-    left = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, length=200).collect()}
+    left = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, unit=suffix_dedup.Unit(200)).collect()}
     assert all(len(t) < 260 and "k" not in t for t in left.values())
