@@ -56,6 +56,8 @@ MARKS = frozenset(
     "sidebar sidebars aside widget widgets related recommended recommendations share sharing social toolbar footer foot header masthead topbar "
     "comment comments comentarios kommentare commentaires disqus reply replies respond pagination pager copyright legal disclaimer".split()
 )
+#: Words that say nothing of what an element holds.
+NEUTRAL = frozenset("area bar block box button buttons container inner item items link links list outer panel section wrap wrapper".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -143,6 +145,18 @@ def hashed(top: Node) -> dict[int, int]:
     return found
 
 
+def named_as_mark(value: str, in_article: bool) -> bool:
+    """Whether a class or id names what is no article.
+
+    Inside an article a word may be part of its subject (``legal-news``), so there all words of a name must say so.
+    """
+    for name in value.split():
+        words = {w.lower() for w in WORDS.findall(name)} - NEUTRAL
+        if words and (words <= MARKS if in_article else not MARKS.isdisjoint(words)):
+            return True
+    return False
+
+
 def marked(node: Node, in_article: bool) -> bool:
     """Whether markup says that an element is no part of an article."""
     if node.name in DROPPED or node.name == "header" and not in_article:
@@ -152,7 +166,7 @@ def marked(node: Node, in_article: bool) -> bool:
             if key == "hidden":
                 return True
         elif key in ("class", "id"):
-            if node.name not in ("body", "html", "article", "main") and not MARKS.isdisjoint(w.lower() for w in WORDS.findall(value)):
+            if node.name not in ("body", "html", "article", "main") and named_as_mark(value, in_article):
                 return True
         elif (key == "role" and value.lower() in ROLES) or (key == "aria-hidden" and value.lower() == "true") or key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "").lower()):
             return True

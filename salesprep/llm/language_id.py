@@ -5,8 +5,10 @@ are hashed into ``BUCKETS`` buckets, within whole texts. Training counts them on
 the executors: each task sums the counts of its texts per language, and Spark sums
 the tasks' sparse counts, so that at most languages times ``BUCKETS`` numbers reach
 the driver. They become a matrix of log-probabilities that is broadcast (its size
-is languages x ``BUCKETS`` x 4 bytes, and checked). Scoring gathers the rows of the
-n-grams of a batch and sums them per text, in numpy.
+is languages x ``BUCKETS`` x 4 bytes; where that would be over ``MATRIX_BYTES``, neighbouring buckets are
+one, so that any number of languages fits). Scoring makes a sparse matrix of the bucket counts of a batch's texts
+(buckets sorted per text, equal ones counted) and multiplies it by the log-probabilities: the rows of its buckets,
+times their counts, are summed per text by one ``reduceat``.
 
 The score is the posterior probability of the predicted language with the
 log-likelihood tempered to ``EVIDENCE`` n-grams, as n-grams of a text are far
@@ -39,6 +41,8 @@ UNDEFINED = "und"
 PART = 1 << 18
 #: Bytes that a broadcast matrix may have.
 MATRIX_BYTES = 256 << 20
+#: Numbers of a product of a bucket's log-probabilities and counts that are held at once; one text's always are.
+PRODUCT = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -49,6 +53,11 @@ class Model:
     matrix: np.ndarray
     priors: np.ndarray
 
+    @property
+    def shift(self) -> int:
+        """Bits by which buckets are made coarser."""
+        return (BUCKETS // max(len(self.matrix), 1)).bit_length() - 1
+
 
 def grams(text: str) -> Iterator[np.ndarray]:
     """Buckets of all n-grams of a text, in parts of bounded size."""
@@ -102,35 +111,58 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", smoothing:
                 texts.append(n)
         langs.append(row.y)
         counts.append(into)
-    if len(langs) * BUCKETS * 4 > MATRIX_BYTES:
-        raise ValueError(f"{len(langs)} languages make a matrix above {MATRIX_BYTES} bytes")
-    table = np.array(counts).reshape(len(langs), BUCKETS) + smoothing
+    table = np.array(counts).reshape(len(langs), BUCKETS)
+    while table.size * 4 > MATRIX_BYTES and table.shape[1] > 1:
+        table = table[:, ::2] + table[:, 1::2]
+    table += smoothing
     matrix = np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32)
     return Model(tuple(langs), np.ascontiguousarray(matrix), np.log(np.array(texts, float) / max(sum(texts), 1)))
 
 
+def counted(text: str, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text, in order, and how often each occurs."""
+    found = np.sort(np.concatenate([(x >> shift).astype(np.uint16) for x in grams(text)]), kind="stable")
+    starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+    return found[starts], np.diff(np.append(starts, len(found)))
+
+
+def log_likelihoods(rows: list[tuple[np.ndarray, np.ndarray]], matrix: np.ndarray) -> np.ndarray:
+    """The sparse matrix of these rows (buckets and counts, none empty) times ``matrix``, in parts of bounded size."""
+    out = np.zeros((len(rows), matrix.shape[1]))
+    ends = np.cumsum([len(b) for b, _ in rows])
+    most, first = max(1, PRODUCT // max(1, matrix.shape[1])), 0
+    while first < len(rows):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        buckets, counts = (np.concatenate(x) for x in zip(*rows[first:last], strict=True))
+        starts = np.append(0, ends[first : last - 1] - before)
+        out[first:last] = np.add.reduceat(matrix[buckets] * counts[:, None].astype(np.float64), starts, axis=0)
+        first = last
+    return out
+
+
 def predict(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, ``lang_pred`` and ``score`` of each row."""
     source = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("t"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    shared = df.sparkSession.sparkContext.broadcast((model.matrix, model.priors))
+    shared = df.sparkSession.sparkContext.broadcast((model.matrix, model.priors, model.shift))
     langs = model.langs
 
-    def judge(t: str, matrix: np.ndarray, priors: np.ndarray) -> tuple[str, float]:
-        total, n = np.zeros(len(langs)), 0
-        for found in grams(t):
-            total += matrix.take(found, axis=0).sum(axis=0, dtype=np.float64)
-            n += len(found)
-        z = total * min(1.0, EVIDENCE / n) + priors * min(1.0, EVIDENCE / n)
-        p = np.exp(z - z.max())
-        best = int(p.argmax())
-        return langs[best], float(p[best] / p.sum())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matrix, priors = shared.value
+        matrix, priors, shift = shared.value
         for batch in slices(batches):
-            found = [judge(t, matrix, priors) if langs and t and has_letter(t) else (UNDEFINED, 0.0) for t in batch["t"].to_pylist()]
-            extra = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            texts = batch["t"].to_pylist()
+            at = [i for i, t in enumerate(texts) if langs and t and has_letter(t)]
+            preds, scores = [UNDEFINED] * len(texts), [0.0] * len(texts)
+            if at:
+                rows = [counted(texts[i], shift) for i in at]
+                share = np.array([min(1.0, EVIDENCE / int(c.sum())) for _, c in rows])
+                z = (log_likelihoods(rows, matrix) + priors) * share[:, None]
+                p = np.exp(z - z.max(axis=1, keepdims=True))
+                p /= p.sum(axis=1, keepdims=True)
+                for i, best, row in zip(at, p.argmax(axis=1).tolist(), p, strict=True):
+                    preds[i], scores[i] = langs[best], float(row[best])
+            extra = [pa.array(preds, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *extra], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
     found = source.mapInArrow(run, schema)

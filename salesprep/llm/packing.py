@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from salesprep.llm.shared import longs, raw_texts, slices, stage
+from salesprep.llm.shared import kept, longs, raw_texts, slices, stage
 
 LENGTH = 2048
 END_ID = 0
@@ -129,10 +128,9 @@ def grown(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.resize(array, max(size, 2 * len(array)))
 
 
-@lru_cache(1)
 def encoder_of(path: str) -> Encoder:
     """The worker process's encoder; it keeps its words from task to task."""
-    return Encoder(path)
+    return kept(f"encoder {path}", lambda: Encoder(path))
 
 
 class Bins:

@@ -17,6 +17,7 @@ learnt from; without rows of both labels every score is the share of good rows
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesprep.llm.shared import raw_texts, slices, stage
+from salesprep.llm.shared import kept, raw_texts, slices, stage
 
 PIECE = 512
 LEVEL = 3
@@ -142,9 +143,10 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] =
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())])
     weights = np.array(model.weights)
     bad, good = model.bad, model.good
+    key = f"compressors {hashlib.sha256(bad + good).hexdigest()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = Compressors(bad, good) if bad else None
+        tools = kept(key, lambda: Compressors(bad, good)) if bad else None
         for batch in slices(batches):
             texts = raw_texts(batch["t"])
             z = design(np.array([tools.features(t) for t in texts])) @ weights if tools and texts else np.full(len(texts), weights[0])

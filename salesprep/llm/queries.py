@@ -77,7 +77,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_headers(spark, warc.write_archive(table(spark, sf_dir, "pages")))
+    return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

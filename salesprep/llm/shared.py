@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +76,24 @@ def met(shelf: DataFrame, small: DataFrame, how: str) -> DataFrame:
     return shelf.join(other, same, how)
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What a worker process keeps from task to task under ``key``; it keeps one such thing at a time.
+
+    A worker goes on to other operators' tasks, so what the last one kept is dropped first, and its memory given back.
+    """
+    if key not in _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+        _kept[key] = make()
+    return _kept[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice has about ``most_bytes`` of data, one row at least."""
     for batch in batches:

@@ -7,14 +7,13 @@ for a response the HTTP header) and the digest of its payload. Of records with
 equal payloads of at least ``least_bytes`` bytes, the one with the largest page id is
 the response; the others are revisits that refer to it.
 
-``read_headers`` parses the stored header bytes and checks every payload against
-both its digests; ``read_records`` reconstructs the records through a join of the
-two tables. A revisit's original response is reconstructed from the payload it
-shares.
+``read_records`` reconstructs the exact bytes of the records through a join of the two tables, a revisit's also with
+the payload that it shares. ``read_back`` takes these records apart again: what it returns of a payload is
+taken from the rebuilt bytes, and they are checked against both digests and the stored length.
 
-Payloads are grouped by digest with partial aggregation, so that a payload of a third
-of all pages is one row after the map side, and the joins by digest carry hot keys
-on the side of small header rows, where the engine can split them.
+Payloads that occur once, nearly all, are stored where they lie; only those of several pages are shuffled,
+one of each from a task. In the join by digest hot keys are on the side of the small header rows, where the engine can
+split them.
 
 Defined cases: a null html is an empty payload; a null url is an empty target; of
 equal largest page ids any one row is the response; null page ids rank below all
@@ -33,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesprep.llm.shared import new_path, raw_texts, slices, stage
+from salesprep.operators.lookup import join_lookup
+from salesprep.staging import stage_measured
 
 HTTP_HEADER = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -107,51 +108,47 @@ def write_archive(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_i
     archive = Archive(new_path(spark, "warc-payloads"), new_path(spark, "warc-headers"))
     linked.mapInArrow(headers, "row long, sha256 binary, header binary").write.parquet(archive.headers)
     payload = F.coalesce(F.col(f"`{html}`").cast("string").cast("binary"), F.lit(b""))
-    stored = pages.select(payload.alias("payload")).withColumn("sha256", F.unhex(F.sha2("payload", 256)))
-    stored.groupBy("sha256").agg(F.first("payload").alias("payload")).write.parquet(archive.payloads)
+    stored = pages.select(payload.alias("payload")).withColumn("key", F.sha2("payload", 256))
+    often, size = stage_measured(rows.groupBy("sha256").count().where("count > 1").select(F.lower(F.hex("sha256")).alias("key")), "warc-often")
+    once = join_lookup(stored, often, ["key"], "left_anti", size=size)
+    several = join_lookup(stored, often, ["key"], "left_semi", size=size).groupBy("key").agg(F.first("payload").alias("payload"))
+    once.unionByName(several).select(F.unhex("key").alias("sha256"), "payload").write.parquet(archive.payloads)
     return archive
 
 
-def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        payloads = batch["payload"].to_pylist()
-        for key, data in zip(batch["sha256"].to_pylist(), payloads, strict=True):
-            if hashlib.sha256(data).digest() != key:
-                raise ValueError(f"payload {key.hex()} is damaged")
-        yield pa.RecordBatch.from_arrays(
-            [batch["sha256"], pa.array(map(base32_sha1, payloads), pa.string(), size=len(payloads)), pa.array(map(len, payloads), pa.int64(), size=len(payloads))],
-            names=["sha256", "sha1", "n_bytes"],
-        )
-
-
-def parse_header(data: bytes) -> tuple:
-    """Page, record type, payload digest, and the page referred to, of header bytes."""
-    lines = data.partition(b"\r\n\r\n")[0].decode().split("\r\n")
-    fields = dict(line.split(": ", 1) for line in lines[1:])
+def parse_record(key: bytes, record: bytes) -> tuple:
+    """Page, type, length and digest of the payload, and the page referred to, of a record with its payload."""
+    head, _, rest = record.partition(END)
+    http, _, rest = rest.partition(END)
+    payload, fields = rest[: -len(END)], dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    digest = base32_sha1(payload)
+    whole = rest.endswith(END) and int(http.rpartition(b": ")[2]) == len(payload)
+    if not whole or hashlib.sha256(payload).digest() != key or fields["WARC-Payload-Digest"] != f"sha1:{digest}":
+        raise ValueError(f"the payload of {fields['WARC-Record-ID']} is damaged")
     page = lambda name: int(x) if name in fields and (x := fields[name].split(":")[2]) else None
-    return page("WARC-Record-ID"), fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:"), page("WARC-Refers-To")
+    return page("WARC-Record-ID"), fields["WARC-Type"], len(payload), digest, page("WARC-Refers-To")
 
 
 def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        found = [parse_header(h) for h in batch["header"].to_pylist()]
-        columns = list(zip(*found, strict=True)) or [()] * 4
-        types = (pa.int64(), pa.string(), pa.string(), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch["sha256"], *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["sha256", "page_id", "record_type", "payload_digest", "refers_to"])
+        found = [parse_record(*x) for x in zip(batch["sha256"].to_pylist(), batch["record"].to_pylist(), strict=True)]
+        columns = list(zip(*found, strict=True)) or [()] * 5
+        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        names = ["page_id", "record_type", "payload_bytes", "payload_digest", "refers_to"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def read_headers(spark: SparkSession, archive: Archive) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record; damaged payloads or headers raise."""
-    records = spark.read.parquet(archive.headers).select("sha256", "header").mapInArrow(parsed, "sha256 binary, page_id long, record_type string, payload_digest string, refers_to long")
-    sizes = stage(spark.read.parquet(archive.payloads).select("sha256", "payload").mapInArrow(verified, "sha256 binary, sha1 string, n_bytes long"), "warc-verified")
-    joined = records.join(sizes, "sha256", "left")
-    whole = F.when(F.col("payload_digest") == F.col("sha1"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record's payload is missing or has another digest")))
-    return joined.select("page_id", F.col("n_bytes").alias("payload_bytes"), whole.alias("payload_digest"), "record_type", "refers_to")
+def read_back(spark: SparkSession, archive: Archive) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, from its rebuilt bytes; damaged or missing payloads raise."""
+    records = read_records(spark, archive, originals=True).select("sha256", "record")
+    found = records.mapInArrow(parsed, "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def read_records(spark: SparkSession, archive: Archive, originals: bool = False) -> DataFrame:
-    """row and record (its exact bytes) of every record; with ``originals`` also revisits carry the payload they share."""
-    stored = spark.read.parquet(archive.headers).join(spark.read.parquet(archive.payloads), "sha256")
+    """row, sha256 and record (its exact bytes) of every record; with ``originals`` also revisits carry the payload they share."""
+    stored = spark.read.parquet(archive.headers).join(spark.read.parquet(archive.payloads), "sha256", "left")
+    payload = F.coalesce("payload", F.raise_error(F.lit("a record's payload is missing")).cast("binary"))
     revisit = F.expr("instr(decode(header, 'UTF-8'), '\r\nWARC-Type: revisit\r\n') > 0")
-    body = F.col("payload") if originals else F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
-    return stored.select("row", F.concat("header", body, F.lit(END)).alias("record"))
+    body = payload if originals else F.when(revisit, F.lit(b"")).otherwise(payload)
+    return stored.select("row", "sha256", F.concat("header", body, F.lit(END)).alias("record"))

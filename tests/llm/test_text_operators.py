@@ -2,9 +2,10 @@
 
 import base64
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -131,6 +132,54 @@ def test_language_of_held_out_rows(spark, sf):
     assert np.mean([r.lang_pred == langs[r.doc_id] for r in rows if r.held_out]) > 0.95
 
 
+def plain_gram(gram):
+    """Bucket of one n-gram."""
+    h = 0
+    for n, c in enumerate(gram, 1):
+        h = (h * 0x9E3779B97F4A7C15 + ord(c) + n) % (1 << 64)
+    return ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64)) >> 48
+
+
+def plain_language(texts, labelled):
+    """Language and posterior of each text by naive Bayes, n-gram by n-gram."""
+    bags = lambda t: Counter(plain_gram(t.lower()[i : i + n]) for n in (1, 2, 3) for i in range(len(t.lower()) - n + 1))
+    counts, docs = defaultdict(Counter), Counter()
+    for text, lang in labelled:
+        counts[lang] += bags(text)
+        docs[lang] += 1
+    langs = sorted(counts)
+    totals = {y: sum(counts[y].values()) + 0.5 * language_id.BUCKETS for y in langs}
+    out = []
+    for text in texts:
+        bag = bags(text)
+        size = sum(bag.values())
+        z = {y: sum(n * math.log((counts[y][b] + 0.5) / totals[y]) for b, n in bag.items()) + math.log(docs[y] / sum(docs.values())) for y in langs}
+        p = {y: math.exp((z[y] - max(z.values())) * min(1.0, language_id.EVIDENCE / size)) for y in langs}
+        best = max(langs, key=lambda y: (p[y], -langs.index(y)))
+        out.append((best, p[best] / sum(p.values())))
+    return out
+
+
+def test_language_equals_plain_naive_bayes(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("text rlike '[a-z]' AND length(text) < 3000 AND lang IS NOT NULL")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    want = plain_language([r.text for r in rows], [(r.text, r.lang) for r in rows])
+    model = language_id.fit(docs)
+    found = {r.doc_id: r for r in language_id.predict(docs, model, keep=["doc_id"]).collect()}
+    for r, (lang, score) in zip(rows, want, strict=True):
+        assert found[r.doc_id].lang_pred == lang and found[r.doc_id].score == pytest.approx(score, abs=1e-4)
+    # products in small parts, and coarser buckets where the matrix may not be as large
+    counted = [language_id.counted(r.text, 0) for r in rows]
+    whole = language_id.log_likelihoods(counted, model.matrix)
+    monkeypatch.setattr(language_id, "PRODUCT", 3000)
+    assert np.allclose(language_id.log_likelihoods(counted, model.matrix), whole)
+    monkeypatch.setattr(language_id, "MATRIX_BYTES", len(model.langs) * language_id.BUCKETS)
+    small = language_id.fit(docs)
+    assert small.matrix.shape == (language_id.BUCKETS // 4, len(model.langs)) and small.shift == 2
+    right = [x.lang_pred == found[x.doc_id].lang_pred for x in language_id.predict(docs, small, keep=["doc_id"]).collect()]
+    assert np.mean(right) > 0.95
+
+
 def test_language_of_awkward_texts(spark, awkward, empty):
     model = language_id.fit(awkward)
     assert model.langs == ("en",)
@@ -156,7 +205,7 @@ def test_archive_round_trip(spark):
     pages = [(1, "http://a", "same"), (2, None, "same"), (3, "http://c\r\nX: y", "é" * 9), (4, "d", None), (None, "e", ""), (5, "f", "same"), (5, "f", "same")]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, row string")
     archive = warc.write_archive(df)
-    rows = warc.read_headers(spark, archive).collect()
+    rows = warc.read_back(spark, archive).collect()
     digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
     assert sorted((r.payload_digest, r.payload_bytes) for r in rows) == sorted((digest(t), len((t or "").encode())) for _, _, t in pages)
     same = sorted((r.page_id, r.record_type, r.refers_to) for r in rows if r.payload_digest == digest("same"))
@@ -169,9 +218,9 @@ def test_archive_round_trip(spark):
         head, _, rest = record.partition(b"\r\n\r\n")
         assert int(re.search(rb"Content-Length: (\d+)", head)[1]) == len(rest) - 4
     assert spark.read.parquet(archive.payloads).count() == 3
-    small = warc.read_headers(spark, warc.write_archive(df, least_bytes=5)).collect()
+    small = warc.read_back(spark, warc.write_archive(df, least_bytes=5)).collect()
     assert {r.record_type for r in small if r.payload_bytes < 5} == {"response"}
-    assert warc.read_headers(spark, warc.write_archive(df.limit(0))).count() == 0
+    assert warc.read_back(spark, warc.write_archive(df.limit(0))).count() == 0
 
 
 def test_damaged_payload_raises(spark):
@@ -180,7 +229,27 @@ def test_damaged_payload_raises(spark):
     bad = warc.Archive(archive.payloads + "-broken", archive.headers)
     broken.write.parquet(bad.payloads)
     with pytest.raises(Exception, match="damaged"):
-        warc.read_headers(spark, bad).collect()
+        warc.read_back(spark, bad).collect()
+    gone = warc.Archive(archive.payloads + "-gone", archive.headers)
+    broken.limit(0).write.parquet(gone.payloads)
+    with pytest.raises(Exception, match="missing"):
+        warc.read_back(spark, gone).collect()
+
+
+def test_rebuilt_records_are_the_written_ones(spark, sf):
+    """Each given page's record, from the stored tables, byte for byte; each payload is stored once."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    archive = warc.write_archive(pages.unionByName(pages.limit(7)))
+    records = [bytes(r.record) for r in warc.read_records(spark, archive).collect()]
+    assert sum(b"WARC-Type: revisit" in r for r in records) >= 7
+    urls, bodies = {r.page_id: r.url for r in pages.collect()}, {r.page_id: (r.html or "").encode() for r in pages.collect()}
+    for record in records:
+        page = int(re.search(rb"WARC-Record-ID: <urn:page:(\d+):", record)[1])
+        assert f"WARC-Target-URI: {warc.one_line(urls[page])}\r\n".encode() in record
+        body = b"" if b"WARC-Type: revisit" in record else bodies[page]
+        assert record.split(b"\r\n\r\n", 2)[2] == body + b"\r\n\r\n"
+    stored = [bytes(r.payload) for r in spark.read.parquet(archive.payloads).collect()]
+    assert sorted(stored) == sorted(set(bodies.values()))
 
 
 # Page text
@@ -197,6 +266,8 @@ def test_damaged_payload_raises(spark):
         ("<article>cut off<script>var a='</p>';</script> here<style>p{}</style", "cut off here"),
         ("<div class='loadable'>kept</div><div class='ad'>ad</div><div hidden>no</div><!-- c -->", "kept"),
         ("<ul><li>a<li>b</ul></p></div>c", "a b c"),
+        ("<article><p>One.</p><div class='legal-news'>Two.</div><div class='related-work x'>Three.</div><p id='social'>no</p><p>Four.</p></article>", "One. Two. Three. Four."),
+        ("<article><p>a</p><div class='ad-box'>no</div><div class='x comments-list'>no</div><div class='commentsOfTheCourt'>b</div></article>", "a b"),
     ],
 )
 def test_main_text(html, want):
