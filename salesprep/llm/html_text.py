@@ -1,25 +1,34 @@
 """Main text of web pages, without what a site repeats on its pages.
 
 A first pass parses every page into its element tree and hashes the subtrees of
-elements that hold text (name, attributes but links, text, children). Spark counts per host on how
-many distinct pages a subtree occurs; one that is on ``LEAST_PAGES`` pages and on
-``LEAST_SHARE`` of the host's pages is the site's template. A second pass deletes
-template subtrees and what markup says is no article (navigation, headers outside
-the article, footers, sidebars, notices, adverts, forms, comments, scripts), and
+block elements that hold text (name, attributes but links, text, children), but for those
+that markup says are no article (navigation, headers outside the article, footers, sidebars, notices,
+adverts, forms, comments, scripts). Spark counts per host beside how many different main contents a subtree
+stands. A page's contents are the text blocks of its article (without article elements: of the page) that have
+``CONTENT_SHARE`` of the longest one's length or more. Beside a subtree stand the two longest of them outside of it; where
+there is none, the longest block of all. The longest ones and the second ones are counted apart, the greater count
+holds, so that no page counts twice. So copies of one article count once whatever short adverts they
+have, and long notices do not hide the articles.
+
+A subtree beside ``LEAST_PAGES`` contents is the site's template, whatever share of the host has
+it. Within article elements, where a quotation may recur, it must also stand
+beside ``LEAST_SHARE`` of all contents of the host. Each page's own templates are joined to
+it by its content. A second pass deletes them and what markup says is no article, and
 returns the text of the article elements, or of the main element, or of the body.
 
 Inside a block white space becomes one space; blocks are joined in page order by
 one space. Nothing else is dropped: long texts stay whole.
 
-A page's host is what stands between ``://`` and the next ``/``, ``?`` or ``#``. Pages of
-equal content count once, so that copies of one article are no template. Counting
+A page's host is what stands between ``://`` and the next ``/``, ``?`` or ``#``. Counting
 has the subtree in its key and is combined before the shuffle, so a host with a
-third of all pages is no hot key. At most 1/``LEAST_SHARE`` subtrees per element of a page
-can be templates of a host, so that a host's set is as small as a page.
+third of all pages is no hot key. What is joined to a page is bounded by its own elements, however
+many templates a host has. Pages of one host whose 64-bit content hashes are equal get the templates of both, which
+are templates of that host in any case.
 
 Defined cases: a null or empty html has empty text; without ``://`` or with a null url the
 host is empty, and such pages form one host; repeated rows stay; unclosed and
-stray tags are mended as browsers do in simple cases; a page that is cut off ends where it ends.
+stray tags are mended as browsers do in simple cases; a page that is cut off ends where it ends; of blocks of equal
+length the first counts as the longest; pages without text count nowhere.
 """
 
 from __future__ import annotations
@@ -27,18 +36,25 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesprep.llm.shared import longs, slices, stage
 from salesprep.llm.url_filter import split_url
+from salesprep.staging import scope
 
 LEAST_PAGES = 10
 LEAST_SHARE = 0.3
+#: A block of this share of the page's longest one is content.
+CONTENT_SHARE = 0.25
+#: Stands for the page itself among its subtrees.
+PAGE = 0
 
 #: Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -173,6 +189,16 @@ def marked(node: Node, in_article: bool) -> bool:
     return False
 
 
+def key_of(digest: int, inside: bool) -> int:
+    """A subtree's hash whose last bit says whether it stands in an article (or is one)."""
+    return digest & ~1 | inside
+
+
+def is_cut(node: Node, inside: bool, cut: set[int], hashes: dict[int, int]) -> bool:
+    digest = hashes.get(id(node))
+    return digest is not None and key_of(digest, inside) in cut
+
+
 def blocks(node: Node, cut: set[int], hashes: dict[int, int]) -> str:
     """Text of an element without deleted parts; white space and block edges are one space."""
     parts: list[str] = []
@@ -186,10 +212,10 @@ def blocks(node: Node, cut: set[int], hashes: dict[int, int]) -> str:
         if isinstance(child, str):
             parts.append(child)
             continue
-        if child is not node and (marked(child, in_article) or hashes.get(id(child)) in cut):
+        inside = in_article or child.name == "article"
+        if child is not node and (marked(child, in_article) or is_cut(child, inside, cut, hashes)):
             parts.append(" " if child.name not in INLINE else "")
             continue
-        inside = in_article or child.name == "article"
         if child.name not in INLINE:
             parts.append(" ")
             todo.append(None)
@@ -203,11 +229,11 @@ def articles(top: Node, cut: set[int], hashes: dict[int, int]) -> list[Node]:
     todo: list[tuple[Node, bool]] = [(top, False)]
     while todo:
         node, within = todo.pop()
-        if node is not top and (marked(node, within) or (hashes.get(id(node)) in cut)):
+        inside = within or node.name == "article"
+        if node is not top and (marked(node, within) or is_cut(node, inside, cut, hashes)):
             continue
         if node.name in found and not (node.name == "article" and within):
             found[node.name].append(node)
-        inside = within or node.name == "article"
         todo += [(c, inside) for c in reversed(node.children) if isinstance(c, Node)]
     return found["article"] or found["main"][:1] or [top]
 
@@ -218,36 +244,121 @@ def main_text(html: str, templates: set[int]) -> str:
     return " ".join(t for a in articles(top, templates, hashes) if (t := blocks(a, templates, hashes)))
 
 
+@dataclass
+class Block:
+    """An unmarked block element: the place after its last descendant in page order, and its own text without inner blocks."""
+
+    node: Node
+    inside: bool
+    end: int = 0
+    own: list[str] = field(default_factory=list)
+    text: str = ""
+
+
+def page_blocks(top: Node) -> list[Block]:
+    """The page and its unmarked block elements, in page order."""
+    found = [Block(top, False)]
+    todo: list[tuple[Node | str, int, bool] | int] = [(c, 0, False) for c in reversed(top.children)]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, int):
+            found[item].end = len(found)
+            continue
+        child, owner, in_article = item
+        if isinstance(child, str):
+            found[owner].own.append(child)
+            continue
+        if marked(child, in_article):
+            continue
+        inside = in_article or child.name == "article"
+        if child.name not in INLINE and child.children:
+            owner = len(found)
+            found.append(Block(child, inside))
+            todo.append(owner)
+        todo += [(c, owner, inside) for c in reversed(child.children)]
+    found[0].end = len(found)
+    for block in found:
+        block.text = " ".join("".join(block.own).split())
+    return found
+
+
+def longest_two(blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    return sorted(blocks, key=lambda b: (-b[0], b[1]))[:2]
+
+
+def beside(top: Node) -> Iterator[tuple[int, int, int]]:
+    """Key of each subtree, rank and hash of a content beside it; ``PAGE`` with the page's longest block."""
+    found = page_blocks(top)
+    in_article = any(b.inside and b.text for b in found)
+    sizes = [len(b.text) if b.inside or not in_article else 0 for b in found]
+    if not (most := max(sizes)):
+        return
+    # the longest two contents before and from each place on, as (length, place)
+    sizes = [n if n >= CONTENT_SHARE * most else 0 for n in sizes]
+    before, after = [[]], [[]]
+    for i, n in enumerate(sizes):
+        before.append(longest_two([*before[-1], (n, i)]) if n else before[-1])
+    for i in range(len(sizes) - 1, -1, -1):
+        after.append(longest_two([*after[-1], (sizes[i], i)]) if sizes[i] else after[-1])
+    after.reverse()
+    contents: dict[int, int] = {}
+
+    def content(place: int) -> int:
+        if place not in contents:
+            contents[place] = xxhash.xxh64_intdigest(found[place].text.encode("utf-8", "replace")) - (1 << 63)
+        return contents[place]
+
+    yield PAGE, 0, content(after[0][0][1])
+    hashes = hashed(top)
+    for i, block in enumerate(found[1:], 1):
+        if (digest := hashes.get(id(block.node))) is None:
+            continue
+        key = key_of(digest, block.inside)
+        others = longest_two(before[i] + after[block.end]) or after[0][:1]
+        # shares of the host's contents are taken of one content a page
+        for rank, (_, place) in enumerate(others[:1] if block.inside else others):
+            yield key, rank, content(place)
+
+
 def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, page (hash of its content) and subtree hash of every element with text, once per page and subtree."""
+    """host, page, and what stands ``beside`` every subtree of a page, each once."""
     for batch in slices(batches, 4 << 20):
-        owners, keys, pages = [], [], []
+        owners, found = [], []
         for i, html in enumerate(batch["t"].to_pylist()):
-            top = parse(html or "")
-            found = set(hashed(top).values())
-            # 0 counts the page itself
-            for key in (0, *found):
-                owners.append(i)
-                keys.append(key)
-            pages += [int.from_bytes(hashlib.blake2b((html or "").encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)] * (len(found) + 1)
-        host = batch["host"].take(pa.array(owners, pa.int64()))
-        yield pa.RecordBatch.from_arrays([host, longs(np.array(pages, np.int64)), longs(np.array(keys, np.int64))], names=["host", "page", "subtree"])
-
-
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """host and its template subtrees, of pages with columns host and t; only hosts that have some."""
-    rows = pages.select("host", "t").mapInArrow(subtrees, "host string, page long, subtree long")
-    counts = stage(rows.distinct().groupBy("host", "subtree").count().where(F.col("count") >= least_pages), "html-subtrees")
-    totals = counts.where("subtree = 0").select("host", F.col("count").alias("pages"))
-    often = counts.where("subtree <> 0").join(totals, "host").where(F.col("count") >= F.col("pages") * least_share)
-    return stage(often.groupBy("host").agg(F.collect_list("subtree").alias("subtrees")), "html-templates")
+            one = set(beside(parse(html or "")))
+            found += one
+            owners += [i] * len(one)
+        at = pa.array(owners, pa.int64())
+        columns = [longs(x) for x in np.array(found, np.int64).reshape(-1, 3).T]
+        yield pa.RecordBatch.from_arrays([batch["host"].take(at), batch["page"].take(at), *columns], names=["host", "page", "subtree", "rank", "content"])
+
+
+def templates(found: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+    """host and subtree of every template, of rows host, subtree, rank and content."""
+    kinds = found.select("host", "subtree", "rank", "content").distinct().groupBy("host", "subtree", "rank").count()
+    counts = kinds.groupBy("host", "subtree").agg(F.max("count").alias("count")).where(F.col("count") >= least_pages)
+    counts = stage(counts, "html-subtrees")
+    totals = counts.where(F.col("subtree") == PAGE).select("host", F.col("count").alias("contents"))
+    often = counts.where(F.col("subtree") != PAGE).join(totals, "host", "left")
+    anywhere = F.col("subtree").bitwiseAND(F.lit(1)) == 0
+    return often.where(anywhere | (F.col("count") >= F.col("contents") * least_share)).select("host", "subtree")
+
+
+def page_templates(pages: DataFrame) -> DataFrame:
+    """host, page and the templates on it, of pages with columns host, page and t; only pages that have some."""
+    with scope(pages.sparkSession) as own:
+        found = stage(pages.select("host", "page", "t").mapInArrow(subtrees, "host string, page long, subtree long, rank long, content long"), "html-found")
+        held = found.join(templates(found), ["host", "subtree"], "left_semi")
+        lists = stage(held.groupBy("host", "page").agg(F.collect_set("subtree").alias("subtrees")), "html-templates")
+        own.keep(lists)
+    return lists
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every row."""
     source = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("t"))
-    source = source.select("page_id", "url", split_url("url")[0], "t")
-    joined = source.join(templates(source), "host", "left").select("page_id", "url", "t", "subtrees")
+    source = source.select("page_id", "url", split_url("url")[0], F.xxhash64("t").alias("page"), "t")
+    joined = source.join(page_templates(source), ["host", "page"], "left").select("page_id", "url", "t", "subtrees")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4 << 20):

@@ -286,6 +286,76 @@ def test_site_templates_go_and_copies_stay(spark):
     assert html_text.extract(df).count() == len(rows) and html_text.extract(df.limit(0)).count() == 0
 
 
+def texts_of(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_text.extract(df).collect()}
+
+
+def without_templates(rows):
+    return {i: html_text.main_text(html, set()) for i, _, html in rows}
+
+
+def test_templates_decide_pages_without_articles(spark):
+    """A section's template on 5 % of a host, a notice longer than any text, and what stands on nine pages only."""
+    body = lambda i: f"<div><h2>{prose(i, 4)}</h2><p>{prose(1000 + i, 40)}</p><p>{prose(2000 + i, 25)}</p></div>"
+    notice, rows, want = f"<div><p>{prose(7, 90)}</p></div>", [], {}
+    for i in range(400):
+        section = "<div><b>From</b> the archive</div>" if i < 20 else "<div>Nine pages</div>" if i < 29 else ""
+        rows.append((i, f"http://big.org/{i}", f"<body>{section}{body(i)}{notice}<div><a href='/{i}'>Top</a></div></body>"))
+        want[i] = " ".join([*(["Nine pages"] if 20 <= i < 29 else []), prose(i, 4), prose(1000 + i, 40), prose(2000 + i, 25)])
+    assert texts_of(spark, rows) == want
+    assert all(without_templates(rows)[i] != want[i] for i in want)
+    # the same pages on one host each have no template
+    alone = [(i, f"http://host{i}.org/", html) for i, _, html in rows[:40]]
+    assert texts_of(spark, alone) == without_templates(alone)
+
+
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_near_copies_of_an_article_keep_its_text(spark, element):
+    """A third of a host are copies of one article beside adverts of their own."""
+    story = f"<p>{prose(1, 60)}</p><p>{prose(2, 50)}</p><p>{prose(3, 12)}</p>"
+    rows = [(i, f"http://site.org/{i}", f"<{element}>{story}</{element}><div>{prose(100 + i, 10)}</div><section><p>Welcome</p></section>") for i in range(15)]
+    rows += [(i, f"http://site.org/{i}", f"<{element}><p>{prose(200 + i, 60)}</p></{element}><section><p>Welcome</p></section>") for i in range(15, 45)]
+    found = texts_of(spark, rows)
+    adverts = {i: "" if element == "article" else f" {prose(100 + i, 10)}" for i in range(15)}
+    assert all(found[i] == f"{prose(1, 60)} {prose(2, 50)} {prose(3, 12)}{adverts[i]}" for i in range(15))
+    assert all(found[i] == prose(200 + i, 60) for i in range(15, 45))
+
+
+def test_what_recurs_within_articles(spark):
+    """A quotation in 12 of 60 articles stays, a box in 30 of 60 goes; outside of articles 12 are enough."""
+    quote, box = f"<p>{prose(1, 9)}</p>", f"<div><p>{prose(2, 9)}</p></div>"
+    page = lambda i: f"<article><p>{prose(10 + i, 40)}</p>{quote if i < 12 else ''}{box if i % 2 else ''}</article>"
+    rows = [(i, f"http://a.org/{i}", page(i)) for i in range(60)]
+    rows += [(100 + i, f"http://b.org/{i}", page(i).replace("article", "section")) for i in range(60)]
+    found = texts_of(spark, rows)
+    assert all(found[i] == prose(10 + i, 40) + (f" {prose(1, 9)}" if i < 12 else "") for i in range(60))
+    assert all(found[100 + i] == prose(10 + i, 40) for i in range(60))
+
+
+def plain_beside(html):
+    """Contents beside each subtree, looked up block by block."""
+    top = html_text.parse(html)
+    found, hashes = html_text.page_blocks(top), html_text.hashed(top)
+    content = [b for b in found if b.inside] if any(b.inside and b.text for b in found) else found
+    order = sorted((b for b in content if b.text), key=lambda b: (-len(b.text), found.index(b)))
+    pairs = {(html_text.PAGE, 0, order[0].text)} if order else set()
+    for i, block in enumerate(found):
+        if i and order and id(block.node) in hashes:
+            within = [id(x) for x in found[i : block.end]]
+            others = [b for b in order if id(b) not in within and 4 * len(b.text) >= len(order[0].text)] or order[:1]
+            pairs |= {(html_text.key_of(hashes[id(block.node)], block.inside), r, b.text) for r, b in enumerate(others[: 1 if block.inside else 2])}
+    return pairs
+
+
+def test_contents_beside_subtrees(sf, spark):
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    pages += [h.replace("<article", "<section").replace("</article", "</section") for h in pages]
+    for html in [*pages, "", "text", "<p>a<p>b<div><p>cc</div>", "<div>" * 3000 + "deep"]:
+        want = {(k, r, html_text.xxhash.xxh64_intdigest(t.encode()) - (1 << 63)) for k, r, t in plain_beside(html)}
+        assert set(html_text.beside(html_text.parse(html))) == want
+
+
 def test_query_gives_the_articles(spark, sf):
     import html
 
