@@ -49,6 +49,8 @@ BLOCK_BYTES = 16 << 20
 UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af"
 WORD = re.compile(rf"[^\W{UNSPACED}]+|\w")
 UNKNOWN = -1
+#: Numbers of n-grams keep this many bits.
+GRAM_BITS = (1 << 63) - 1
 
 
 @dataclass
@@ -56,6 +58,7 @@ class Block:
     """Test items as word numbers, and their n-grams as numbers."""
 
     words: dict[str, int]
+    size: int
     items: list[tuple[int, np.ndarray]]
     grams: np.ndarray
     owners: list[list[int]]
@@ -72,7 +75,11 @@ def numbered(words: list[str], known: dict[str, int]) -> np.ndarray:
 
 
 def gram_numbers(ids: np.ndarray, size: int, width: int = N) -> np.ndarray:
-    """A number for each gram of ``width`` (1 to ``N``) words of a sequence; ``UNKNOWN`` where a word is unknown."""
+    """A number for each gram of ``width`` (1 to ``N``) words of a sequence; ``UNKNOWN`` where a word is unknown.
+
+    Beyond a million words the numbers wrap around and two grams may share one. They are then counted together and are
+    seeds of the items of both, which loses none: a seed only says where to align.
+    """
     n = len(ids) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
@@ -80,7 +87,7 @@ def gram_numbers(ids: np.ndarray, size: int, width: int = N) -> np.ndarray:
     for k in range(width):
         found = found * size + ids[k : k + n]
         known &= ids[k : k + n] >= 0
-    return np.where(known, found * N + N - width, UNKNOWN)
+    return np.where(known, (found * N + N - width) & GRAM_BITS, UNKNOWN)
 
 
 def make_block(rows: list[tuple[int, str]]) -> Block:
@@ -88,22 +95,22 @@ def make_block(rows: list[tuple[int, str]]) -> Block:
     for _, text in rows:
         for w in words_of(text):
             words.setdefault(w, len(words))
-    if N * len(words) ** N >= 1 << 63:
-        raise ValueError("a block of test items has too many words to number their n-grams; take smaller blocks")
     items = [(item, numbered(words_of(text), words)) for item, text in rows]
+    # odd, so that no word's number is lost where the grams' numbers wrap around
+    size = len(words) | 1
     owners = defaultdict(list)
     for i, (_, ids) in enumerate(items):
-        for gram in set(gram_numbers(ids, len(words), min(N, len(ids))).tolist()) if len(ids) else ():
+        for gram in set(gram_numbers(ids, size, min(N, len(ids))).tolist()) if len(ids) else ():
             owners[gram].append(i)
     grams = np.array(sorted(owners), np.int64)
     widths = sorted({min(N, len(ids)) for _, ids in items if len(ids)})
-    return Block(words, items, grams, [owners[g] for g in grams.tolist()], widths)
+    return Block(words, size, items, grams, [owners[g] for g in grams.tolist()], widths)
 
 
 def hits(block: Block, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers of a text, the places of its known grams (in order for each width), and which they are."""
     ids = numbered(words_of(text), block.words)
-    found = [gram_numbers(ids, len(block.words), width) for width in block.widths]
+    found = [gram_numbers(ids, block.size, width) for width in block.widths]
     places = [np.flatnonzero(numbers >= 0) for numbers in found]
     numbers = np.concatenate([np.zeros(0, np.int64), *(x[p] for x, p in zip(found, places, strict=True))])
     places = np.concatenate([np.zeros(0, np.int64), *places])
@@ -113,18 +120,27 @@ def hits(block: Block, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, places[fits], at[fits]
 
 
-def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int]:
-    """Smith-Waterman score of two word sequences, and the place in ``part`` where the best alignment ends."""
+def align(item: np.ndarray, part: np.ndarray, anchored: bool = False) -> tuple[int, int, int]:
+    """Smith-Waterman score of two word sequences, and how much of ``item`` and ``part`` lies before the end of the best alignment.
+
+    An ``anchored`` alignment begins at the first words of both.
+    """
     steps = np.arange(len(part) + 1) * GAP
-    above, best, end = np.zeros(len(part) + 1, np.int64), 0, 0
-    for word in item:
-        row = np.zeros(len(part) + 1, np.int64)
+    above, best, rows, end = steps * anchored, 0, 0, 0
+    for k, word in enumerate(item, 1):
+        row = np.full(len(part) + 1, k * GAP * anchored, np.int64)
         row[1:] = np.maximum(above[:-1] + np.where(part == word, MATCH, MISMATCH), above[1:] + GAP)
-        row = np.maximum(row, 0)
+        if not anchored:
+            row = np.maximum(row, 0)
         above = np.maximum.accumulate(row - steps) + steps
         if (top := int(above.max())) > best:
-            best, end = top, int(above.argmax())
-    return best, end
+            best, rows, end = top, k, int(above.argmax())
+    return best, rows, end
+
+
+def begin(item: np.ndarray, part: np.ndarray, rows: int, end: int) -> int:
+    """Where in ``part`` an alignment begins that ends before word ``rows`` of the item and ``end`` of the part."""
+    return end - align(item[:rows][::-1], part[:end][::-1], anchored=True)[2]
 
 
 def most_score(item: np.ndarray, part: np.ndarray) -> float:
@@ -137,7 +153,7 @@ def most_score(item: np.ndarray, part: np.ndarray) -> float:
 
 
 def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) -> Iterator[tuple[int, float, int, int]]:
-    """Item, score, first and last word of the passage, of each item that has a seed in the text."""
+    """Item, score, first word of the aligned passage and the one after it, of each item that reaches the least score in the text."""
     ids, places, grams = hits(block, text)
     by_item = defaultdict(list)
     for place, gram in zip(places.tolist(), grams.tolist(), strict=True):
@@ -151,18 +167,20 @@ def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) ->
         found = [p for p, seldom in held if seldom or most_score(item, around(p)) >= least_score]
         if not found:
             continue
-        best = (0.0, 0, 0)
+        best = (0.0, 0, 0, 0, 0)
         span = None
         for place in [*found, None]:
             if span and (place is None or place - reach > span[1]):
-                score, end = align(item, ids[span[0] : span[1]])
+                score, rows, end = align(item, ids[span[0] : span[1]])
                 score /= MATCH * len(item)
                 if score > best[0]:
-                    best = (score, span[0], span[0] + end)
+                    best = (score, rows, end, *span)
                 span = None
             if place is not None:
                 span = (span[0] if span else max(0, place - reach), place + N + reach)
-        yield i, *best
+        score, rows, end, first, last = best
+        if score >= least_score:
+            yield i, score, first + begin(item, ids[first:last], rows, end), first + end
 
 
 def prepare(texts: DataFrame, rows: list[tuple[int, str]]) -> tuple[Broadcast, Broadcast]:
@@ -200,7 +218,7 @@ def blocks_of(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[li
 def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows (doc_id, item_id, score, first_word, last_word) of documents that hold an item, at ``least_score`` or more.
 
-    ``last_word`` is one past the aligned passage; ``first_word`` is where the searched part begins.
+    The aligned passage goes from ``first_word`` to before ``last_word``.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).where("t IS NOT NULL")
     found = None
@@ -212,7 +230,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEA
             for batch in slices(batches):
                 out = []
                 for doc, text in zip(batch["doc_id"].to_pylist(), batch["t"].to_pylist(), strict=True):
-                    out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seldom, text, least_score) if s >= least_score]
+                    out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seldom, text, least_score)]
                 columns = list(zip(*out, strict=True)) or [()] * 5
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "score", "first_word", "last_word"])
@@ -234,7 +252,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCOR
         def drop(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, rare: Broadcast = rare) -> Iterator[pa.RecordBatch]:
             block, seldom = shared.value, rare.value
             for batch in slices(batches):
-                keep = [not any(s >= least_score for _, s, _, _ in candidates(block, seldom, t or "", least_score)) for t in batch[place].to_pylist()]
+                keep = [not any(True for _ in candidates(block, seldom, t or "", least_score)) for t in batch[place].to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         kept = kept.mapInArrow(drop, kept.schema)

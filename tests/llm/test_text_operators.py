@@ -86,6 +86,39 @@ def test_short_items_and_scripts_without_spaces(spark):
     assert sorted(r.doc_id for r in decontamination.clean(docs, bench).collect()) == [6, 7, 8]
 
 
+def test_aligned_passages(spark, sf):
+    """The passage between first and last word has the score; a word less at either end has not."""
+    docs = {r.doc_id: decontamination.words_of(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    rows = QUERIES["op2_decontamination"](spark, sf).collect()
+    assert rows
+    for r in rows:
+        passage = docs[r.doc_id][r.first_word : r.last_word]
+        assert plain_score(items[r.item_id], " ".join(passage)) == pytest.approx(r.score)
+        for less in (passage[1:], passage[:-1]):
+            assert plain_score(items[r.item_id], " ".join(less)) < r.score - 1e-9
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_begin_of_an_alignment(seed):
+    rng = np.random.default_rng(seed)
+    item, part = rng.integers(0, 4, 12), rng.integers(0, 5, 40)
+    score, rows, end = decontamination.align(item, part)
+    first = decontamination.begin(item, part, rows, end)
+    # of alignments with equal scores any may be told, but each begins and ends with a match
+    assert decontamination.align(item, part[first:end])[0] == score and {part[first], part[end - 1]} <= set(item.tolist())
+
+
+def test_more_words_than_grams_can_number():
+    """Numbers of grams that wrap around still lead to every item."""
+    rows = [(i, " ".join(f"w{i * 30 + j}" for j in range(30))) for i in range(50_000)]
+    block = decontamination.make_block(rows)
+    assert decontamination.N * block.size**decontamination.N >= 1 << 63
+    for i in (0, 24_999, 49_999):
+        found = list(decontamination.candidates(block, np.ones(len(block.grams), bool), f"a b {rows[i][1]} c", 0.5))
+        assert found == [(i, 1.0, 2, 32)]
+
+
 # Quality rules
 
 
