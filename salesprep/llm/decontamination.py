@@ -30,6 +30,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ BLOCK_BYTES = 16 << 20
 #: Thai, Lao, Tibetan, Myanmar, Khmer, kana, bopomofo, Han and their extensions.
 UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af"
 WORD = re.compile(rf"[^\W{UNSPACED}]+|\w")
+#: The same in texts whose characters all come before those scripts.
+SPACED_WORD = re.compile(r"\w+")
 UNKNOWN = -1
 #: Numbers of n-grams keep this many bits.
 GRAM_BITS = (1 << 63) - 1
@@ -55,23 +58,25 @@ GRAM_BITS = (1 << 63) - 1
 
 @dataclass
 class Block:
-    """Test items as word numbers, and their n-grams as numbers."""
+    """Test items as word numbers, the different words of each with their counts, and their n-grams as numbers."""
 
     words: dict[str, int]
     size: int
     items: list[tuple[int, np.ndarray]]
+    bags: list[tuple[np.ndarray, np.ndarray]]
     grams: np.ndarray
     owners: list[list[int]]
     widths: list[int]
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    low = text.lower()
+    spaced = low.isascii() or max(low) < UNSPACED[0]
+    return (SPACED_WORD if spaced else WORD).findall(low)
 
 
 def numbered(words: list[str], known: dict[str, int]) -> np.ndarray:
-    get = known.get
-    return np.fromiter((get(w, UNKNOWN) for w in words), np.int64, len(words))
+    return np.fromiter(map(known.get, words, repeat(UNKNOWN)), np.int64, len(words))
 
 
 def gram_numbers(ids: np.ndarray, size: int, width: int = N) -> np.ndarray:
@@ -104,7 +109,8 @@ def make_block(rows: list[tuple[int, str]]) -> Block:
             owners[gram].append(i)
     grams = np.array(sorted(owners), np.int64)
     widths = sorted({min(N, len(ids)) for _, ids in items if len(ids)})
-    return Block(words, size, items, grams, [owners[g] for g in grams.tolist()], widths)
+    bags = [np.unique(ids, return_counts=True) for _, ids in items]
+    return Block(words, size, items, bags, grams, [owners[g] for g in grams.tolist()], widths)
 
 
 def hits(block: Block, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,13 +149,13 @@ def begin(item: np.ndarray, part: np.ndarray, rows: int, end: int) -> int:
     return end - align(item[:rows][::-1], part[:end][::-1], anchored=True)[2]
 
 
-def most_score(item: np.ndarray, part: np.ndarray) -> float:
-    """Bound of the score: that of all words the two have in common, in order and without gaps."""
-    words, counts = np.unique(item, return_counts=True)
+def most_score(bag: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> float:
+    """Bound of an item's score: that of all words the two have in common, in order and without gaps."""
+    words, counts = bag
     at = np.searchsorted(words, part)
     at[at == len(words)] = 0
     common = np.bincount(at[words[at] == part], minlength=len(words))
-    return int(np.minimum(common, counts).sum()) / len(item)
+    return int(np.minimum(common, counts).sum()) / int(counts.sum())
 
 
 def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) -> Iterator[tuple[int, float, int, int]]:
@@ -164,7 +170,7 @@ def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) ->
         # matches give 2 at most for a word of the item, so this many words can be put in between
         reach = len(item) + max(0, int(2 * len(item) * (1 - least_score)))
         around = lambda p: ids[max(0, p - reach) : p + N + reach]  # noqa: E731, B023
-        found = [p for p, seldom in held if seldom or most_score(item, around(p)) >= least_score]
+        found = [p for p, seldom in held if seldom or most_score(block.bags[i], around(p)) >= least_score]
         if not found:
             continue
         best = (0.0, 0, 0, 0, 0)

@@ -99,6 +99,12 @@ def test_aligned_passages(spark, sf):
             assert plain_score(items[r.item_id], " ".join(less)) < r.score - 1e-9
 
 
+def test_words_of_all_scripts():
+    """The shorter pattern for early scripts finds the same words."""
+    texts = ["", "a b_c d1-e É\u0301t\u00e9", "Привет, мир", "x\u0dffy", "x\u0e00y", "x\u0e01\u0e02y z", "ab床前c d", "İI ß"]
+    assert [decontamination.words_of(t) for t in texts] == [decontamination.WORD.findall(t.lower()) for t in texts]
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_begin_of_an_alignment(seed):
     rng = np.random.default_rng(seed)
