@@ -15,7 +15,9 @@ no seed (every third word replaced: 0.5).
 
 The test items are the bounded side. They are taken in blocks of ``BLOCK_BYTES``
 of text, each collected and broadcast; each block is searched in all documents, in
-Arrow batches where the documents lie. Documents are never shuffled.
+Arrow batches where the documents lie. Documents are never shuffled. ``contaminated`` splits them into words
+once for each block: word numbers around the places of known n-grams are staged, and counts and alignments are taken
+from there. ``clean``, which has to return whole rows, reads them twice.
 
 Defined cases: the one seed of an item with fewer than ``N`` words is its whole word
 sequence, and items without words match nothing; null
@@ -35,10 +37,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesprep.llm.shared import longs, slices
+from salesprep.llm.shared import longs, slices, stage
+from salesprep.staging import observed, scope
 
 N = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -71,8 +74,9 @@ class Block:
 
 def words_of(text: str) -> list[str]:
     low = text.lower()
-    spaced = low.isascii() or max(low) < UNSPACED[0]
-    return (SPACED_WORD if spaced else WORD).findall(low)
+    # the units of characters beyond 16 bits lie above those scripts' first letter as well
+    units = () if low.isascii() else np.frombuffer(low.encode("utf-16-le", "surrogatepass"), "<u2")
+    return (WORD if len(units) and units.max() >= ord(UNSPACED[0]) else SPACED_WORD).findall(low)
 
 
 def numbered(words: list[str], known: dict[str, int]) -> np.ndarray:
@@ -88,11 +92,16 @@ def gram_numbers(ids: np.ndarray, size: int, width: int = N) -> np.ndarray:
     n = len(ids) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    found, known = np.zeros(n, np.int64), np.ones(n, bool)
+    known = np.ones(n, bool)
     for k in range(width):
-        found = found * size + ids[k : k + n]
         known &= ids[k : k + n] >= 0
-    return np.where(known, (found * N + N - width) & GRAM_BITS, UNKNOWN)
+    places = np.flatnonzero(known)
+    numbers = np.zeros(len(places), np.int64)
+    for k in range(width):
+        numbers = numbers * size + ids[places + k]
+    found = np.full(n, UNKNOWN, np.int64)
+    found[places] = (numbers * N + N - width) & GRAM_BITS
+    return found
 
 
 def make_block(rows: list[tuple[int, str]]) -> Block:
@@ -158,17 +167,28 @@ def most_score(bag: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> float:
     return int(np.minimum(common, counts).sum()) / int(counts.sum())
 
 
+def reach_of(item: np.ndarray, least_score: float) -> int:
+    """Words beside a gram that an alignment of the least score can reach.
+
+    Matches give 2 at most for a word of the item, so this many words can be put in between.
+    """
+    return len(item) + max(0, int(2 * len(item) * (1 - least_score)))
+
+
 def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) -> Iterator[tuple[int, float, int, int]]:
-    """Item, score, first word of the aligned passage and the one after it, of each item that reaches the least score in the text."""
-    ids, places, grams = hits(block, text)
+    """``aligned`` of a text."""
+    return aligned(block, rare, *hits(block, text), least_score)
+
+
+def aligned(block: Block, rare: np.ndarray, ids: np.ndarray, places: np.ndarray, grams: np.ndarray, least_score: float) -> Iterator[tuple[int, float, int, int]]:
+    """Item, score, first word of the aligned passage and the one after it, of each item that reaches the least score, from a text's ``hits``."""
     by_item = defaultdict(list)
     for place, gram in zip(places.tolist(), grams.tolist(), strict=True):
         for i in block.owners[gram]:
             by_item[i].append((place, rare[gram]))
     for i, held in by_item.items():
         item = block.items[i][1]
-        # matches give 2 at most for a word of the item, so this many words can be put in between
-        reach = len(item) + max(0, int(2 * len(item) * (1 - least_score)))
+        reach = reach_of(item, least_score)
         around = lambda p: ids[max(0, p - reach) : p + N + reach]  # noqa: E731, B023
         found = [p for p, seldom in held if seldom or most_score(block.bags[i], around(p)) >= least_score]
         if not found:
@@ -189,26 +209,71 @@ def candidates(block: Block, rare: np.ndarray, text: str, least_score: float) ->
             yield i, score, first + begin(item, ids[first:last], rows, end), first + end
 
 
-def prepare(texts: DataFrame, rows: list[tuple[int, str]]) -> tuple[Broadcast, Broadcast]:
-    """A block of test items, and which of its n-grams are rare; counted over all ``texts`` (column t)."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(make_block(rows))
+def rare_grams(block: Broadcast, counts: DataFrame, documents: int) -> np.ndarray:
+    """Which n-grams of a block are rare, of ``counts`` (gram, n); one row for each n-gram of the block at most comes back."""
+    found = np.zeros(len(block.value.grams), np.int64)
+    for gram, n in counts.toLocalIterator():
+        found[gram] = n
+    return found <= max(1, RARE * documents)
+
+
+def count_grams(texts: DataFrame, block: Broadcast) -> np.ndarray:
+    """Which n-grams of a block are rare, counted over all ``texts`` (column t)."""
+    seen = Observation()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        totals = np.zeros(len(block.grams) + 1, np.int64)
+        totals = np.zeros(len(block.value.grams), np.int64)
         for batch in slices(batches):
-            totals[-1] += batch.num_rows
             for text in batch["t"].to_pylist():
-                totals[np.unique(hits(block, text)[2])] += 1
-        seen = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([longs(seen), longs(totals[seen])], names=["gram", "n"])
+                totals[np.unique(hits(block.value, text)[2])] += 1
+        held = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([longs(held), longs(totals[held])], names=["gram", "n"])
+
+    read = texts.observe(seen, F.count(F.lit(1)).alias("n"))
+    counts = stage(read.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "decontamination-counts")
+    return rare_grams(block, counts, observed(seen).get("n", 0))
+
 
-    counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    documents = np.zeros(len(shared.value.grams) + 1, np.int64)
-    for gram, n in counted.toLocalIterator():
-        documents[gram] = n
-    return shared, spark.sparkContext.broadcast(documents[:-1] <= max(1, RARE * documents[-1]))
+def ints(values: list[np.ndarray]) -> pa.Array:
+    """Arrays as one list column."""
+    ends = np.cumsum([0, *map(len, values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *values]).astype(np.int32, copy=False)))
+
+
+def arrays(column: pa.Array) -> list[np.ndarray]:
+    """The reverse of ``ints``."""
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), ends)[:-1]
+
+
+def stage_hits(texts: DataFrame, block: Broadcast, least_score: float) -> tuple[DataFrame, np.ndarray]:
+    """The ``hits`` of every text that has some, staged, and which n-grams are rare.
+
+    Words that no alignment of the least score can reach are ``UNKNOWN`` there; runs of them take next to no space.
+    """
+    seen = Observation()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = block.value
+        reaches = np.array([max(reach_of(known.items[i][1], least_score) for i in own) for own in known.owners], np.int64)
+        for batch in slices(batches):
+            owners, found = [], []
+            for at, text in enumerate(batch["t"].to_pylist()):
+                ids, places, grams = hits(known, text)
+                if not len(places):
+                    continue
+                edges = np.zeros(len(ids) + 1, np.int64)
+                np.add.at(edges, np.maximum(places - reaches[grams], 0), 1)
+                np.add.at(edges, np.minimum(places + N + reaches[grams], len(ids)), -1)
+                owners.append(at)
+                found.append((np.where(np.cumsum(edges[:-1]) > 0, ids, UNKNOWN).astype(np.int32), places, grams))
+            columns = list(zip(*found, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(owners, pa.int64())), *map(ints, columns)], names=["doc_id", "words", "places", "grams"])
+
+    read = texts.observe(seen, F.count(F.lit(1)).alias("n"))
+    found = stage(read.mapInArrow(find, "doc_id long, words array<int>, places array<int>, grams array<int>"), "decontamination-hits")
+    counts = found.select(F.explode(F.array_distinct("grams")).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    return found, rare_grams(block, counts, observed(seen).get("n", 0))
 
 
 def blocks_of(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int, str]]]:
@@ -226,22 +291,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = LEA
 
     The aligned passage goes from ``first_word`` to before ``last_word``.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).where("t IS NOT NULL")
     found = None
     for rows in blocks_of(benchmark, item_id, item_text):
-        shared, rare = prepare(texts.select("t"), rows)
-
-        def search(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, rare: Broadcast = rare) -> Iterator[pa.RecordBatch]:
-            block, seldom = shared.value, rare.value
-            for batch in slices(batches):
-                out = []
-                for doc, text in zip(batch["doc_id"].to_pylist(), batch["t"].to_pylist(), strict=True):
-                    out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in candidates(block, seldom, text, least_score)]
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "score", "first_word", "last_word"])
-
-        part = texts.mapInArrow(search, "doc_id long, item_id long, score double, first_word long, last_word long")
+        shared = spark.sparkContext.broadcast(make_block(rows))
+        # only the result outlives its block
+        with scope(spark) as own:
+            held, seldom = stage_hits(texts, shared, least_score)
+            rare = spark.sparkContext.broadcast(seldom)
+
+            def search(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, rare: Broadcast = rare) -> Iterator[pa.RecordBatch]:
+                block, seldom = shared.value, rare.value
+                for batch in slices(batches):
+                    out = []
+                    columns = (arrays(batch[name]) for name in ("words", "places", "grams"))
+                    for doc, *parts in zip(batch["doc_id"].to_pylist(), *columns, strict=True):
+                        out += [(doc, block.items[i][0], s, a, b) for i, s, a, b in aligned(block, seldom, *parts, least_score)]
+                    columns = list(zip(*out, strict=True)) or [()] * 5
+                    types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "score", "first_word", "last_word"])
+
+            part = stage(held.mapInArrow(search, "doc_id long, item_id long, score double, first_word long, last_word long"), "decontamination-found")
+            own.keep(part)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -253,7 +325,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCOR
     kept = docs.toDF(*[f"c{i}" for i in range(len(names))])
     texts = kept.select(F.col(f"c{place}").alias("t")).where("t IS NOT NULL")
     for rows in blocks_of(benchmark, item_id, item_text):
-        shared, rare = prepare(texts, rows)
+        shared = texts.sparkSession.sparkContext.broadcast(make_block(rows))
+        with scope(texts.sparkSession):
+            rare = texts.sparkSession.sparkContext.broadcast(count_grams(texts, shared))
 
         def drop(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, rare: Broadcast = rare) -> Iterator[pa.RecordBatch]:
             block, seldom = shared.value, rare.value

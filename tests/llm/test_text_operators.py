@@ -99,9 +99,34 @@ def test_aligned_passages(spark, sf):
             assert plain_score(items[r.item_id], " ".join(less)) < r.score - 1e-9
 
 
+@pytest.mark.parametrize("rare", [0.001, 0.0])
+def test_staged_surroundings_give_what_whole_texts_give(spark, sf, monkeypatch, rare):
+    monkeypatch.setattr(decontamination, "RARE", rare)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").collect()}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    block = decontamination.make_block(items)
+    counts = np.zeros(len(block.grams), np.int64)
+    for t in docs.values():
+        counts[np.unique(decontamination.hits(block, t)[2])] += 1
+    seldom = counts <= max(1, rare * len(docs))
+    want = {(d, block.items[i][0], *rest) for d, t in docs.items() for i, *rest in decontamination.candidates(block, seldom, t, 0.5)}
+    assert {tuple(r) for r in QUERIES["op2_decontamination"](spark, sf).collect()} == want
+    shared = spark.sparkContext.broadcast(block)
+    texts = spark.createDataFrame(list(docs.items()), "doc_id long, t string")
+    assert decontamination.stage_hits(texts, shared, 0.5)[1].tolist() == seldom.tolist()
+    assert decontamination.count_grams(texts.select("t"), shared).tolist() == seldom.tolist()
+
+
+@pytest.mark.parametrize("rows", [[], [[]], [[1, 2], [], [3]]])
+def test_list_columns_come_back(rows):
+    column = decontamination.ints([np.array(r, np.int32) for r in rows])
+    assert [a.tolist() for a in decontamination.arrays(column)] == rows
+    assert [a.tolist() for a in decontamination.arrays(column[1:])] == rows[1:]
+
+
 def test_words_of_all_scripts():
     """The shorter pattern for early scripts finds the same words."""
-    texts = ["", "a b_c d1-e É\u0301t\u00e9", "Привет, мир", "x\u0dffy", "x\u0e00y", "x\u0e01\u0e02y z", "ab床前c d", "İI ß"]
+    texts = ["", "a b_c d1-e É\u0301t\u00e9", "Привет, мир", "x\u0dffy", "x\U0001f600y", "x\U00020000y", "x\u0e00y", "x\u0e01\u0e02y z", "ab床前c d", "İI ß"]
     assert [decontamination.words_of(t) for t in texts] == [decontamination.WORD.findall(t.lower()) for t in texts]
 
 
