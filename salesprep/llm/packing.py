@@ -36,7 +36,7 @@ SEPARATOR = "<|endoftext|>"
 OPEN_BINS = 4096
 TASK_PIECES = 200_000
 #: Words whose ids a task remembers; then it begins anew.
-WORDS = 2_000_000
+WORDS = 600_000
 #: Words of a text that are looked up at once.
 CHUNK = 1 << 18
 ENDINGS = (b".", b",")
