@@ -60,12 +60,12 @@ def clean_sales(sales: DataFrame) -> DataFrame:
 def deduped_sales(sales: DataFrame, steps: Steps) -> DataFrame:
     """Cleaned sales without duplicates, staged by region and in order of month within each file.
 
-    Rebalancing by region costs a second shuffle, but without it each task of the first writes a file for
-    each region. AQE packs a small region into one file and splits a large one. The files of one region later make
-    tasks that write to one region, so the outputs need no shuffle of their own to be laid out by region.
+    The rows are written where they were deduplicated: each of those tasks, of which AQE makes few for few rows, writes
+    a file for each region it holds. Gathering a region's rows first would move the whole fact once more. A later scan
+    packs small files of a region into one task, so the outputs need no shuffle of their own to be laid out by region.
     """
     cleaned = steps.watch(clean_sales(steps.watch(sales, "loaded")), "cleaned")
-    unique = steps.watch(dedupe_sales(cleaned), "unique").hint("rebalance", "region")
+    unique = steps.watch(dedupe_sales(cleaned), "unique")
     return stage(unique.sortWithinPartitions("region", "year_month"), "sales", ["region"])
 
 
