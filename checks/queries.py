@@ -84,8 +84,7 @@ def _text(column):
 
 def _write_snapshots(named: DataFrame, folder: str) -> None:
     (
-        named.hint("rebalance", "snapshot")
-        .write.partitionBy("snapshot")
+        named.write.partitionBy("snapshot")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
