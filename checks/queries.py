@@ -121,7 +121,7 @@ def sink_partition_by_region(spark, d):
     table = f"{_database(spark)}.sales"
     sales = views.sales(spark, d)
     catalog.save_by_region(sales, table)
-    again = sales.where(F.col("region") == "ASIA").withColumn("rr", F.lit("again"))
+    again = catalog.read_region(spark, table, "ASIA").select(*sales.columns).withColumn("rr", F.lit("again"))
     catalog.save_by_region(again, table, regions=["ASIA", "EUROPE"])
     return spark.table(table).select(*sales.columns)
 
