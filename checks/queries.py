@@ -17,7 +17,7 @@ from salesprep.markets import profile
 from salesprep.operators import audit, dedupe, filters, keep, latest, remap, shape
 from salesprep.plans import country, publish, region
 from salesprep.sources import catalog, files
-from salesprep.staging import new_path
+from salesprep.staging import new_path, scope, stage
 
 # The given tables hold no real code or area; these stand for the markets' own.
 AREA_FIXES = {"AREA_A-Home": "AREA_A-HOME", "AREA_B X/Y": "AREA_B XY"}
@@ -479,8 +479,10 @@ def published_history(spark, d):
     database = _database(spark)
     tables = f"{database}.history", f"{database}.focus_extract"
     lookups = region.Lookups(pos=views.pos(spark, d), restricted=views.restricted_skus(spark, d))
-    for name in ("MY_HEALTH", "INDIA_HEALTH"):
-        publish.run_region(profile(name), views.sales(spark, d), lookups, *tables)
+    with scope(spark):
+        sales = stage(views.sales(spark, d), "sales")
+        for name in ("MY_HEALTH", "INDIA_HEALTH"):
+            publish.run_region(profile(name), sales, lookups, *tables)
     return spark.table(tables[0]).select(*contracts.HISTORY_NAMES)
 
 
