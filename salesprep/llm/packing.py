@@ -17,6 +17,8 @@ by one; a null doc_id stays null. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
+import string
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from salesprep.llm.shared import kept, longs, raw_texts, slices, stage
 
@@ -39,21 +41,34 @@ TASK_PIECES = 200_000
 WORDS = 600_000
 #: Words of a text that are looked up at once.
 CHUNK = 1 << 18
-ENDINGS = (b".", b",")
+#: Lower-case letters that normalizing leaves as they are; a word of these alone is one piece for the tokenizer's model.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+PUNCTUATION = string.punctuation.encode()
+LATIN = frozenset(chr(c).encode() for c in range(0xC0, 0x100) if chr(c).isalpha())
+BYTE_LEVEL = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+#: How the byte-level step writes a space.
+SPACE = "\u0120"
 #: New words that are encoded together.
 GROUP = 1000
 
 
+def before_ending(word: bytes) -> bytes:
+    """A word without the punctuation after its last letter; the word itself if another sign is before it."""
+    stem = word.rstrip(PUNCTUATION)
+    return stem if stem[-1:].isalpha() or stem[-2:] in LATIN else word
+
+
 class Encoder:
     """Ids of texts, word by word with a memory of words.
 
     The tokenizer must fold case, cut at white space whatever stands around it, and
-    between letters and punctuation, as the public word tokenizer does. Then a text's
-    ids are those of its space-separated words one after the other.
+    between letters and punctuation, and then write bytes as letters, as the public word
+    tokenizer does. Then a text's ids are those of its space-separated words one after the other.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self.forget()
 
@@ -65,17 +80,29 @@ class Encoder:
         self.used = 0
 
     def learn(self, words: list[bytes]) -> None:
-        """Remember words; they are encoded as one text with a special token between them."""
+        """Remember words. Those of plain letters go to the tokenizer's model as they are, for nothing before it would change
+        or cut them; the others are encoded as one text with a special token between them."""
+        letters = [w for w in words if LETTERS.fullmatch(w)]
+        for group in (letters[i : i + GROUP] for i in range(0, len(letters), GROUP)):
+            self.learn_letters(group)
         between = SEPARATOR.encode()
-        plain = [w for w in words if between not in w]
+        others = set(words).difference(letters)
+        plain = [w for w in others if between not in w]
         groups = [plain[i : i + GROUP] for i in range(0, len(plain), GROUP)]
-        for group in [*groups, *([w] for w in words if between in w)]:
+        for group in [*groups, *([w] for w in others if between in w)]:
             found = self.tokenizer.encode_batch_fast([between.join(group).decode()], add_special_tokens=False)
             ids = np.array(found[0].ids, np.uint32)
             inner = np.flatnonzero(ids == self.separator) if len(group) > 1 else np.zeros(0, np.int64)
             starts = np.append(0, inner + 1)
             self.store(group, ids, starts, np.append(inner, len(ids)) - starts)
 
+    def learn_letters(self, words: list[bytes]) -> None:
+        ((written, _),) = BYTE_LEVEL.pre_tokenize_str(b" ".join(words).decode())
+        found = [self.model.tokenize(w) for w in written.split(SPACE)]
+        sizes = np.fromiter(map(len, found), np.int64, len(words))
+        ids = np.fromiter((token.id for tokens in found for token in tokens), np.uint32, sizes.sum())
+        self.store(words, ids, np.cumsum(sizes) - sizes, sizes)
+
     def store(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
         place = len(self.places)
         self.sizes, self.starts = grown(self.sizes, place + len(words)), grown(self.starts, place + len(words))
@@ -98,21 +125,20 @@ class Encoder:
     def prepare(self, texts: list[list[bytes]]) -> None:
         """Learn the new words of several texts at once.
 
-        A full stop or comma after a letter is a token of its own, so such words are put
-        together from what is before it.
+        Punctuation after a letter is a piece of its own, so such words are put together from what is before it and from it.
         """
         if len(self.places) > WORDS:
             self.forget()
         new = set().union(*texts).difference(self.places)
-        ending = [w for w in new if w[-1:] in ENDINGS and w[-2:-1].isalpha()]
-        plain = new.difference(ending).union(w[:-1] for w in ending).union(ENDINGS if ending else ()).difference(self.places)
+        cut = [(w, stem) for w in new if (stem := before_ending(w)) != w and b"<|" not in w]
+        parts = [part for w, stem in cut for part in (stem, w[len(stem) :])]
+        plain = new.difference(w for w, _ in cut).union(parts).difference(self.places)
         if plain:
             self.learn(list(plain))
-        # a word without its ending may have been known by another
-        if ending:
-            at = np.fromiter((self.places[x] for w in ending for x in (w[:-1], w[-1:])), np.int64, 2 * len(ending))
+        if cut:
+            at = np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts))
             sizes = self.sizes[at].reshape(-1, 2).sum(axis=1)
-            self.store(ending, self.gather(at), np.cumsum(sizes) - sizes, sizes)
+            self.store([w for w, _ in cut], self.gather(at), np.cumsum(sizes) - sizes, sizes)
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         return self.gather(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))

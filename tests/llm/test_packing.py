@@ -57,6 +57,24 @@ def test_encoder_equals_tokenizer_on_odd_strings(monkeypatch):
         assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == want
 
 
+def test_words_of_letters_and_their_endings_skip_the_whole_tokenizer():
+    class Watched:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.seen = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.seen += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = packing.Encoder(word_tokenizer())
+    encoder.tokenizer = watched = Watched(encoder.tokenizer)
+    text = "Plain wörds, élan?! straße.*** and 12 o'clock ×,× naïve&&& É### ñ'$"
+    want = watched.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [x.tolist() for x in encoder.encode([text.encode()])] == [want]
+    seen = set(" ".join(watched.seen).replace(packing.SEPARATOR, " ").split())
+    assert seen == {",", "?!", ".***", "12", "o'clock", "×,×", "&&&", "É", "###", "'$"}
+
+
 def test_best_fit_takes_the_fullest_bin_that_holds_and_closes_the_fullest():
     bins = packing.Bins(10, 2)
     assert [bins.put(n) for n in (6, 8, 2, 4)] == [(0, 0), (1, 0), (1, 8), (0, 6)]
