@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesprep.functions.months import month_to_date
 from salesprep.operators.lookup import LIMITS, Limits, join_lookup
-from salesprep.staging import stage, stage_measured
+from salesprep.staging import Size, size_columns, stage, stage_measured, stage_observed
 
 
 def months_present(df: DataFrame) -> DataFrame:
@@ -30,9 +30,16 @@ def last_months(df: DataFrame, count: int) -> DataFrame:
 
 
 def keep_last_months(df: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
-    """Rows of the last ``count`` months of their region."""
-    wanted, size = stage_measured(last_months(df, count), "last-months")
-    return join_lookup(df, wanted, ["region", "year_month"], "left_semi", size=size, limits=limits)
+    """Rows of the last ``count`` months of their region.
+
+    Rows older than the oldest of these months are ruled out by a plain filter, which reaches what ``df`` is made of.
+    """
+    wanted, values = stage_observed(
+        last_months(df, count), "last-months", *size_columns(["region", "year_month"]), F.min("year_month").alias("oldest")
+    )
+    size = Size(values.get("row_count", 0), values.get("byte_count", 0))
+    recent = df.where(F.col("year_month") >= F.lit(values.get("oldest")))
+    return join_lookup(recent, wanted, ["region", "year_month"], "left_semi", size=size, limits=limits)
 
 
 def store_months(sales: DataFrame) -> DataFrame:

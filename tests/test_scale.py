@@ -1,10 +1,10 @@
 """The fact is moved no more often than its steps need."""
 
 from checks import queries, views
-from helpers import plan_of
+from helpers import details_of, plan_of
 from pyspark.sql import functions as F
 from salesprep import contracts, staging
-from salesprep.operators import audit
+from salesprep.operators import audit, latest
 from salesprep.operators.dedupe import SALES_KEY
 from salesprep.plans import publish, region
 from salesprep.sources import catalog
@@ -83,3 +83,13 @@ def test_a_region_is_saved_again_from_its_table(spark, monkeypatch):
     assert not saved[0] and saved[1]
     want = {"ASIA": {"again"}, "N": {"a"}}
     assert {r.region: set(r.rr) for r in found.groupBy("region").agg(F.collect_set("rr").alias("rr")).collect()} == want
+
+
+def test_older_months_are_ruled_out_where_they_are_read(spark, tmp_path):
+    path = f"{tmp_path}/sales"
+    rows = [("A", f"1998/{m:02}") for m in range(1, 13)] + [("B", f"1997/{m:02}") for m in (3, 7)] + [("A", None), (None, "1999/01"), ("A", "1998-12")]
+    spark.createDataFrame(rows, "region string, year_month string").write.parquet(path)
+    kept = latest.keep_last_months(spark.read.parquet(path), 2)
+    assert "GreaterThanOrEqual(year_month,1997/03)" in details_of(kept)
+    assert sorted(map(tuple, kept.collect())) == [("A", "1998/11"), ("A", "1998/12"), ("B", "1997/03"), ("B", "1997/07")]
+    assert latest.keep_last_months(spark.read.parquet(path).where("false"), 2).count() == 0
