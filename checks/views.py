@@ -74,8 +74,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_view
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
-    # lines are moved twice, and never with what their order's customer brings; nation and region are as small as any
-    lines = table(spark, sf_dir, "lineitem").join(
+    # lines are moved twice, and never with what their order's customer brings; nation and region are as small as any;
+    # a month packs better than a time
+    lines = table(spark, sf_dir, "lineitem").withColumn("year_month", _month(c("l_shipdate"))).join(
         table(spark, sf_dir, "part").select(
             "p_partkey", "p_brand", F.when(c("p_size") % 10 != 0, c("p_type")).alias("category_desc")
         ),
@@ -102,7 +103,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = F.when(c("o_orderkey") % 3 == 0, c("c_mktsegment")).otherwise("GENERAL")
     copies = F.when(c("l_orderkey") % 20 == 0, F.array(F.lit(""), F.lit("DUP "))).otherwise(F.array(F.lit("")))
     return joined.withColumn("copy", F.explode(copies)).select(
-        _month(c("l_shipdate")).alias("year_month"),
+        "year_month",
         c("n_name").alias("city"),
         F.concat(_code(c("c_nationkey")), F.lit("_"), outlet, _text(c("o_custkey"))).alias("store_code"),
         c("p_brand").alias("brand"),

@@ -93,3 +93,22 @@ def test_older_months_are_ruled_out_where_they_are_read(spark, tmp_path):
     assert "GreaterThanOrEqual(year_month,1997/03)" in details_of(kept)
     assert sorted(map(tuple, kept.collect())) == [("A", "1998/11"), ("A", "1998/12"), ("B", "1997/03"), ("B", "1997/07")]
     assert latest.keep_last_months(spark.read.parquet(path).where("false"), 2).count() == 0
+
+
+def test_lines_are_moved_with_their_month_not_their_time(spark, tmp_path):
+    columns = {
+        "lineitem": "1L l_orderkey, 2L l_partkey, 3 l_linenumber, 4.0D l_quantity, 5.0D l_extendedprice, timestamp'1999-01-02' l_shipdate",
+        "orders": "1L o_orderkey, 7L o_custkey, '1-URGENT' o_orderpriority",
+        "customer": "7L c_custkey, 'c' c_name, 9L c_nationkey, 'm' c_mktsegment",
+        "part": "2L p_partkey, 'b' p_brand, 't' p_type, 11 p_size",
+        "nation": "9L n_nationkey, 'n' n_name, 4L n_regionkey",
+        "region": "4L r_regionkey, 'ASIA' r_name",
+    }
+    for name, row in columns.items():
+        spark.sql(f"select {row}").write.parquet(f"{tmp_path}/{name}.parquet")
+    sales = views.sales(spark, str(tmp_path))
+    lines = sales._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join Inner" in line and "l_partkey" in line)
+    months = [i for i, line in enumerate(lines) if "date_format" in line]
+    assert months and min(months) > join
+    assert sales.first().year_month == "1999/01"
