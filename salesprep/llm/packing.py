@@ -21,9 +21,11 @@ import re
 import string
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,14 +41,15 @@ OPEN_BINS = 4096
 TASK_PIECES = 200_000
 #: Words whose ids a task remembers; then it begins anew.
 WORDS = 600_000
-#: Words of a text that are looked up at once.
+#: Words whose ids are put together at once.
 CHUNK = 1 << 18
 #: Lower-case letters that normalizing leaves as they are; a word of these alone is one piece for the tokenizer's model.
 LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 PUNCTUATION = string.punctuation.encode()
+ENDINGS = frozenset(bytes([c]) for c in PUNCTUATION)
 LATIN = frozenset(chr(c).encode() for c in range(0xC0, 0x100) if chr(c).isalpha())
 BYTE_LEVEL = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-#: How the byte-level step writes a space.
+#: How the byte-level step writes a space; it leaves a-z as they are.
 SPACE = "\u0120"
 #: New words that are encoded together.
 GROUP = 1000
@@ -82,11 +85,15 @@ class Encoder:
     def learn(self, words: list[bytes]) -> None:
         """Remember words. Those of plain letters go to the tokenizer's model as they are, for nothing before it would change
         or cut them; the others are encoded as one text with a special token between them."""
-        letters = [w for w in words if LETTERS.fullmatch(w)]
+        ascii_letters, letters, others = [], [], []
+        for w in words:
+            (ascii_letters if w.isalpha() and w.islower() else letters if LETTERS.fullmatch(w) else others).append(w)
+        for group in (ascii_letters[i : i + GROUP] for i in range(0, len(ascii_letters), GROUP)):
+            self.learn_letters(group, b" ".join(group).decode().split(" "))
         for group in (letters[i : i + GROUP] for i in range(0, len(letters), GROUP)):
-            self.learn_letters(group)
+            ((written, _),) = BYTE_LEVEL.pre_tokenize_str(b" ".join(group).decode())
+            self.learn_letters(group, written.split(SPACE))
         between = SEPARATOR.encode()
-        others = set(words).difference(letters)
         plain = [w for w in others if between not in w]
         groups = [plain[i : i + GROUP] for i in range(0, len(plain), GROUP)]
         for group in [*groups, *([w] for w in others if between in w)]:
@@ -96,9 +103,9 @@ class Encoder:
             starts = np.append(0, inner + 1)
             self.store(group, ids, starts, np.append(inner, len(ids)) - starts)
 
-    def learn_letters(self, words: list[bytes]) -> None:
-        ((written, _),) = BYTE_LEVEL.pre_tokenize_str(b" ".join(words).decode())
-        found = [self.model.tokenize(w) for w in written.split(SPACE)]
+    def learn_letters(self, words: list[bytes], written: list[str]) -> None:
+        """Remember words that the byte-level step writes as ``written``."""
+        found = list(map(self.model.tokenize, written))
         sizes = np.fromiter(map(len, found), np.int64, len(words))
         ids = np.fromiter((token.id for tokens in found for token in tokens), np.uint32, sizes.sum())
         self.store(words, ids, np.cumsum(sizes) - sizes, sizes)
@@ -115,33 +122,47 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text."""
+        column = pa.array(texts, pa.binary()).cast(pa.string())
         # the tokenizer folds case, but not within its special tokens
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self.prepare(split)
-        for words in split:
-            parts = [self.look_up(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)]
-            yield np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-
-    def prepare(self, texts: list[list[bytes]]) -> None:
-        """Learn the new words of several texts at once.
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column)))
+        # each word is looked up once, however often these texts have it; around outer white space there are empty words, without ids
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary())
+        numbers, bounds = coded.indices.to_numpy(), split.offsets.to_numpy()
+        del column, split, coded
+        places = self.prepare(words)
+        ends = np.append(0, np.cumsum(self.sizes[places][numbers]))
+        ids = np.empty(ends[-1], np.uint32)
+        for i in range(0, len(numbers), CHUNK):
+            some = numbers[i : i + CHUNK]
+            ids[ends[i] : ends[i + len(some)]] = self.gather(places[some])
+        for first, last in pairwise(ends[bounds].tolist()):
+            yield ids[first:last]
+
+    def prepare(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words; the new ones are learnt at once.
 
         Punctuation after a letter is a piece of its own, so such words are put together from what is before it and from it.
         """
         if len(self.places) > WORDS:
             self.forget()
-        new = set().union(*texts).difference(self.places)
-        cut = [(w, stem) for w in new if (stem := before_ending(w)) != w and b"<|" not in w]
+        found = words.to_numpy(zero_copy_only=False)
+        places = np.fromiter(map(self.places.get, found, repeat(-1)), np.int64, len(found))
+        missing = np.flatnonzero(places < 0)
+        new = found[missing].tolist()
+        cut = [(w, stem) for w in new if w[-1:] in ENDINGS and (stem := before_ending(w)) != w and b"<|" not in w]
+        whole = set(new).difference([w for w, _ in cut])
         parts = [part for w, stem in cut for part in (stem, w[len(stem) :])]
-        plain = new.difference(w for w, _ in cut).union(parts).difference(self.places)
-        if plain:
-            self.learn(list(plain))
+        self.learn([*whole, *set(parts).difference(self.places).difference(whole)])
         if cut:
-            at = np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts))
+            at = self.look_up(parts)
             sizes = self.sizes[at].reshape(-1, 2).sum(axis=1)
             self.store([w for w, _ in cut], self.gather(at), np.cumsum(sizes) - sizes, sizes)
+        places[missing] = self.look_up(new)
+        return places
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
-        return self.gather(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
 
     def gather(self, at: np.ndarray) -> np.ndarray:
         sizes = self.sizes[at]

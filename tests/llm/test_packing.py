@@ -75,6 +75,27 @@ def test_words_of_letters_and_their_endings_skip_the_whole_tokenizer():
     assert seen == {",", "?!", ".***", "12", "o'clock", "×,×", "&&&", "É", "###", "'$"}
 
 
+def test_a_word_is_looked_up_once_however_often_the_texts_have_it():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+        def get(self, word, other=None):
+            self.asked += 1
+            return super().get(word, other)
+
+    encoder = packing.Encoder(word_tokenizer())
+    encoder.places = Counted()
+    texts = ["Two words, two WORDS\t" * 500, "", " \n", " two\x0b"]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == want
+    assert encoder.places.asked < 50
+    assert list(encoder.encode([])) == []
+
+
 def test_best_fit_takes_the_fullest_bin_that_holds_and_closes_the_fullest():
     bins = packing.Bins(10, 2)
     assert [bins.put(n) for n in (6, 8, 2, 4)] == [(0, 0), (1, 0), (1, 8), (0, 6)]
