@@ -101,18 +101,18 @@ def monthly_volume(sales: DataFrame) -> DataFrame:
     return sales.groupBy("region", "store_code", "year_month").agg(F.max("vol_sales").alias("vol_sales"))
 
 
-def active_stores(monthly: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
-    """Stores with volume in the last ``count`` months of their region."""
-    sold = monthly.where(F.col("vol_sales") > 0)
-    recent = join_lookup(sold, last_months(monthly, count), ["region", "year_month"], "left_semi", limits=limits)
-    return recent.select("region", "store_code").distinct()
+def active_stores(sold: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
+    """Stores with volume in the last ``count`` months of their region; only rows of these months are moved."""
+    recent = join_lookup(sold, last_months(sold, count), ["region", "year_month"], "left_semi", limits=limits)
+    return monthly_volume(recent).where(F.col("vol_sales") > 0).select("region", "store_code").distinct()
 
 
 def keep_active_stores(
     df: DataFrame, cleaned: DataFrame | None = None, count: int = 4, limits: Limits = LIMITS
 ) -> DataFrame:
     """Rows of ``df`` whose store is active in ``cleaned`` (``df`` itself when not given)."""
-    monthly = stage(monthly_volume(df if cleaned is None else cleaned), "monthly-volume")
-    stores, size = stage_measured(active_stores(monthly, count, limits), "active-stores")
+    rows = df if cleaned is None else cleaned
+    sold = stage(rows.select("region", "store_code", "year_month", "vol_sales"), "sold")
+    stores, size = stage_measured(active_stores(sold, count, limits), "active-stores")
     keys = ["region", "store_code"]
     return join_lookup(df, stores, keys, "left_semi", null_safe=keys, size=size, limits=limits)

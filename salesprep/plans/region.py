@@ -147,17 +147,22 @@ def store_table(
 
 
 def active_only(stores: DataFrame, sold: DataFrame, count: int, limits: Limits = LIMITS) -> DataFrame:
-    """Stores whose new code sold in the last months, adjustment stores not counted."""
-    codes = stores.select("region", F.col("_old_code").alias("store_code"), F.col("store_code").alias("_new_code"))
+    """Stores whose new code sold in the last months, adjustment stores not counted.
+
+    What the stores sold by month meets their new codes in one shuffle, and only the last months go on from there.
+    """
+    old = ["region", F.col("_old_code").alias("store_code")]
+    codes = filters.without_adjustments(stores.select(*old, F.col("store_code").alias("_new_code")), "_new_code")
     sold = join_lookup(
-        latest.monthly_volume(sold),
+        sold.select(*STORE, "year_month", "vol_sales"),
         codes,
         STORE,
         "inner",
         null_safe=STORE,
+        counts=stores.select(*old, "_rows").distinct(),
         limits=limits,
     ).select("region", F.col("_new_code").alias("store_code"), "year_month", "vol_sales")
-    return latest.keep_active_stores(stores, filters.without_adjustments(sold), count, limits)
+    return latest.keep_active_stores(stores, sold, count, limits)
 
 
 def sales_by_store(sales: DataFrame, stores: DataFrame, size: Size, limits: Limits = LIMITS) -> DataFrame:

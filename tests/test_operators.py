@@ -161,6 +161,15 @@ def test_active_stores_need_volume_in_recent_months(spark):
     assert kept == {("new",): 2, ("x",): 3}
 
 
+def test_only_the_last_months_are_grouped_for_active_stores(spark, monkeypatch):
+    grouped, whole = [], latest.monthly_volume
+    monkeypatch.setattr(latest, "monthly_volume", lambda df: grouped.append(bag(df.select("year_month"))) or whole(df))
+    rows = [dict(region="N", store_code=f"s{m}", year_month=f"2020/0{m}", vol_sales=1.0) for m in range(1, 9)]
+    kept = bag(latest.keep_active_stores(sales_frame(spark, rows), count=2).select("store_code"))
+    assert kept == {("s7",): 1, ("s8",): 1}
+    assert grouped == [{("2020/07",): 1, ("2020/08",): 1}]
+
+
 # -- keep and remap ---------------------------------------------------------------
 
 
