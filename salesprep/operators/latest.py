@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesprep.functions.months import month_to_date
@@ -54,20 +54,25 @@ def store_months(sales: DataFrame) -> DataFrame:
 
 
 def latest_class(sales: DataFrame) -> DataFrame:
-    """Category and bucket of each store in its last month, and its rows (``_rows``)."""
-    return class_of(store_months(sales))
-
-
-def class_of(stores: DataFrame) -> DataFrame:
-    """``latest_class`` from ``store_months``.
+    """Category and bucket of each store in its last month, and its rows (``_rows``).
 
     A missing month counts as the last one. Ties go to the greatest category,
     then bucket.
     """
+    return _class_of(sales, F.count(F.lit(1)))
+
+
+def class_of(stores: DataFrame) -> DataFrame:
+    """``latest_class`` from ``store_months``."""
+    return _class_of(stores, F.sum("_rows"))
+
+
+def _class_of(rows: DataFrame, count: Column) -> DataFrame:
+    """One row per store. Spark sorts for a maximum of texts; a hash comes first, as codes that begin alike would be compared whole."""
     newest = F.struct(F.col("year_month").isNull().alias("undated"), "year_month", "outlet_category_name", "bucket")
     return (
-        stores.groupBy("region", "store_code")
-        .agg(F.max(newest).alias("newest"), F.sum("_rows").alias("_rows"))
+        rows.groupBy(F.xxhash64("region", "store_code").alias("_hash"), "region", "store_code")
+        .agg(F.max(newest).alias("newest"), count.alias("_rows"))
         .select(
             "region",
             "store_code",

@@ -92,7 +92,8 @@ def outlet_partners(pos: DataFrame) -> DataFrame:
 
 
 def store_table(
-    months: DataFrame,
+    classes: DataFrame,
+    months: DataFrame | None,
     lookups: Lookups,
     profile: MarketProfile,
     steps: Steps,
@@ -101,12 +102,11 @@ def store_table(
 ) -> tuple[DataFrame, Size]:
     """What to do with the rows of each store; stores to be dropped are absent.
 
-    One row per store and partner: the class of its last month in ``months`` (see
-    ``latest.store_months``), its new code, its rows in the sales, and whether other stores get the same code (``_merged``).
+    One row per store and partner: its class (see ``latest.latest_class``), its new code, its rows in the sales, and whether
+    other stores get the same code (``_merged``). ``months`` (``latest.store_months``) tell a market with active months which sold.
     Pairs and counters are read from one staged table, whose size bounds both.
     """
     partners, size = stage_measured(outlet_partners(lookups.pos), "partners")
-    classes = latest.class_of(months)
     if not fits(size, limits):
         classes = stage(classes, "classes")
     stores = (
@@ -225,8 +225,10 @@ def _prepared(
 ) -> Prepared:
     names, steps = contracts.SALES.names, Steps()
     unique = deduped_sales(sales.select(*names), steps)
-    months = stage(latest.store_months(unique), "store-months")
-    stores = store_table(months, lookups, profile, steps, unmatched, limits)
+    # a market that looks at no months needs the fact's classes only
+    months = stage(latest.store_months(unique), "store-months") if extract or profile.active_months is not None else None
+    classes = latest.latest_class(unique) if months is None else latest.class_of(months)
+    stores = store_table(classes, months, lookups, profile, steps, unmatched, limits)
     marked, oldest = unique.withColumn("_in_focus", F.lit(False)), None
     if extract:
         marked, oldest = mark_focus(unique, months, profile.focus_months, limits)

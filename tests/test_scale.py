@@ -4,6 +4,7 @@ from checks import queries, views
 from helpers import details_of, plan_of
 from pyspark.sql import functions as F
 from salesprep import contracts, staging
+from salesprep.markets import profile
 from salesprep.operators import audit, latest
 from salesprep.operators.dedupe import SALES_KEY
 from salesprep.plans import publish, region
@@ -112,3 +113,25 @@ def test_lines_are_moved_with_their_month_not_their_time(spark, tmp_path):
     months = [i for i, line in enumerate(lines) if "date_format" in line]
     assert months and min(months) > join
     assert sales.first().year_month == "1999/01"
+
+
+def test_classes_alone_cost_one_shuffle_of_the_fact(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(region, "stage", lambda df, name, by=(): names.append(name) or staging.stage(df, name, by))
+    sales = sales_rows(spark)
+    pos = spark.createDataFrame([], "pos_code string, pos_desc string, partner_code string, pos_status string, sales_rep_code string, sales_rep_name string")
+    lookups = region.Lookups(pos, spark.createDataFrame([], "material string"))
+    for extract, staged in ((False, False), (True, True)):
+        assert region.prepare_sales(sales, lookups, profile("INDIA_HEALTH"), extract=extract).history.count() == 20
+        assert ("store-months" in names) is staged
+    rows = sales.withColumn("year_month", F.when(F.col("num_invoices") > 0, F.concat(F.lit("1999/0"), F.col("value_sales") % 7 + 1)))
+    rows = rows.withColumn("store_code", F.when(F.col("value_sales") % 5 != 0, F.col("region")))
+    direct, by_month = latest.latest_class(rows), latest.class_of(latest.store_months(rows))
+    assert plan_of(direct).count("Exchange") == 1
+    assert sorted(map(str, direct.collect())) == sorted(map(str, by_month.collect()))
+
+
+def test_classes_are_sorted_by_a_hash_first(spark):
+    for classes in (latest.latest_class(sales_rows(spark)), latest.class_of(latest.store_months(sales_rows(spark)))):
+        sorts = [line for line in plan_of(classes).splitlines() if "Sort [" in line]
+        assert sorts and all(line.split("Sort [")[1].split(" ASC")[0].endswith("L") for line in sorts)
